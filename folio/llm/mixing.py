@@ -36,8 +36,9 @@ SHARE = 1.5
 MOST_PASSES = 2
 #: Slopes of the schedules in the same order: the weight at the end over the weight at the start.
 SLOPES = (0.5, 1.0, 2.0)
-#: Words in one order bucket, roughly.
-BUCKET_ROWS = 50_000
+#: Rows in one order bucket, roughly, until a source has MOST_BUCKETS; then buckets grow.
+BUCKET_ROWS = 200
+MOST_BUCKETS = 1 << 16
 
 
 def size_of(text: str | Column) -> Column:
@@ -92,12 +93,12 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most_passes: i
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("__rows"))
     goal = targets(per.select("source", "source_size"), weights, share, most_passes, slopes)
     # order buckets: as many as the source's rows ask for, in the order of the key
-    buckets = per.select("source", F.ceil(F.col("__rows") / F.lit(bucket_rows)).alias("__n"))
+    buckets = per.select("source", F.least(F.ceil(F.col("__rows") / F.lit(bucket_rows)), F.lit(MOST_BUCKETS)).alias("__n"))
     same = lambda x, y: F.col(f"{x}.source").eqNullSafe(F.col(f"{y}.source"))
     unit = F.conv(F.substring("__key", 1, 12), 16, 10).cast("long")
     rows = (
         sized.withColumn("__key", order_key("doc_id")).alias("d").join(buckets.alias("b"), same("d", "b")).select("d.*", "__n")
-        .withColumn("__b", F.floor(unit * F.col("__n") / F.lit(float(1 << 48))).cast("long"))
+        .withColumn("__b", F.floor(unit / F.lit(float(1 << 48)) * F.col("__n")).cast("long"))
     )
     by = Window.partitionBy("source").orderBy("__b")
     starts = (

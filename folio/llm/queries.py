@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from folio.llm import mixing, topk, url_filter
+from folio.llm import mixing, near_copies, pu_quality, repeats, token_file, topk, url_filter, word_bpe
 
 QUERIES = {
+    "op1_rans": token_file.op1_rans,
+    "op2_pu_quality": pu_quality.op2_pu_quality,
+    "op3_lsh_forest": near_copies.op3_lsh_forest,
     "op4_url_vocabulary": url_filter.op4_url_vocabulary,
+    "op5_word_bpe": word_bpe.op5_word_bpe,
     "op7_mixing": mixing.op7_mixing,
     "op8_maxscore": topk.op8_maxscore,
+    "op9_suffix_array": repeats.op9_suffix_array,
 }
 
 ORACLE_SQL = {
+    "op3_lsh_forest": near_copies.ORACLE,
     "op4_url_vocabulary": url_filter.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op8_maxscore": topk.ORACLE,
