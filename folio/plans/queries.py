@@ -1,6 +1,353 @@
-"""Named queries over the driver's tables, and the SQL that states the same."""
+"""Named queries over the driver's tables, and the SQL that states the same.
+
+Arrays are joined and long texts hashed, so that results compare by value."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folio.functions import fixed as K
+from folio.functions import text as T
+from folio.operators import chunking, coverage, items, naming, parsing, tools, validation
+from folio.plans import corpus, oracle as O
+from folio.plans.draft import by_rules, chunks_of
+from folio.plans.oracle import q, query
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+STAMP, TRACE = "20260610153045", "a1b2c3d4"
+CATALOGUE = [dict(t) for t in corpus.TOOLS]
+
+
+def named(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def j(x: Column | str) -> Column:
+    return F.array_join(F.col(x) if isinstance(x, str) else x, "|")
+
+
+def jq(x: str) -> str:
+    return f"array_to_string({x}, '|')"
+
+
+def _plain(spark, sf):
+    return corpus.plain(spark, sf).unionByName(corpus.samples(spark))
+
+
+PLAIN = {"d": f"{corpus.PLAIN_SQL} UNION ALL {corpus.SAMPLES_SQL}"}
+
+
+def _sql(select: str, ctes: dict[str, str]) -> str:
+    return "WITH " + ", ".join(f"{n} AS MATERIALIZED ({s})" for n, s in ctes.items()) + "\n" + select
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    return docs.select("source_doc", F.posexplode(T.lines(F.col("markdown"))).alias("line_no", "raw"))
+
+
+LINES = PLAIN | {"l": f"SELECT source_doc, unnest(range(len({O.lines('markdown')}))) AS line_no, unnest({O.lines('markdown')}) AS raw FROM d"}
+
+
+@named(_sql(f"SELECT source_doc, CAST(line_no AS INTEGER) AS line_no, {O.noise(O.strip('raw'))} AS noise, {O.recovered('raw')} AS recovered, {O.heading_of_line(O.strip('raw'))} AS heading FROM l", LINES))
+def ref_lines(spark, sf):
+    """Noise, recovered headings and headings of extracted text, line by line."""
+    x = T.strip(F.col("raw"))
+    return _lines(_plain(spark, sf)).select("source_doc", "line_no", T.is_noise(x).alias("noise"), T.recovered(F.col("raw")).alias("recovered"), T.heading_of_line(x).alias("heading"))
+
+
+_N = O.strip(O.sub("replace(raw, chr(160), ' ')", "[ \t]+", " "))
+
+
+@named(_sql(
+    f"SELECT source_doc, md5(string_agg(x, chr(10) ORDER BY line_no)) AS kept_md5, count(*) AS kept, count(*) FILTER (WHERE {O.like('x', rf'{chr(92)}A([（(]?[一二三四五六七八九十]+[）)]?|[A-Za-z]|{chr(92)}pN+)[、.．)]{O.S}+')} OR {O.like('x', O.S + '{2,}')}) AS alone FROM (SELECT source_doc, line_no, {_N} AS x FROM l) WHERE x <> '' AND NOT {O.noise('x')} GROUP BY source_doc", LINES))
+def ref_extracted_lines(spark, sf):
+    """Lines of extracted text that stay, and those that stand alone."""
+    kept = F.filter(F.transform(T.lines(F.col("markdown")), T.normal_line), lambda x: (x != "") & ~T.is_noise(x))
+    out = _plain(spark, sf).select("source_doc", kept.alias("k")).filter(F.size("k") > 0)
+    return out.select("source_doc", F.md5(F.array_join("k", "\n")).alias("kept_md5"), F.size("k").cast("long").alias("kept"), F.size(F.filter("k", T.stands_alone)).cast("long").alias("alone"))
+
+
+@named()
+def ref_compacted(spark, sf):
+    """Paragraphs and headings of extracted text: an ordered fold, tested against a plain statement of it."""
+    return _plain(spark, sf).select("source_doc", T.compact_lines(T.lines(F.col("markdown"))).alias("markdown"))
+
+
+@named(query("b", "SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, source_section, length(content) AS n_chars, md5(content) AS content_md5, array_to_string(pages, '|') AS pages FROM b"))
+def ref_blocks(spark, sf):
+    """Documents cut into blocks at headings."""
+    rows = parsing.blocks(parsing.document_profile(corpus.sectioned(spark, sf)))
+    return rows.select("source_doc", "block_index", "source_section", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("content_md5"), j(F.col("pages").cast("array<string>")).alias("pages"))
+
+
+@named(_sql(f"""SELECT source_doc, CAST(i AS INTEGER) AS block_index, md5(t) AS content_md5 FROM (SELECT source_doc, unnest(range(len(ps))) AS i, unnest(ps) AS t FROM (SELECT source_doc, {O._PIECES} AS ps FROM d))""", PLAIN))
+def ref_plain_blocks(spark, sf):
+    """The same for texts without headings."""
+    return _plain(spark, sf).select("source_doc", F.posexplode(parsing.pieces(F.col("markdown"))).alias("block_index", "p")).select("source_doc", "block_index", F.md5("p.content").alias("content_md5"))
+
+
+@named(query("f", f"SELECT source_doc, category, {jq('headings')} AS headings, category_description, source_doc_description, {jq('doc_keywords')} AS doc_keywords FROM f"))
+def ref_document_profile(spark, sf):
+    """Category, headings, descriptions and keywords of each document."""
+    return parsing.document_profile(corpus.sectioned(spark, sf)).select("source_doc", "category", j("headings").alias("headings"), "category_description", "source_doc_description", j("doc_keywords").alias("doc_keywords"))
+
+
+@named(query("b", f"""SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, subcategory, fam AS family, {O.prefix('source_section')} AS prefix, {O.clean_heading_title('source_section')} AS title, {O.useful('source_section')} AS useful,
+  CASE WHEN instr(category_description, category) = 0 THEN concat('本大类来源于文档结构中的“', category, '”，用于承载该主题下的相关知识条目。') ELSE category_description END AS category_description,
+  CASE WHEN subcategory = category THEN concat('用于说明“', category, '”主题下的具体内容、边界和使用提示。') ELSE concat('用于说明“', subcategory, '”在“', category, '”大类下的具体内容、边界和关联提示。') END AS subcategory_description FROM b"""))
+def ref_block_profile(spark, sf):
+    """Subcategories, family keys, prefixes and descriptions of each block."""
+    rows = parsing.blocks(parsing.document_profile(corpus.sectioned(spark, sf)))
+    s = F.col("source_section")
+    return rows.select("source_doc", "block_index", "subcategory", T.family_key(s).alias("family"), T.section_prefix(s).alias("prefix"), T.clean_heading_title(s).alias("title"), T.useful_heading(s).alias("useful"), "category_description", "subcategory_description")
+
+
+@named(query("b", f"SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, md5({jq('xt')}) AS tokens_md5, length({O.core_text('content')}) AS core_chars, {jq('words')} AS keywords FROM b"))
+def ref_keywords(spark, sf):
+    """Tokens of the core text and the ranked keywords of each block."""
+    rows = parsing.blocks(parsing.document_profile(corpus.sectioned(spark, sf)))
+    core = T.core_text(F.col("content"))
+    return rows.select("source_doc", "block_index", F.md5(j(T.tokens(core))).alias("tokens_md5"), F.length(core).cast("long").alias("core_chars"), j("category_keywords").alias("keywords"))
+
+
+@named(query("s", f"SELECT source_doc, source_section, subcategory, {jq('plain_words')} AS keywords, CAST(idx AS INTEGER) AS idx, CAST(own_idx AS INTEGER) AS own_idx FROM s"))
+def ref_siblings(spark, sf):
+    """The index of sections in each document."""
+    rows = parsing.blocks(parsing.document_profile(corpus.sectioned(spark, sf)))
+    return parsing.siblings(rows).select("source_doc", "source_section", "subcategory", j("keywords").alias("keywords"), "idx", "own_idx")
+
+
+@named(query("r", "SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, n, title, info, relevance, score FROM r"))
+def ref_related(spark, sf):
+    """The best related sections of each block."""
+    rows = parsing.blocks(parsing.document_profile(corpus.sectioned(spark, sf)))
+    return parsing.related(rows, parsing.siblings(rows)).select("source_doc", "block_index", F.explode("related").alias("r")).select("source_doc", "block_index", "r.n", "r.title", "r.info", "r.relevance", "r.score")
+
+
+@named(query("r", """SELECT b.source_doc, CAST(b.block_index AS INTEGER) AS block_index, string_agg(concat('“', b.subcategory, '”与“', r.title, '”同属“', b.category, '”大类，回答时应结合来源章节区分适用场景、交互对象和处理要求。'), '|' ORDER BY r.n) AS notes
+  FROM b JOIN r ON r.file_index = b.file_index AND r.block_index = b.block_index AND r.n <= 3 GROUP BY ALL"""))
+def ref_relation_notes(spark, sf):
+    """Notes on the first three related sections."""
+    return parsing.parse(corpus.sectioned(spark, sf)).filter(F.size("relation_notes") > 0).select("source_doc", "block_index", j("relation_notes").alias("notes"))
+
+
+@named(query("m", "SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, source_section, md5(content) AS content_md5, array_to_string(pages, '|') AS pages FROM m"))
+def ref_merged(spark, sf):
+    """Short parents with the children that follow."""
+    rows = chunking.merge_children(parsing.blocks(parsing.document_profile(corpus.sectioned(spark, sf))))
+    return rows.select("source_doc", "block_index", "source_section", F.md5("content").alias("content_md5"), j(F.col("pages").cast("array<string>")).alias("pages"))
+
+
+def _chunk_query(limit: int):
+    return query("m", "SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, piece_index, source_section, CAST(ord AS INTEGER) AS \"order\", md5(content) AS content_md5 FROM c", O.chunk_ctes(limit))
+
+
+def _chunk_rows(spark, sf, limit):
+    rows = chunking.chunks(parsing.blocks(parsing.document_profile(corpus.sectioned(spark, sf))), limit)
+    return rows.select("source_doc", "block_index", "piece_index", "source_section", "order", F.md5("content").alias("content_md5"))
+
+
+@named(_chunk_query(K.MAX_CHARS))
+def ref_chunks(spark, sf):
+    """Chunks of up to 3600 characters."""
+    return _chunk_rows(spark, sf, K.MAX_CHARS)
+
+
+@named(_chunk_query(600))
+def ref_small_chunks(spark, sf):
+    """Chunks of up to 600 characters."""
+    return _chunk_rows(spark, sf, 600)
+
+
+_OUTLINE = O.chunk_ctes(K.MAX_CHARS) | {
+    "o1": f"SELECT file_index, source_doc, {O.strip('source_section')} AS s, min(block_index * 1000000 + piece_index) AS pos FROM c WHERE {O.strip('source_section')} <> '' GROUP BY ALL",
+    "o2": "SELECT *, row_number() OVER (PARTITION BY file_index ORDER BY pos) AS k FROM o1",
+    "o": f"""SELECT file_index, concat(string_agg(concat('- ', s), chr(10) ORDER BY k), CASE WHEN count(*) >= {K.OUTLINE_SECTIONS} AND (SELECT count(*) FROM c WHERE c.file_index = o2.file_index) > count(*) THEN concat(chr(10), '- ... 其余 ', (SELECT count(*) FROM c WHERE c.file_index = o2.file_index) - count(*), ' 个片段') ELSE '' END) AS outline
+            FROM o2 WHERE k <= {K.OUTLINE_SECTIONS} GROUP BY file_index""",
+}
+_W = "(PARTITION BY c.file_index ORDER BY block_index, piece_index)"
+_CONTEXT = f"""SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, piece_index, md5(concat_ws(concat(chr(10), chr(10)), concat('文档章节目录：', chr(10), outline),
+  concat('知识分类：', chr(10), '大类标题：', category, chr(10), '小类标题：', subcategory, chr(10), '关键词：', array_to_string(words, ', ')),
+  concat_ws(chr(10), CASE WHEN lag(source_section) OVER {_W} IS NOT NULL THEN concat('上一片段摘要：', chr(10), '章节：', lag(source_section) OVER {_W}, chr(10), lag({O.compact('content', 400)}) OVER {_W}) END),
+  CASE WHEN lead(source_section) OVER {_W} IS NOT NULL THEN concat('下一片段摘要：', chr(10), '章节：', lead(source_section) OVER {_W}, chr(10), lead({O.compact('content', 400)}) OVER {_W}) END)) AS context_md5
+  FROM c JOIN o USING (file_index)"""
+_CONTEXT = _CONTEXT.replace("concat_ws(chr(10), CASE WHEN lag", "(CASE WHEN lag").replace(f"lag({O.compact('content', 400)}) OVER {_W}) END)", f"lag({O.compact('content', 400)}) OVER {_W}) END)")
+
+
+@named(query("m", _CONTEXT, _OUTLINE))
+def ref_context(spark, sf):
+    """The context of each chunk: outline, classes and neighbours."""
+    rows = chunking.with_context(chunking.chunks(parsing.blocks(parsing.document_profile(corpus.sectioned(spark, sf)))))
+    return rows.select("source_doc", "block_index", "piece_index", F.md5("context").alias("context_md5"))
+
+
+@named(query("m", "SELECT source_doc, outline FROM o JOIN (SELECT DISTINCT file_index, source_doc FROM c) USING (file_index)", _OUTLINE))
+def ref_outline(spark, sf):
+    """The outline of each document."""
+    return chunking.outline(chunking.chunks(parsing.blocks(parsing.document_profile(corpus.sectioned(spark, sf))))).select("source_doc", "outline")
+
+
+_TITLE = O.either(f"substr({O.first_heading('content')}, 1, 80)", O.either("substr(source_section, 1, 80)", q(K.UNTITLED_ITEM)))
+_ITEMS = O.chunk_ctes(K.MAX_CHARS) | {
+    "i0": f"SELECT *, {_TITLE} AS title FROM c",
+    "i1": f"""SELECT *, concat('biz-offline-', substr(md5(concat_ws(':', source_doc, source_section, ord, title, 1)), 1, 10), '-v1') AS kb_id, {O.build_body('title', 'content')} AS body, {O.version("concat(source_doc, ' ', content)")} AS source_version,
+             concat('section=', source_section, CASE WHEN len(pages) > 0 THEN concat('; pages=', array_to_string(list_sort(list_distinct(pages)), ',')) ELSE '' END) AS source_trace,
+             row_number() OVER (ORDER BY file_index, source_doc, block_index, piece_index) AS source_order FROM i0""",
+}
+
+
+def _items(spark, sf) -> DataFrame:
+    return by_rules(chunks_of(corpus.sectioned(spark, sf), context=False), CATALOGUE, "active")
+
+
+@named(query("m", f"""SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, piece_index, kb_id, title, category, subcategory, {jq('CASE WHEN len(words) > 0 THEN words ELSE [category] END')} AS keywords, source_version, source_trace, md5(body) AS body_md5, 'biz' AS doc_type, '{K.DOMAIN}' AS domain, 'low' AS risk_level, 'pending' AS review_status FROM i1""", _ITEMS))
+def ref_items(spark, sf):
+    """Items by rules, before their bodies are rewritten."""
+    made = items.heuristic(chunks_of(corpus.sectioned(spark, sf), context=False))
+    return made.select("source_doc", "block_index", "piece_index", "kb_id", "title", "category", "subcategory", j("category_keywords").alias("keywords"), "source_version", "source_trace", F.md5("body").alias("body_md5"), "doc_type", "domain", "risk_level", "review_status")
+
+
+@named(query("m", f"SELECT source_doc, CAST(source_order AS INTEGER) AS source_order, concat_ws('-', regexp_replace(lower(regexp_replace(source_doc, '\\.[^.]+$', '')), '[^a-z0-9一-鿿_.-]+', '-', 'g'), '{STAMP}', '{TRACE}', printf('%06d', source_order), kb_id) || '.md' AS file_name FROM i1", _ITEMS))
+def ref_file_names(spark, sf):
+    """Items in order over all files, and the names of their files."""
+    made = naming.source_order(items.heuristic(chunks_of(corpus.sectioned(spark, sf), context=False)))
+    return made.select("source_doc", "source_order", naming.file_name(T.file_stem(F.col("source_doc")), F.lit(STAMP), F.lit(TRACE), F.col("review_status"), F.col("source_order"), F.col("kb_id")).alias("file_name"))
+
+
+_SCORES = ", ".join(f"CAST({O.tool_score('src', 'found', t)} AS INTEGER) AS t{i}" for i, t in enumerate(CATALOGUE))
+
+
+@named(query("m", f"SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, piece_index, CAST(len(found) AS INTEGER) AS n_tokens, {_SCORES} FROM i2", _ITEMS | {"i2": f"SELECT *, {O.match_tokens('src')} AS found FROM (SELECT *, {O.strip_denied('concat_ws(chr(10), source_section, content, title)')} AS src FROM i1)"}))
+def ref_tool_scores(spark, sf):
+    """How well each tool of a catalogue fits each chunk."""
+    made = items.heuristic(chunks_of(corpus.sectioned(spark, sf), context=False))
+    rows = made.withColumn("src", tools.strip_denied(F.concat_ws("\n", "source_section", "content", "title"))).withColumn("found", tools.match_tokens(F.col("src")))
+    return rows.select("source_doc", "block_index", "piece_index", F.size("found").alias("n_tokens"), *[tools.score(F.col("src"), F.col("found"), t).alias(f"t{i}") for i, t in enumerate(CATALOGUE)])
+
+
+@named(query("m", f"SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, piece_index, CAST(len(fs) AS INTEGER) AS n_facts, md5({jq('fs')}) AS facts_md5 FROM (SELECT *, {O.facts('content')} AS fs FROM i1)", _ITEMS))
+def ref_facts(spark, sf):
+    """Sentences of each chunk that its item has to cover."""
+    rows = chunks_of(corpus.sectioned(spark, sf), context=False).withColumn("f", T.fact_sentences(F.col("content")))
+    return rows.select("source_doc", "block_index", "piece_index", F.size("f").alias("n_facts"), F.md5(j("f")).alias("facts_md5"))
+
+
+_HALF = "concat('# t', chr(10), chr(10), '## 1. 核心内容', chr(10), chr(10), substr(content, 1, length(content) // 2), chr(10), chr(10), '## 4. 关联能力', chr(10), chr(10), content)"
+
+
+@named(query("m", f"""SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, piece_index, md5({jq('miss')}) AS missing_md5, CAST(len(miss) AS INTEGER) AS n_missing FROM (
+  SELECT *, list_filter(fs, lambda e: NOT contains(had, {O.coverage_text('e')})) AS miss FROM (
+    SELECT *, {O.facts('content')} AS fs, {O.coverage_text("split_part(half, concat(chr(10), '## 4. 关联能力'), 1)")} AS had FROM (SELECT *, {_HALF} AS half FROM i1)))""", _ITEMS))
+def ref_missing_facts(spark, sf):
+    """Facts that a body with only half of the text leaves out; what stands after section 4 doesn't count."""
+    rows = chunks_of(corpus.sectioned(spark, sf), context=False)
+    half = F.concat(F.lit("# t\n\n## 1. 核心内容\n\n"), F.substring("content", F.lit(1), F.floor(F.length("content") / 2).cast("int")), F.lit("\n\n## 4. 关联能力\n\n"), F.col("content"))
+    return rows.withColumn("m", coverage.missing_facts(F.col("content"), F.array(half))).select("source_doc", "block_index", "piece_index", F.md5(j("m")).alias("missing_md5"), F.size("m").alias("n_missing"))
+
+
+@named()
+def ref_final_items(spark, sf):
+    """Finished items: bodies with summary, tools and sources. Their texts are tested on golden rows."""
+    made = _items(spark, sf)
+    return naming.source_order(made).select("source_doc", "source_order", "kb_id", "doc_type", "body", j(F.col("matched_tools").cast("array<string>")).alias("tools"))
+
+
+_RAW = (
+    ("  “A”与“B”同属“C”大类，回答时应结合来源章节区分适用场景、交互对象和处理要求。", "最高", " High ", "甲，乙, 丙、、丁"), ("说明: it's \"good\" 。", "中等", "severe", "x"), ("", "", "", ""), ("、、规则， 说明；", "极高", "critical", " , "),
+    ("a" * 200, "低", "LOW", "一,二，三、四"),
+)
+
+
+@named(f"""SELECT i, {O.strip_chars(O.sub(O.sub(f"substr({O.strip_chars(f'translate({O.squeeze(O.strip("a"))}, {q(chr(34) + chr(39))}, {q("“’")})', " ：:，,；;")}, 1, 180)", K.LEGACY_PHRASE, "", ""), K.LEGACY_SAME, "", ""), " ：:，,。；;、").join(("substr(", ", 1, 120)"))} AS relation,
+  substr({O.strip_chars(O.squeeze(O.strip('a')), r" ：:，,。；;、\[\]")}, 1, 80) AS taxonomy,
+  CASE WHEN b IN ('极高', '高', '一般', '低') THEN b WHEN b IN ('最高', '强', '较高') THEN '高' ELSE '一般' END AS relevance,
+  CASE WHEN lower(trim(c)) IN ('low', 'medium', 'high', 'critical') THEN lower(trim(c)) ELSE 'low' END AS risk,
+  array_to_string(list_filter(list_transform(string_split_regex(l, '[,，、]'), lambda e: trim(e)), lambda e: e <> ''), '|') AS parts
+  FROM (VALUES {", ".join(f"({i}, {', '.join(map(q, r))})" for i, r in enumerate(_RAW))}) v(i, a, b, c, l)""")
+def ref_cleaning(spark, sf):
+    """Cleaning of what models return: relations, classes, ranks, risks and lists."""
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(_RAW)], "i int, a string, b string, c string, l string")
+    return rows.select("i", T.clean_relation(F.col("a")).alias("relation"), T.clean_taxonomy(F.col("a")).alias("taxonomy"), T.clean_relevance(F.col("b")).alias("relevance"), T.risk_level(F.col("c")).alias("risk"), j(T.as_list(F.col("l"))).alias("parts"))
+
+
+_NAMES = ("A b.C/d", "--x--", "", "kb_1.2", "制度 2026", "..", "A--B  c")
+
+
+@named(f"SELECT s, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(trim(lower(s)), '[^a-z0-9_一-鿿.-]+', '-', 'g'), '-+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'kb-item') AS safe, printf('%06d', greatest(n, 0)) AS prefix FROM (VALUES {', '.join(f'({q(s)}, {n})' for s, n in zip(_NAMES, (12, 1234567, 0, -4, 1, 99, 100000)))}) v(s, n)")
+def ref_names(spark, sf):
+    """Safe parts of file names and prefixes for the order."""
+    rows = spark.createDataFrame(list(zip(_NAMES, (12, 1234567, 0, -4, 1, 99, 100000))), "s string, n long")
+    return rows.select("s", T.safe_name(F.col("s")).alias("safe"), T.order_prefix(F.col("n")).alias("prefix"))
+
+
+def _generated(spark, sf) -> DataFrame:
+    """Files as items would make them, some of them spoilt by the number of their document."""
+    made = items.heuristic(chunks_of(corpus.plain(spark, sf), context=False))
+    files = validation.from_items(made.withColumn("source_order", F.lit(1)).withColumn("tags", F.array(F.lit("EPCC"), F.lit("abc"))), F.concat_ws("/", "source_doc", F.format_string("%06d", "block_index"), F.format_string("%06d", "piece_index")))
+    n = F.regexp_extract("path", r"doc-(\d+)", 1).cast("long")
+    body = F.when(n % 7 == 1, F.regexp_replace("body", r"(?s)## 2\. 适用边界\n\n.*?(?=## 3)", "## 2. 适用边界\n\n")).when(n % 7 == 2, F.substring("body", 1, 150)).when(n % 7 == 3, F.concat("body", F.lit(" EPCC"))).otherwise(F.col("body"))
+    meta = F.when(n % 5 == 1, F.map_filter("meta", lambda k, v: k != "owner")).when(n % 5 == 2, F.map_concat(F.map_filter("meta", lambda k, v: k != "doc_type"), F.create_map(F.lit("doc_type"), F.lit("faq")))).otherwise(F.col("meta"))
+    return files.withColumn("error", F.when(n % 11 == 5, "缺少 YAML Front Matter")).withColumn("body", body).withColumn("meta", meta)
+
+
+_V = """i3 AS (SELECT *, concat(source_doc, '/', printf('%06d', block_index), '/', printf('%06d', piece_index)) AS path, CAST(regexp_extract(source_doc, 'doc-(\\d+)', 1) AS BIGINT) AS k FROM i1),
+i4 AS (SELECT *, CASE WHEN k % 7 = 1 THEN regexp_replace(body, '(?s)## 2\\. 适用边界\\n\\n.*?## 3', concat('## 2. 适用边界', chr(10), chr(10), '## 3')) WHEN k % 7 = 2 THEN substr(body, 1, 150) WHEN k % 7 = 3 THEN concat(body, ' EPCC') ELSE body END AS bd FROM i3),
+i5 AS (SELECT *, regexp_replace(bd, '(?m)^##\\s+4\\.\\s+关联能力\\s*$(?s).*', '') AS core, len(regexp_extract_all(bd, '(?m)^##\\s+')) AS heads FROM i4 WHERE k % 11 <> 5)"""
+
+
+def _issue(when: str, level: str, message: str) -> str:
+    return f"SELECT path, '{level}' AS level, {message} AS message FROM i5 WHERE {when}"
+
+
+_ISSUES = " UNION ALL ".join([
+    "SELECT path, 'error' AS level, '无法读取 Markdown Front Matter: 缺少 YAML Front Matter' AS message FROM i4 WHERE k % 11 = 5",
+    _issue("k % 5 = 1", "error", "'缺少必填字段: owner'"), _issue("k % 5 = 2", "error", "'doc_type 不合法: faq'"),
+    _issue("length(bd) > 3000", "warning", "concat('正文较长，建议继续拆分: ', length(bd), ' 字符')"), _issue("length(bd) < 200", "warning", "concat('正文较短，可能信息不足: ', length(bd), ' 字符')"),
+    _issue("heads < 5", "warning", "'二级标题少于 5 个，可能未遵照标准知识库结构'"),
+    *[_issue(f"NOT regexp_matches(bd, '(?m)^##\\s+{i}\\.\\s+[^\\n]*{t}')", "warning", f"'缺少或未对齐章节: ## {i}. {t}'") for i, t in enumerate(K.SECTION_TITLES, 1)],
+    _issue("k % 7 = 1 AND regexp_matches(bd, '## 2\\. 适用边界\\n\\n## 3')", "warning", "'章节内容为空: ## 2'"),
+    _issue("k % 7 = 2 AND regexp_matches(bd, '## 1\\. 核心内容\\s*$')", "warning", "'章节内容为空: ## 1'"),
+    _issue("NOT regexp_matches(core, '(^|[^A-Za-z0-9])EPCC($|[^A-Za-z0-9])')", "warning", "'关键缩写未进入正文核心章节: EPCC'"),
+    _issue("subcategory = category", "warning", "'小类与大类相同，分类层级可能未细化'"),
+])
+
+
+def _plain_query(select: str, extra: dict[str, str]) -> str:
+    return query("m", select, extra).replace(corpus.SECTIONED_SQL, corpus.PLAIN_SQL)
+
+
+@named(_plain_query(f", {_V}\n{_ISSUES}", _ITEMS))
+def ref_issues(spark, sf):
+    """Quality rules over generated files."""
+    return _generated(spark, sf).select("path", F.explode(validation.file_issues()).alias("i")).select("path", "i.level", "i.message")
+
+
+@named(_plain_query(""", g AS (SELECT concat(source_doc, '/', printf('%06d', block_index), '/', printf('%06d', piece_index)) AS path FROM i1)
+SELECT min(path) AS path, 'warning' AS level, '所有文件的大类/小类几乎一致，分类可能退化' AS message FROM g UNION ALL SELECT min(path), 'warning', '所有文件的 category_keywords 完全一致，关键词区分度不足' FROM g""", _ITEMS))
+def ref_spread(spark, sf):
+    """The warning for files that are all of one class, on files made so."""
+    one = F.create_map(F.lit("category"), F.lit("a"), F.lit("subcategory"), F.lit("b"), F.lit("category_keywords"), F.lit('["x","y"]'))
+    return validation.spread_issues(_generated(spark, sf).withColumn("error", F.lit(None).cast("string")).withColumn("meta", one)).select("path", "level", "message")
+
+
+@named(query("m", "SELECT count(DISTINCT source_doc) AS files, count(*) AS items, CAST(count(*) FILTER (WHERE piece_index > 0) AS BIGINT) AS pieces, max(source_order) AS last_order FROM i1", _ITEMS))
+def ref_counters(spark, sf):
+    """Counts of a run."""
+    made = naming.source_order(items.heuristic(chunks_of(corpus.sectioned(spark, sf), context=False)))
+    return made.agg(F.count_distinct("source_doc").alias("files"), F.count("*").alias("items"), F.count(F.when(F.col("piece_index") > 0, 1)).alias("pieces"), F.max("source_order").cast("long").alias("last_order"))
+
+
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents to finished items."""
+    return QUERIES["ref_final_items"](spark, sf)
