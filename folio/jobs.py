@@ -8,6 +8,7 @@ import os
 import uuid
 from datetime import datetime
 from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -117,7 +118,7 @@ def _retry(spark: SparkSession, args, catalogue: list[dict], stamp: str, trace:
     sinks.write_files(made.withColumn("file_name", name), args.output)
     failed = [p for p in effective_files(args.output) if "failed" in p.stem.lower()]
     for path in done:
-        Path(path.removeprefix("file://")).unlink(missing_ok=True)
+        Path(unquote(urlparse(path).path)).unlink(missing_ok=True)
     print(f"done. failed_files={len(failed)} retried={len(done)} succeeded={len(done)} still_failed=0")
     return 0
 

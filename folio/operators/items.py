@@ -96,8 +96,8 @@ def merged_related(*lists: Column) -> Column:
     clean = F.filter(F.transform(F.concat(*lists), lambda r: F.struct(T.clean_taxonomy(r[k[0]]).alias(k[0]), T.clean_taxonomy(r[k[1]]).alias(k[1]), T.clean_relation(r[k[2]]).alias(k[2]), T.clean_relevance(r[k[3]]).alias(k[3]))), lambda r: r[k[1]] != "")
 
     def first(rows: Column) -> Column:
-        keys = F.transform(rows, lambda r: F.struct(r[k[0]], r[k[1]]))
-        return F.filter(rows, lambda r, i: F.array_position(keys, F.struct(r[k[0]].alias("col1"), r[k[1]].alias("col2"))) == i + 1)
+        name = lambda r: F.concat(r[k[0]], F.lit("\n"), r[k[1]])
+        return T.bind(F.transform(rows, name), lambda keys: F.filter(rows, lambda r, i: F.array_position(keys, name(r)) == i + 1))
 
     return F.slice(T.bind(clean, first), 1, 8)
 

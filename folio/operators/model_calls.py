@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from folio.functions import fixed as K
 
@@ -251,5 +252,5 @@ def objects_of(chunks: DataFrame, complete: Callable, status: str = "active", sp
                 out += [{**base, "item_index": i, "raw": raw, "missing": missing} for i, raw in rows]
             yield pd.DataFrame(out, columns=[*keys, "item_index", "raw", "missing"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return asked.mapInPandas(run, f"{fields}, item_index int, raw string, missing array<string>")
+    made = StructType(schema.fields).add("item_index", IntegerType()).add("raw", StringType()).add("missing", ArrayType(StringType()))
+    return asked.mapInPandas(run, made)
