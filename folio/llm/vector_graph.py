@@ -8,8 +8,8 @@ Vectors are compared within their label only. Equal vectors are one point with a
 2. In a shard, each point's nearest points are pruned robustly: a candidate falls if a kept neighbour is ALPHA
    times closer to it than the point itself; DEGREE neighbours stay. The adjacency lists of a point from all
    its shards are united.
-3. Each shard is searched for each of its points: greedily from the shard's medoid with a beam, and when the beam has settled
-   the search widens over all neighbours of what lies within the range, until nothing new does.
+3. Each shard is searched for each of its points: greedily from the medoids of its parts with a beam, and when the
+   beam has settled the search widens over all neighbours of what lies within the range, until nothing new does.
 4. Each pair that was found is verified by its cosine in double precision.
 5. Recall is audited: for up to AUDIT points the links are counted by brute force. Below TARGET the search is
    repeated with more overlap and a longer beam.
@@ -41,10 +41,12 @@ from folio.llm.shared import block_pairs, bounds, connected_components, table, w
 COSINE = 0.93
 SAMPLE = 20_000
 CENTROIDS = 4_096
-SHARD = 1_500
+SHARD = 600
 BLOCK = 3_000
-DEGREE = 24
-NEAREST = 64
+DEGREE = 16
+NEAREST = 48
+#: Random neighbours of each point beside those.
+FAR = 8
 ALPHA = 1.2
 #: Points whose cosine falls short by this much are still followed while the range widens.
 SLACK = 0.05
@@ -119,36 +121,52 @@ def assign(pts: DataFrame, centroids: dict[str, np.ndarray], overlap: int) -> Da
     return pts.withColumn("shards", nearest("label", "v"))
 
 
-def robust_prune(x: np.ndarray, degree: int = DEGREE, nearest: int = NEAREST, alpha: float = ALPHA) -> list[np.ndarray]:
+def robust_prune(x: np.ndarray, degree: int = DEGREE, nearest: int = NEAREST, alpha: float = ALPHA, far: int = FAR) -> list[np.ndarray]:
     """Neighbours of each unit vector. Of its nearest ones, in order, each is kept unless one kept before is
-    alpha times closer to it."""
+    alpha times closer to it; then as many of some random ones, likewise, as `far` allows. Without those, a bundle of
+    near copies would have no way in or out."""
     n = len(x)
     k = min(nearest, n - 1)
     if k < 1:
         return [np.zeros(0, np.int64)] * n
+    some = np.random.default_rng(n).integers(0, n, (n, 2 * far))
     out = []
     for a in range(0, n, 512):
         sim = x[a : a + 512] @ x.T
-        sim[np.arange(len(sim)), np.arange(a, a + len(sim))] = -np.inf
-        cand = np.argpartition(-sim, k - 1, 1)[:, :k]
+        own = np.arange(len(sim))
+        sim[own, own + a] = -np.inf
+        cand = np.argpartition(-sim, k - 1, 1)[:, :k] if k < n - 1 else np.argsort(-sim, 1)[:, :k]
         near = np.take_along_axis(sim, cand, 1)
         order = np.argsort(-near, 1, kind="stable")
-        cand, near = np.take_along_axis(cand, order, 1), np.take_along_axis(near, order, 1)
+        cand = np.hstack([np.take_along_axis(cand, order, 1), some[a : a + 512]])
+        near = np.hstack([np.take_along_axis(near, order, 1), np.take_along_axis(sim, some[a : a + 512], 1)])
         dist = np.sqrt(np.maximum(0, 2 - 2 * near))
         for b in range(0, len(cand), 64):
             c, d = cand[b : b + 64], dist[b : b + 64]
             v = x[c]
-            between = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("qid,qjd->qij", v, v)))
-            alive = np.ones(c.shape, bool)
+            between = np.sqrt(np.maximum(0, 2 - 2 * np.matmul(v, v.transpose(0, 2, 1))))
+            alive = np.isfinite(d)
             kept = np.zeros(c.shape, bool)
-            for j in range(k):
-                now = alive[:, j] & (kept.sum(1) < degree)
+            for j in range(c.shape[1]):
+                now = alive[:, j] & (kept.sum(1) < (degree if j < k else degree + far))
                 kept[:, j] = now
                 alive &= ~(now[:, None] & (alpha * between[:, j] <= d))
-            out += [row[keep] for row, keep in zip(c, kept, strict=True)]
+            out += [np.unique(row[keep]) for row, keep in zip(c, kept, strict=True)]
     return out
 
 
+def medoids_of(x: np.ndarray) -> np.ndarray:
+    """Where searches start: the medoid of all, and those of about sqrt(n) parts around random points."""
+    n = len(x)
+    pivots = np.random.default_rng(n + 1).choice(n, min(n, int(np.sqrt(n)) + 1), replace=False)
+    part = np.argmax(x @ x[pivots].T, 1)
+    out = [int(np.argmax(x @ x.sum(0)))]
+    for p in np.unique(part):
+        own = np.flatnonzero(part == p)
+        out.append(int(own[np.argmax(x[own] @ x[own].sum(0))]))
+    return np.unique(out)
+
+
 def _dense(lists: list[np.ndarray], n: int, degree: int) -> np.ndarray:
     """Adjacency with its reverse edges as a matrix, -1 where a list is shorter."""
     src = np.repeat(np.arange(n), [len(x) for x in lists])
@@ -166,65 +184,65 @@ def range_search(x: np.ndarray, graph: np.ndarray, cosine: float, beam: int, sla
     """Boolean (points, points): those found within the range of each point. All points of a block search
     side by side."""
     n = len(x)
-    m = x.mean(0)
-    medoid = int(np.argmax(x @ m))
+    medoids = medoids_of(x)
     beam = min(beam, n)
     found = np.zeros((n, n), bool)
+
+    def fresh(r: np.ndarray, near: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The (query, point) pairs of these neighbours that were not seen; they are now."""
+        new = np.zeros(seen.shape, bool)
+        ok = near >= 0
+        new[np.broadcast_to(r[:, None], near.shape)[ok], near[ok]] = True
+        new &= ~seen
+        seen |= new
+        return np.nonzero(new)
+
     for a in range(0, n, 256):
         q = x[a : a + 256]
-        rows = np.arange(len(q))
         seen = np.zeros((len(q), n), bool)
-        ids = np.full((len(q), beam), -1)
-        sims = np.full((len(q), beam), -np.inf)
-        done = np.ones((len(q), beam), bool)
-        ids[:, 0], sims[:, 0], done[:, 0] = medoid, q @ x[medoid], False
-        seen[:, medoid] = True
+        seen[:, medoids] = True
+        ids = np.broadcast_to(medoids, (len(q), len(medoids)))
+        sims = q @ x[medoids].T
+        done = np.zeros(ids.shape, bool)
+        close = np.zeros(seen.shape, bool)  # all that come nearly within the range, in the beam or not
+        close[:, medoids] = sims >= cosine - slack
         while True:
-            open_sims = np.where(done, -np.inf, sims)
+            if ids.shape[1] > beam:
+                top = np.argpartition(-sims, beam - 1, 1)[:, :beam]
+                ids, sims, done = (np.take_along_axis(z, top, 1) for z in (ids, sims, done))
             # a few at a time: the best open nodes of each beam
-            width = min(4, beam)
+            width = min(4, ids.shape[1])
+            open_sims = np.where(done, -np.inf, sims)
             best = np.argpartition(-open_sims, width - 1, 1)[:, :width]
             live = np.take_along_axis(open_sims, best, 1) > -np.inf
             if not live.any():
                 break
             np.put_along_axis(done, best, True, 1)
-            node = np.where(live, np.take_along_axis(ids, best, 1), -1)
-            near = np.where(node[:, :, None] >= 0, graph[node], -1).reshape(len(q), -1)
-            r, c = np.nonzero(near >= 0)
-            flat = np.unique(r * n + near[r, c])
-            flat = flat[~seen.ravel()[flat]]
-            if not len(flat):
+            node = np.take_along_axis(ids, best, 1)
+            near = np.where(live[:, :, None], graph[node], -1).reshape(len(q), -1)
+            r, v = fresh(np.arange(len(q)), near, seen)
+            if not len(r):
                 continue
-            seen.ravel()[flat] = True
-            r, v = flat // n, flat % n
             s = np.einsum("ij,ij->i", q[r], x[v])
+            near = s >= cosine - slack
+            close[r[near], v[near]] = True
             count = np.bincount(r, minlength=len(q))
             place = np.arange(len(r)) - np.repeat(np.cumsum(count) - count, count)
-            add_ids = np.full((len(q), count.max()), -1)
-            add_sims = np.full(add_ids.shape, -np.inf)
-            add_ids[r, place], add_sims[r, place] = v, s
-            ids = np.hstack([ids, add_ids])
-            sims = np.hstack([sims, add_sims])
-            done = np.hstack([done, add_ids < 0])
-            top = np.argpartition(-sims, beam - 1, 1)[:, :beam]
-            ids, sims, done = (np.take_along_axis(z, top, 1) for z in (ids, sims, done))
+            more = np.full((len(q), count.max()), -np.inf)
+            named = np.zeros(more.shape, ids.dtype)
+            named[r, place], more[r, place] = v, s
+            ids, sims, done = np.hstack([ids, named]), np.hstack([sims, more]), np.hstack([done, np.isneginf(more)])
         # widen: all neighbours of what lies within the range, or nearly
-        close = sims >= cosine - slack
-        r, c = np.nonzero(close)
-        v, s = ids[r, c], sims[r, c]
+        r, v = np.nonzero(close)
+        s = np.einsum("ij,ij->i", q[r], x[v])
         while len(r):
             inside = s >= cosine
             found[a + r[inside], v[inside]] = True
-            near = graph[v]
-            rr, cc = np.nonzero(near >= 0)
-            flat = np.unique(r[rr] * n + near[rr, cc])
-            flat = flat[~seen.ravel()[flat]]
-            seen.ravel()[flat] = True
-            r, v = flat // n, flat % n
+            r, v = fresh(r, graph[v], seen)
             s = np.einsum("ij,ij->i", q[r], x[v])
             keep = s >= cosine - slack
             r, v, s = r[keep], v[keep], s[keep]
-        found[a + rows, a + rows] = False
+    np.fill_diagonal(found, False)
     return found | found.T
 
 
