@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from folio.functions import text as T
 from folio.operators.parsing import DOC
 
+FILES = 4096
+
 
 def source_order(items: DataFrame, start: int = 0) -> DataFrame:
-    """Numbers all items from start + 1 in the order of files, blocks, pieces and items. Counts of the files are summed
-    first, and within a file rows are numbered on their own, so no task needs all items."""
+    """Numbers all items from start + 1 in the order of files, blocks, pieces and items. Counts are summed by file, then by
+    FILES consecutive files, and rows are numbered within their file, so no task needs all items or all files."""
     order = [c for c in ("block_index", "piece_index", "item_index") if c in items.columns]
-    counts = items.groupBy(*DOC).agg(F.count("*").alias("__n"))
-    base = counts.withColumn("__base", F.sum("__n").over(Window.orderBy("file_index", "source_doc")) - F.col("__n")).drop("__n")
+    counts = items.groupBy(*DOC).agg(F.count("*").alias("__n")).withColumn("__b", F.floor(F.col("file_index") / FILES))
+    buckets = counts.groupBy("__b").agg(F.sum("__n").alias("__sum")).withColumn("__before", F.sum("__sum").over(Window.orderBy("__b")) - F.col("__sum")).drop("__sum")
+    within = F.sum("__n").over(Window.partitionBy("__b").orderBy("file_index", "source_doc")) - F.col("__n")
+    base = counts.withColumn("__within", within).join(buckets, "__b").select(*DOC, (F.col("__within") + F.col("__before")).alias("__base"))
     own = F.row_number().over(Window.partitionBy(*DOC).orderBy(*order))
-    return items.withColumn("__own", own).join(base, DOC).withColumn("source_order", (F.col("__base") + F.col("__own") + start).cast("int")).drop("__own", "__base")
+    return items.withColumn("__own", own).join(base, DOC).withColumn("source_order", (F.col("__base") + F.col("__own") + start).cast("long")).drop("__own", "__base")
 
 
 def file_name(title: Column, timestamp: Column, trace_id: Column, review_status: Column, order: Column, kb_id: Column) -> Column:

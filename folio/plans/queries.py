@@ -218,7 +218,7 @@ def ref_items(spark, sf):
     return made.select("source_doc", "block_index", "piece_index", "kb_id", "title", "category", "subcategory", j("category_keywords").alias("keywords"), "source_version", "source_trace", F.md5("body").alias("body_md5"), "doc_type", "domain", "risk_level", "review_status")
 
 
-@named(query("m", f"SELECT source_doc, CAST(source_order AS INTEGER) AS source_order, concat_ws('-', regexp_replace(lower(regexp_replace(source_doc, '\\.[^.]+$', '')), '[^a-z0-9一-鿿_.-]+', '-', 'g'), '{STAMP}', '{TRACE}', printf('%06d', source_order), kb_id) || '.md' AS file_name FROM i1", _ITEMS))
+@named(query("m", f"SELECT source_doc, CAST(source_order AS BIGINT) AS source_order, concat_ws('-', regexp_replace(lower(regexp_replace(source_doc, '\\.[^.]+$', '')), '[^a-z0-9一-鿿_.-]+', '-', 'g'), '{STAMP}', '{TRACE}', printf('%06d', source_order), kb_id) || '.md' AS file_name FROM i1", _ITEMS))
 def ref_file_names(spark, sf):
     """Items in order over all files, and the names of their files."""
     made = naming.source_order(items.heuristic(chunks_of(corpus.sectioned(spark, sf), context=False)))
@@ -256,11 +256,41 @@ def ref_missing_facts(spark, sf):
     return rows.withColumn("m", coverage.missing_facts(F.col("content"), F.array(half))).select("source_doc", "block_index", "piece_index", F.md5(j("m")).alias("missing_md5"), F.size("m").alias("n_missing"))
 
 
-@named()
+def _body(middle: str, tools_text: str) -> str:
+    """A body up to section 5, as it is put together; `middle` stands under the title."""
+    nl = "chr(10), chr(10)"
+    return f"""concat('# ', title, {nl}, {middle}, {nl}, chr(10), '## 1. 核心内容', {nl}, txt, {nl}, '## 2. 适用边界', {nl}, {q(K.NOT_STATED)}, {nl}, '## 3. 使用要求', {nl}, {q(K.USE_RULE)}, {nl}{tools_text})"""
+
+
+def _strip_page_lines(x: str) -> str:
+    start = f"(?m)^{O.S}*(?:[-*]{O.S}*)?"
+    x = O.sub(x, f"{start}来源页码[：:][^\\n]*\\n?")
+    x = O.sub(x, f"{start}页码[：:]{O.S}*\\pN+(?:{O.S}*[,，、]{O.S}*\\pN+)*{O.S}*\\n?")
+    x = O.sub(x, f"{start}第{O.S}*\\pN{{1,4}}{O.S}*页(?:{O.S}*/{O.S}*共{O.S}*\\pN{{1,4}}{O.S}*页)?{O.S}*\\n?")
+    return O.strip(O.sub(x, "\\n{3,}", "\n\n"))
+
+
+_NL = "chr(10)"
+_ENTRY = "concat('  {', " + f"{_NL}, " + f", ',', {_NL}, ".join(f"'    \"{k}\": ', CAST(to_json({c}) AS VARCHAR)" for k, c in zip(K.RELATED_KEYS, ("b.category", "title", "info", "relevance"), strict=True)) + f", {_NL}, '  }}')"
+_YAML = [q(f"```yaml\n{tools.tool_yaml(t)}\n```") for t in CATALOGUE]
+_FINAL = _ITEMS | {
+    "j0": f"SELECT r.file_index, r.block_index, concat('[', {_NL}, string_agg({_ENTRY}, concat(',', {_NL}) ORDER BY n), {_NL}, ']') AS js FROM r JOIN b ON b.file_index = r.file_index AND b.block_index = r.block_index GROUP BY ALL",
+    "j1": f"""SELECT i1.*, concat('知识分类：', {_NL}, '大类标题：', category, {_NL}, '小类标题：', subcategory, {_NL}, '关键词：', array_to_string(CASE WHEN len(words) > 0 THEN words ELSE [category] END, '、'), CASE WHEN js IS NOT NULL THEN concat({_NL}, '关联信息：', {_NL}, js) ELSE '' END) AS summary,
+             {O.strip(O.sub(O.strip('content'), f'{chr(92)}A#{{1,4}}{O.S}+[^{chr(92)}n]+{chr(92)}n?', '', ''))} AS txt FROM i1 LEFT JOIN j0 ON j0.file_index = i1.file_index AND j0.block_index = i1.block_index""",
+    "j2": f"SELECT *, {O.strip_denied('concat_ws(chr(10), source_section, content, title, ' + _body(chr(39) * 2, f", '## 5. 来源依据', {_NL}, {_NL}, {q(K.SOURCE_BODY)}") + ')')} AS src FROM j1",
+    "j3": f"SELECT *, {O.match_tokens('src')} AS found FROM j2",
+    "j4": f"SELECT *, list_sort(list_filter([{', '.join(f'{{{chr(39)}n{chr(39)}: -({O.tool_score("src", "found", t)}), {chr(39)}i{chr(39)}: {i}}}' for i, t in enumerate(CATALOGUE))}], lambda e: e.n IS NOT NULL))[1:3] AS hit FROM j3",
+    "j5": f"SELECT *, CASE WHEN len(hit) > 0 THEN array_to_string(list_transform(hit, lambda e: [{', '.join(_YAML)}][e.i + 1]), concat({_NL}, {_NL})) ELSE {q(K.NO_TOOLS)} END AS fn FROM j4",
+}
+_SOURCE = f"concat('## 5. 来源依据', {_NL}, {_NL}, '- 来源文档：', source_doc, {_NL}, '- 来源章节：', source_section, {_NL}, CASE WHEN len(pages) > 0 THEN concat('- 来源页码：', array_to_string(list_sort(list_distinct(pages)), '、'), {_NL}) ELSE '' END, {q(K.SOURCE_NOTE)})"
+
+
+@named(query("m", f"""SELECT source_doc, CAST(source_order AS BIGINT) AS source_order, kb_id, 'biz' AS doc_type, array_to_string(list_transform(hit, lambda e: e.i), '|') AS tools,
+  concat({_strip_page_lines(_body('summary', f", '## 4. 关联能力', {_NL}, {_NL}, fn, {_NL}, {_NL}"))}, {_NL}, {_NL}, {_SOURCE}) AS body FROM j5""", {k: O.CTE[k] for k in ("s0", "s1", "s", "r0", "r1", "r2", "r3", "r")} | _FINAL))
 def ref_final_items(spark, sf):
-    """Finished items: bodies with summary, tools and sources. Their texts are tested on golden rows."""
-    made = _items(spark, sf)
-    return naming.source_order(made).select("source_doc", "source_order", "kb_id", "doc_type", "body", j(F.col("matched_tools").cast("array<string>")).alias("tools"))
+    """Finished items: bodies with summary, matched tools and sources, in order."""
+    made = naming.source_order(_items(spark, sf))
+    return made.select("source_doc", "source_order", "kb_id", "doc_type", "body", j(F.col("matched_tools").cast("array<string>")).alias("tools"))
 
 
 _RAW = (
