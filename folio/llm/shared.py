@@ -3,8 +3,11 @@ whole groups out of Arrow batches, bounded membership filters, components."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,6 +21,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLOTS = 1 << 20
 
 
+def byte_alphabet() -> list[str]:
+    """The printable stand-in for each byte: itself where it is printable Latin-1, else the next of U+0100 on."""
+    keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    out, spare = [""] * 256, 0x100
+    for b in range(256):
+        if b in keep:
+            out[b] = chr(b)
+        else:
+            out[b], spare = chr(spare), spare + 1
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only a local master gets
     one of its own when the setting is missing; any other master without it is an error."""
@@ -51,6 +66,40 @@ def drop_table(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_codecs: list = []
+
+
+def zstd() -> list:
+    """A compressor and a decompressor for each worker process; making one costs more than its use on a document."""
+    if not _codecs:
+        import zstandard
+
+        _codecs.extend((zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()))
+    return _codecs
+
+
+#: What empties the caches that other operators left in this worker.
+forget: list[Callable[[], None]] = []
+
+
+def trim() -> None:
+    """Empties caches and gives memory that a worker's allocator holds in vain back to the system; workers live on
+    after a task, and the next one may be another operator's."""
+    for clear in forget:
+        clear()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Whole texts go to Python: keeps Arrow batches to so many rows, as the default of 10,000 long texts would
+    take most of a worker's memory on both sides. A smaller setting of the session's stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

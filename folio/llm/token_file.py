@@ -19,8 +19,8 @@ documents' ids (i64, then u8 flags: 1 null id, 2 first piece, 4 last piece), ids
 each segment LANES states (u64) and a stream place (u32); payload: u32 words.
 
 Documents stand in ascending doc_id order (nulls first): ranges of ids become parts, sorted within. The
-range borders come from the ids alone, so texts are tokenized once and never sampled. A document longer
-than a block goes on in the next; the CRCs of its pieces are combined.
+range borders come from the ids alone, so texts are tokenized once and never sampled. Only a document
+longer than a block goes on in the next; the CRCs of its pieces are combined.
 
 Cases: null and empty texts are documents of the end id alone. Documents with equal ids stand in the
 order of their ids' bytes. Very long texts are cut into blocks after tokenization only. Other columns are
@@ -30,27 +30,33 @@ left out. An empty table gives an empty file set.
 from __future__ import annotations
 
 import os
-import re
+import string
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folio.llm.shared import new_path, partitions, table
+from folio.llm.shared import byte_alphabet, forget, new_path, partitions, small_batches, table, zstd
 
 MAGIC = b"FRNS"
 PRECISION = 20
 LANES = 64
 SEGMENT = 16_384
 BLOCK = 4 * SEGMENT
+#: Blocks that a task codes side by side.
+TOGETHER = 16
 LOW = np.uint64(1 << 31)
+_PUNCT = string.punctuation
+NULL_ID = -(1 << 63)
+_ALPHABET = byte_alphabet()
 #: Pieces of text in a worker's cache.
-CACHE = 250_000
+CACHE = 2_000_000
 #: Characters that one call of the tokenizer gets at most, but for single longer texts.
 CALL = 2_000_000
 _BLOCKS = "part int, seq int, first long, n_tokens long, n_docs int, block binary"
@@ -60,11 +66,13 @@ _BLOCKS = "part int, seq int, first long, n_tokens long, n_docs int, block binar
 
 
 class Encoder:
-    """The tokenizers library, asked once for each different piece of text. In byte-level BPE a blank
-    before a non-blank always starts a new pre-token, so texts are cut there; a text with other runs of
-    white space, or with a special token's mark, goes to the library whole."""
+    """The tokenizers library, asked once for each different piece of text.
 
-    odd = re.compile(r"\s\s| $|<\|")
+    In byte-level BPE a blank before a non-blank always starts a new pre-token, and so does a single line end
+    between such; texts are cut there. A run of letters with a blank before it is one pre-token, which the library's
+    model merges at once; a tail of ASCII punctuation is another. All other pieces go through the whole library, many
+    in one text, parted by the special token, which it always splits off. A text with other runs of white space, or
+    with a special token's mark, goes to the library as it is."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -73,83 +81,123 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.cache: dict[str, bytes] = {}
+        self.model = self.library.model
+        self.kind = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
+        special = [(t.content, i) for i, t in self.library.get_added_tokens_decoder().items() if t.special and t.content.startswith("<|")]
+        self.mark, self.mark_id = special[0] if special else (None, -1)
+        self.letters = {ord(c): "".join(map(_ALPHABET.__getitem__, c.encode())) for c in map(chr, range(0x80, 0x250))}
+        self.cache: dict[str, bytes | None] = {}
+        self.parts: dict[str, bytes] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        # None: a text with such a piece is not cut
+        self.cache = {"": None, "\n": None, "\0": None}
+        self.parts = {}
 
     def _ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ask_joined(self, texts: list[str]) -> list[bytes]:
+        if self.mark is None or not texts:
+            return self._ask(texts)
+        raw = self._ask([self.mark.join(texts)])[0]
+        w = np.dtype(self.kind).itemsize
+        cut = (np.flatnonzero(np.frombuffer(raw, self.kind) == self.mark_id) * w).tolist()
+        return [raw[a:b] for a, b in zip([0, *(c + w for c in cut)], [*cut, len(raw)], strict=True)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        # a piece stands for itself after a line end or the start of a text (NUL), else for itself after a blank
+        parts, cache, other = self.parts, self.cache, []
+        code = "H" if self.kind is np.uint16 else "I"
+        for p in pieces:
+            word = p.rstrip(_PUNCT)
+            if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+                ids = parts.get(word)
+                if ids is None:
+                    text = word if word.isascii() else word.translate(self.letters)
+                    ids = parts[word] = array(code, [t.id for t in self.model.tokenize("\u0120" + text)]).tobytes()
+                if word is not p and len(word) < len(p):
+                    tail = parts.get(end := p[len(word) :])
+                    if tail is None:
+                        tail = parts[end] = self._ask([end])[0]
+                    ids += tail
+                cache[p] = ids
+            elif "<|" in p or p[-1].isspace() or len(p.split()) != 1 or "\0" in p[1:]:
+                cache[p] = None
+            else:
+                other.append(p)
+        for i in range(0, len(other), 1_000):
+            some = other[i : i + 1_000]
+            cache.update(zip(some, self._ask_joined([p if p[0] == "\n" else p[1:] if p[0] == "\0" else " " + p for p in some]), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
-        whole: list[int] = []
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            if self.odd.search(t):
-                whole.append(i)
-                continue
-            head, *rest = t.split(" ")
-            pieces = [" " + x for x in rest]
-            if head:
-                pieces.insert(0, head)
-            cut.append((i, pieces))
-        new = list({p for _, ps in cut for p in ps if p not in self.cache})
-        if len(self.cache) + len(new) > CACHE:
-            self.cache.clear()
-            new = list({p for _, ps in cut for p in ps})
-        for i in range(0, len(new), 20_000):
-            self.cache.update(zip(new[i : i + 20_000], self._ask(new[i : i + 20_000]), strict=True))
-        get = self.cache.__getitem__
-        for i, ps in cut:
-            out[i] = b"".join(map(get, ps))
-        for i in whole:
-            out[i] = self._ask([texts[i]])[0]
+        """The ids of each text, as bytes of self.kind."""
+        cut = [("\0" + t.replace("\n", " \n")).split(" ") for t in texts]
+        if len(self.cache) + len(self.parts) > CACHE:
+            self.clear()
+        self._learn(list(dict.fromkeys(filterfalse(self.cache.__contains__, chain.from_iterable(cut)))))
+        get, out = self.cache.__getitem__, []
+        for text, pieces in zip(texts, cut, strict=True):
+            try:
+                out.append(b"".join(map(get, pieces)))
+            except TypeError:
+                out.append(self._ask([text])[0])
         return out
 
 
-def _pack(ids: np.ndarray) -> bytes:
-    """Ids for the way to their block: byte planes, compressed."""
-    import zstandard
+_loaded: dict[str, Encoder] = {}
+forget.append(_loaded.clear)
 
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
 
+def encoder_for(path: str) -> Encoder:
+    """One for each worker process, so the cache outlives a task."""
+    if path not in _loaded:
+        _loaded[path] = Encoder(path)
+    return _loaded[path]
+
+
+def _pack(ids: np.ndarray) -> bytes:
+    """Ids for the way to their block: their width, then byte planes, compressed."""
+    planes = ids.view(np.uint8).reshape(-1, ids.itemsize).T
+    return bytes((ids.itemsize,)) + zstd()[0].compress(planes.tobytes())
 
-def _unpack(data: bytes) -> np.ndarray:
-    import zstandard
 
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def _unpack(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstd()[1].decompress(data[1:]), np.uint8)
+    return raw.reshape(data[0], -1).T.ravel().view(f"<u{data[0]}")
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, borders: list[int]) -> DataFrame:
-    """(doc_id, part, ids) for each document and, with a null part, the counts of the ids of each chunk."""
+    """(doc_id, part, ids) for each document, NULL_ID for a null doc_id, and, with a null part, the counts of the ids of each chunk."""
     edge = np.array(borders, np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        encoder = encoder_for(path)
         counts = np.zeros(0, np.int64)
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
-            keys = pdf["doc_id"].tolist()
+            keys = pdf["doc_id"].to_numpy(np.int64)
+            part = np.searchsorted(edge, keys, side="right").astype(np.int32)
             i = 0
             while i < len(texts):
                 j, n = i, 0
                 while j < len(texts) and (j == i or n + len(texts[j]) <= CALL):
                     n += len(texts[j])
                     j += 1
-                ids = [np.append(np.frombuffer(x, np.uint32), np.uint32(end_id)) for x in encoder(texts[i:j])]
-                seen = np.bincount(np.concatenate(ids))
+                end = np.array([end_id], encoder.kind).tobytes()
+                ids = [x + end for x in encoder(texts[i:j])]
+                seen = np.bincount(np.frombuffer(b"".join(ids), encoder.kind))
                 if len(seen) > len(counts):
                     counts = np.pad(counts, (0, len(seen) - len(counts)))
                 counts[: len(seen)] += seen
-                part = [0 if pd.isna(k) else int(np.searchsorted(edge, k, side="right")) for k in keys[i:j]]
-                yield pd.DataFrame({"doc_id": pd.array([None if pd.isna(k) else int(k) for k in keys[i:j]], "Int64"), "part": pd.array(part, "Int32"), "ids": [_pack(x) for x in ids]})
+                yield pd.DataFrame({"doc_id": keys[i:j], "part": part[i:j], "ids": [_pack(np.frombuffer(x, encoder.kind)) for x in ids]})
                 i = j
         if counts.any():
             used = np.flatnonzero(counts)
-            yield pd.DataFrame({"doc_id": pd.array([None], "Int64"), "part": pd.array([None], "Int32"), "ids": [zlib.compress(np.stack([used, counts[used]]).tobytes(), 1)]})
+            yield pd.DataFrame({"doc_id": [NULL_ID], "part": pd.array([None], "Int32"), "ids": [zlib.compress(np.stack([used, counts[used]]).tobytes(), 1)]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, part int, ids binary")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text").mapInPandas(run, "doc_id long, part int, ids binary")
 
 
 def count_ids(counted: DataFrame) -> np.ndarray:
@@ -204,32 +252,45 @@ class Coder:
         self.start = np.append(0, np.cumsum(freq)[:-1]).astype(np.uint64) if len(freq) else freq.astype(np.uint64)
         self.slots = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)
 
-    def encode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(states at each segment's start, stream places of the segments, stream). Segments are coded side
-        by side; the last one may be short, and its missing places are skipped."""
-        n_seg = -(-len(ids) // SEGMENT)
+    def encode(self, blocks: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each block (states at each segment's start, stream places of the segments, stream). All segments of
+        all blocks are coded side by side; a short one's missing places are skipped."""
+        per = [-(-len(ids) // SEGMENT) for ids in blocks]
         steps = SEGMENT // LANES
-        padded = np.zeros(n_seg * SEGMENT, np.int64)
-        padded[: len(ids)] = ids
-        real = (np.arange(n_seg * SEGMENT) < len(ids)).reshape(n_seg, steps, LANES)
-        sym = padded.reshape(n_seg, steps, LANES)
-        x = np.full((n_seg, LANES), LOW, np.uint64)
-        out: list[list[np.ndarray]] = [[] for _ in range(n_seg)]
+        sym = np.zeros((sum(per), SEGMENT), np.int64)
+        size = np.zeros(sum(per), np.int64)
+        k = 0
+        for ids, n in zip(blocks, per, strict=True):
+            sym.reshape(-1)[k * SEGMENT : k * SEGMENT + len(ids)] = ids
+            size[k : k + n] = np.minimum(SEGMENT, len(ids) - SEGMENT * np.arange(n))
+            k += n
+        sym = sym.reshape(-1, steps, LANES)
+        x = np.full((len(sym), LANES), LOW, np.uint64)
+        words = np.zeros((steps, *x.shape), np.uint32)
+        sent = np.zeros(words.shape, bool)
         bits, word = self.precision, np.uint64(32)
         top = np.uint64((1 << 63) >> int(bits))
+        lane = np.arange(LANES)
         for t in range(steps - 1, -1, -1):
-            s, ok = sym[:, t], real[:, t]
-            f = np.where(ok, self.freq[s], np.uint64(1))
-            full = ok & (x >= top * f)
-            low = (x & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            for k in np.flatnonzero(full.any(1)):
-                out[k].append(low[k, full[k]])
+            ok = t * LANES + lane[None, :] < size[:, None]
+            s = sym[:, t]
+            f = self.freq[s]
+            if not ok.all():
+                f = np.where(ok, f, np.uint64(1))
+            full = x >= top * f
+            full &= ok
+            sent[t], words[t] = full, x
             x = np.where(full, x >> word, x)
             q = x // f
             x = np.where(ok, (q << bits) + (x - q * f) + self.start[s], x)
-        streams = [np.concatenate(o[::-1]) if o else np.zeros(0, np.uint32) for o in out]
-        place = np.append(0, np.cumsum([len(s) for s in streams]))[:-1].astype(np.uint32)
-        return x, place, np.concatenate(streams)
+        streams = [words[:, k][sent[:, k]] for k in range(len(sym))]
+        out, k = [], 0
+        for n in per:
+            some = streams[k : k + n]
+            place = np.append(0, np.cumsum([len(s) for s in some]))[:-1].astype(np.uint32)
+            out.append((x[k : k + n], place, np.concatenate(some) if some else np.zeros(0, np.uint32)))
+            k += n
+        return out
 
     def decode(self, states: np.ndarray, place: np.ndarray, stream: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Ids of segments, decoded side by side: states (segments, LANES), places in the joint stream and
@@ -256,19 +317,21 @@ class Coder:
         return np.concatenate([flat[k, : counts[k]] for k in range(n_seg)]) if n_seg else np.zeros(0, np.uint32)
 
 
-def write_block(coder: Coder, ids: np.ndarray, docs: list[tuple[int | None, int, int]]) -> bytes:
-    """docs: (doc_id, ids here, flags 2 first piece and 4 last piece)."""
-    states, place, stream = coder.encode(ids)
-    names = np.array([0 if d is None else d for d, _, _ in docs], "<i8").tobytes() + bytes((d is None) | f for d, _, f in docs)
-    lens = np.array([n for _, n, _ in docs], "<u4").tobytes()
-    marks = b"".join(states[k].astype("<u8").tobytes() + struct.pack("<I", place[k]) for k in range(len(states)))
-    header = struct.pack("<4I", len(ids), len(docs), len(states), len(names)) + names + lens + marks
-    payload = stream.astype("<u4").tobytes()
-    return MAGIC + struct.pack("<4I", len(header), len(payload), zlib.crc32(header), zlib.crc32(payload)) + header + payload
+def write_blocks(coder: Coder, blocks: list[tuple[np.ndarray, list[tuple[int | None, int, int]]]]) -> list[bytes]:
+    """blocks: (ids, documents), a document being (doc_id, ids here, flags 2 first piece and 4 last piece)."""
+    out = []
+    for (ids, docs), (states, place, stream) in zip(blocks, coder.encode([ids for ids, _ in blocks]), strict=True):
+        names = np.array([0 if d is None else d for d, _, _ in docs], "<i8").tobytes() + bytes((d is None) | f for d, _, f in docs)
+        lens = np.array([n for _, n, _ in docs], "<u4").tobytes()
+        marks = b"".join(states[k].astype("<u8").tobytes() + struct.pack("<I", place[k]) for k in range(len(states)))
+        header = struct.pack("<4I", len(ids), len(docs), len(states), len(names)) + names + lens + marks
+        payload = stream.astype("<u4").tobytes()
+        out.append(MAGIC + struct.pack("<4I", len(header), len(payload), zlib.crc32(header), zlib.crc32(payload)) + header + payload)
+    return out
 
 
 def read_blocks(coder: Coder, blocks: list[bytes]) -> list[tuple[list[tuple[int | None, int, int]], np.ndarray]]:
-    """(documents as for write_block, ids) of each block; all segments of all blocks are decoded at once."""
+    """(documents as for write_blockss, ids) of each block; all segments of all blocks are decoded at once."""
     heads, states, places, counts, streams, base = [], [], [], [], [], 0
     for b in blocks:
         if b[:4] != MAGIC:
@@ -301,6 +364,7 @@ def read_blocks(coder: Coder, blocks: list[bytes]) -> list[tuple[list[tuple[int
 def write(docs: DataFrame, out: str, tokenizer_path: str, end_id: int, parts: int | None = None) -> None:
     """Writes the documents' ids to the folder `out`."""
     spark = docs.sparkSession
+    small_batches(spark)
     n = parts or partitions(spark)
     quantiles = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or []
     borders = sorted(set(quantiles))
@@ -310,40 +374,46 @@ def write(docs: DataFrame, out: str, tokenizer_path: str, end_id: int, parts: in
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(shared.value)
-        part, seq, first = -1, 0, 0
+        part, seq, first, size = -1, 0, 0, 0
         ids: list[np.ndarray] = []
         held: list[tuple[int | None, int, int]] = []
-        rows: list[tuple] = []
-        size = 0
+        ready: list[tuple] = []
 
-        def flush() -> None:
+        def close() -> None:
             nonlocal ids, held, size, seq, first
             if held:
-                rows.append((part, seq, first, size, len(held), write_block(coder, np.concatenate(ids), held)))
+                ready.append((part, seq, first, size, np.concatenate(ids), held))
                 seq, first = seq + 1, first + size
             ids, held, size = [], [], 0
 
+        def coded() -> pd.DataFrame:
+            blocks = write_blocks(coder, [(r[4], r[5]) for r in ready])
+            rows = [(*r[:4], len(r[5]), b) for r, b in zip(ready, blocks, strict=True)]
+            ready.clear()
+            return pd.DataFrame(rows, columns=["part", "seq", "first", "n_tokens", "n_docs", "block"])
+
         for pdf in batches:
-            for key, p, data in zip(pdf["doc_id"], pdf["part"], pdf["ids"], strict=True):
+            for key, p, data in zip(pdf["doc_id"].tolist(), pdf["part"].tolist(), pdf["ids"], strict=True):
                 if p != part:
-                    flush()
+                    close()
                     part, seq, first = p, 0, 0
                 x = _unpack(data)
+                if size + len(x) > BLOCK:
+                    close()
                 at = 0
                 while at < len(x):
                     take = min(len(x) - at, BLOCK - size)
                     ids.append(x[at : at + take])
-                    held.append((None if pd.isna(key) else int(key), take, 2 * (at == 0) + 4 * (at + take == len(x))))
+                    held.append((None if key == NULL_ID else key, take, 2 * (at == 0) + 4 * (at + take == len(x))))
                     at += take
                     size += take
                     if size == BLOCK:
-                        flush()
-            if rows:
-                yield pd.DataFrame(rows, columns=["part", "seq", "first", "n_tokens", "n_docs", "block"])
-                rows.clear()
-        flush()
-        if rows:
-            yield pd.DataFrame(rows, columns=["part", "seq", "first", "n_tokens", "n_docs", "block"])
+                        close()
+                if len(ready) >= TOGETHER:
+                    yield coded()
+        close()
+        if ready:
+            yield coded()
 
     # ids are sorted in the JVM; equal ids by their bytes, so that runs agree
     dealt = tokens.filter("part IS NOT NULL").repartitionById(len(borders) + 1, "part").sortWithinPartitions("part", "doc_id", "ids")
@@ -371,8 +441,8 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(shared.value)
         for pdf in batches:
-            for i in range(0, len(pdf), 16):
-                some = pdf.iloc[i : i + 16]
+            for i in range(0, len(pdf), TOGETHER):
+                some = pdf.iloc[i : i + TOGETHER]
                 rows = []
                 for r, (docs, ids) in zip(some.itertuples(), read_blocks(coder, list(some["block"])), strict=True):
                     at = 0
@@ -381,8 +451,8 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
                         row = (key, r.part, r.seq, r.base + r.first + at, n, flags, zlib.crc32(x.astype("<u4").tobytes()))
                         rows.append((*row, x.astype(np.int64)) if with_ids else row)
                         at += n
-                out = pd.DataFrame(rows, columns=["doc_id", "part", "seq", "start", "n_tokens", "flags", "crc", *["ids"] * with_ids])
-                out["doc_id"] = out["doc_id"].astype("Int64")
+                out = pd.DataFrame([r[1:] for r in rows], columns=["part", "seq", "start", "n_tokens", "flags", "crc", *["ids"] * with_ids])
+                out.insert(0, "doc_id", pd.array([r[0] for r in rows], "Int64"))
                 yield out
 
     blocks = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
@@ -429,13 +499,12 @@ def summary(pieces: DataFrame) -> DataFrame:
                 if r.flags & 4:
                     rows.append((key, start, n, crc))
             if rows:
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
                 rows = []
 
-    several = pieces.filter("flags <> 6").repartition("part").sortWithinPartitions("part", "start").mapInPandas(together, whole.schema)
-    return whole.unionByName(several)
+    pieced = pieces.filter("flags <> 6").withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))  # else pandas turns ids to floats
+    several = pieced.repartition("part").sortWithinPartitions("part", "start").mapInPandas(together, whole.schema)
+    return whole.unionByName(several.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID))))
 
 
 def op1_rans(spark, sf_dir: str) -> DataFrame:

@@ -25,31 +25,23 @@ from collections.abc import Iterator
 from hashlib import sha256
 from unicodedata import is_normalized, normalize
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
+
+from folio.llm.shared import byte_alphabet, forget, small_batches
 
 #: Parts up to which a word is merged by scans.
 SHORT = 48
 #: Words in a worker's cache.
 CACHE = 300_000
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _NEVER = 1 << 60
 
 
-def byte_alphabet() -> list[str]:
-    """The printable stand-in for each byte: itself where it is printable Latin-1, else the next of U+0100 on."""
-    keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    out, spare = [""] * 256, 0x100
-    for b in range(256):
-        if b in keep:
-            out[b] = chr(b)
-        else:
-            out[b], spare = chr(spare), spare + 1
-    return out
-
-
 class WordBPE:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -150,6 +142,7 @@ class WordBPE:
 
 
 _loaded: dict[str, WordBPE] = {}
+forget.append(_loaded.clear)
 
 
 def tokenizer(path: str) -> WordBPE:
@@ -159,19 +152,29 @@ def tokenizer(path: str) -> WordBPE:
     return _loaded[path]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """Adds n_tokens, ids (decimal, joined by blanks) and decoded, the text that the ids give back."""
+def encode(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns `keep`, and n_tokens, ids (array<int>) and decoded_sha256, the digest of the text that the ids
+    give back, which stays in the worker."""
+    small_batches(docs.sparkSession)
+    schema = StructType(docs.select(*keep).schema.fields).add("n_tokens", LongType()).add("ids", ArrayType(IntegerType())).add("decoded_sha256", StringType())
 
-    @F.pandas_udf("n long, ids string, decoded string")
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = tokenizer(path)
-        return pd.DataFrame([bpe.encode(t or "") for t in texts], columns=["n", "ids", "decoded"])
+        for pdf in batches:
+            for i in range(0, len(pdf), 200):
+                out = pdf[keep].iloc[i : i + 200].reset_index(drop=True)
+                made = [bpe.encode(t or "") for t in pdf["__text"].iloc[i : i + 200]]
+                out["n_tokens"] = [n for n, _, _ in made]
+                out["ids"] = [np.array(ids.split(), np.int32) for _, ids, _ in made]
+                out["decoded_sha256"] = [sha256(d.encode()).hexdigest() for _, _, d in made]
+                yield out
 
-    return docs.withColumn("__e", run(text)).withColumns({"n_tokens": F.col("__e.n"), "ids": F.col("__e.ids"), "decoded": F.col("__e.decoded")}).drop("__e")
+    return docs.select(*keep, F.col(text).alias("__text")).mapInPandas(run, schema)
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256): ids and decoded texts stay in the worker."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
