@@ -37,9 +37,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row's token ids, and the digest of what they decode to."""
-    out = word_bpe.encode(docs, word_bpe.default_path())
-    ids = F.when(F.col("n_tokens") > 0, F.split("ids", " ").cast("array<int>")).otherwise(F.array().cast("array<int>"))
-    return out.select("doc_id", "lang", "source", "n_tokens", ids.alias("ids"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return word_bpe.encode(docs, word_bpe.default_path(), ["doc_id", "lang", "source"])
 
 
 STAGES = [("quality", quality), ("near_copies", near), ("repeats", passages), ("mixing", mixed), ("bpe", tokens)]

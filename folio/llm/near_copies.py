@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.shared import Sets, block_pairs, bounds, connected_components, split_by_slots, table, whole_groups
+from folio.llm.shared import Sets, block_pairs, bounds, connected_components, small_batches, split_by_slots, table, trim, whole_groups
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -55,7 +55,8 @@ ABSORB = 0.08
 SUBTREE = 4096
 BLOCK = 512
 #: Bytes of text that are shingled at once.
-CHUNK = 4_000_000
+CHUNK = 500_000
+NULL_ID = -(1 << 63)
 
 
 def depth_for(recall: float = RECALL, similarity: float = SIMILARITY, trees: int = TREES, label: int = LABEL) -> int:
@@ -164,17 +165,18 @@ def sketch(docs: DataFrame, words: int = WORDS, depth: int | None = None) -> Dat
                 key, low = key.view(np.int64), (sig & np.uint32(0xFF)).astype(np.uint8)
                 rows, r = [], 0
                 for k, doc in enumerate(ids[i:j]):
-                    doc = None if pd.isna(doc) else int(doc)
+                    doc = None if doc == NULL_ID else doc
                     if at[k + 1] > at[k]:
                         rows.append((doc, _set_key(value[at[k] : at[k + 1]]), key[r].tolist(), low[r].tobytes()))
                         r += 1
                     else:
                         rows.append((doc, None, None, None))
-                out = pd.DataFrame(rows, columns=["doc_id", "set_key", "keys", "sig"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
+                out = pd.DataFrame(rows, columns=["doc_id", "set_key", "keys", "sig"], dtype=object)
+                out["doc_id"] = pd.array(out["doc_id"].tolist(), "Int64")
                 yield out
+        trim()
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, set_key binary, keys array<long>, sig binary")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text").mapInPandas(run, "doc_id long, set_key binary, keys array<long>, sig binary")
 
 
 def _subtree_links(label: np.ndarray, sig: np.ndarray) -> list[tuple[int, int]]:
@@ -289,6 +291,7 @@ def verified(docs: DataFrame, clusters: DataFrame, words: int = WORDS, similarit
                 value, at = shingles([t or "" for t in texts[i:j]], words)
                 sets = [value[at[k] : at[k + 1]] for k in range(j - i)]
                 yield pd.DataFrame({"rep": ids[i:j], "found": [_set_key(s) for s in sets], "set": [s.tobytes() for s in sets]})
+        trim()
 
     sets = maybe.mapInPandas(cut, "rep long, found binary, set binary")
     met = sets.join(clusters, "rep").filter("found = set_key").drop("found", "set_key")
@@ -314,6 +317,7 @@ def verified(docs: DataFrame, clusters: DataFrame, words: int = WORDS, similarit
                         forest.join(a, int(b))
                 n = link @ copies
                 yield pd.DataFrame({"rep": rep, "links": n, "root": rep[forest.roots()]})[n > 0]
+        trim()
 
     out = table(dealt.mapInPandas(run, "rep long, links long, root long"), "verified")
     return out.groupBy("rep").agg(F.sum("links").alias("links")), out.select(F.col("rep").alias("a"), F.col("root").alias("b"))
@@ -321,6 +325,7 @@ def verified(docs: DataFrame, clusters: DataFrame, words: int = WORDS, similarit
 
 def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, n_links), one row for each row of docs."""
+    small_batches(docs.sparkSession)
     each = table(sketch(docs, words), "sketches")
     some = each.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
     texts = table(some.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max(F.struct("keys", "sig")).alias("s")).select("set_key", "rep", "copies", "s.keys", "s.sig"), "texts")

@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folio.llm.shared import small_batches
+
 POSITIVES = 8_000
 UNLABELLED = 16_000
 FOLDS = 3
@@ -166,6 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """Adds held_out, score and predicted."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

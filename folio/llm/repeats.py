@@ -37,18 +37,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.near_copies import _mix
-from folio.llm.shared import bounds, partitions, split_by_slots, table, whole_groups
+from folio.llm.shared import bounds, partitions, small_batches, split_by_slots, table, trim, whole_groups, zstd
 
 LENGTH = 100
 GRAM = 32
 #: Bytes of text whose windows are hashed at once; a longer document is a chunk of its own.
-CHUNK = 1_000_000
+CHUNK = 400_000
 #: Records that a task holds before it sends them on.
-HELD = 1_000_000
+HELD = 300_000
 #: Kinds of segments at one anchor that are compared in one task.
 KINDS = 20_000
 #: Bytes of one suffix array, unless one anchor has more.
-ARRAY = 1_000_000
+ARRAY = 600_000
 NULL_ID = -(1 << 63)
 _BASE, _BASE2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
@@ -128,15 +128,11 @@ _FIELDS = (("anchor", "<u8"), ("kind", "<u8"), ("doc", "<i8"), ("text", "<i8"),
 
 
 def _pack(rows: dict[str, np.ndarray]) -> bytes:
-    import zstandard
-
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(rows[k].astype(t)).view(np.uint8).reshape(len(rows[k]), -1).T.tobytes() for k, t in _FIELDS))
+    return zstd()[0].compress(b"".join(np.ascontiguousarray(rows[k].astype(t)).view(np.uint8).reshape(len(rows[k]), -1).T.tobytes() for k, t in _FIELDS))
 
 
 def _unpack(data: bytes, n: int) -> dict[str, np.ndarray]:
-    import zstandard
-
-    raw, at, out = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8), 0, {}
+    raw, at, out = np.frombuffer(zstd()[1].decompress(data), np.uint8), 0, {}
     for k, t in _FIELDS:
         w = np.dtype(t).itemsize
         out[k] = np.ascontiguousarray(raw[at : at + n * w].reshape(w, n).T).view(t).ravel()
@@ -205,6 +201,7 @@ def _records(docs: DataFrame, buckets: int, local: bool) -> DataFrame:
                         yield from flush()
                 i = j
         yield from flush()
+        trim()
 
     return docs.mapInPandas(run, "doc long, hash long, start long, end long" if local else "bucket long, n int, rows binary")
 
@@ -230,6 +227,7 @@ def _meet(records: DataFrame) -> DataFrame:
             out["anchor"] = pd.array([None] * none + rows["anchor"][order[ask]].view(np.int64).tolist(), "Int64")
             out["hot"] = np.append(np.zeros(none, bool), kinds[ask] > KINDS)
             yield out
+        trim()
 
     return records.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, "doc long, hash long, start long, end long, anchor long, hot boolean")
 
@@ -383,12 +381,14 @@ def _compare(cut: DataFrame) -> DataFrame:
             out = settle(pdf)
             if out is not None:
                 yield out
+        trim()
 
     return cut.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(run, "doc long, hash long, start long, end long")
 
 
 def runs(docs: DataFrame) -> DataFrame:
     """(doc, hash, start, end): byte runs that go, overlapping and in no order."""
+    small_batches(docs.sparkSession)
     keyed = _keyed(docs)
     long = keyed.filter(F.octet_length("text") >= LENGTH)
     buckets = 4 * partitions(docs.sparkSession)

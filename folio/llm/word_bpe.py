@@ -56,6 +56,9 @@ class WordBPE:
         self.special_re = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.word_re = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
         self.space_re = regex.compile(rf"[{_SPACE}]+")
+        self.path = path
+        self.unknown_re = regex.compile(r"\p{Cn}")
+        self.kinds: dict[str, str] = {}
         self.odd_space = regex.compile(r"[\x1c-\x1f]")
         self.bytes = byte_alphabet()
         self.cache: dict[str, tuple[int, str, str]] = {}
@@ -104,9 +107,22 @@ class WordBPE:
                     heapq.heappush(heap, (r, x, parts[x], parts[y]))
         return [p for p in parts if p]
 
+    def words(self, piece: str) -> list[str]:
+        """The words of a piece. For characters that the regex module's Unicode tables don't have, the library is asked
+        once what it takes them for, and a stand-in of that kind is matched in their place."""
+        if not self.unknown_re.search(piece):
+            return self.word_re.findall(piece)
+        if new := {c for c in self.unknown_re.findall(piece) if c not in self.kinds}:
+            from tokenizers import Tokenizer
+
+            cut = Tokenizer.from_file(self.path).pre_tokenizer.pre_tokenize_str
+            self.kinds |= {c: "a" if len(cut("a" + c)) == 1 else "!" if len(cut("!" + c)) == 1 else "1" for c in new}
+        stand_in = "".join(self.kinds.get(c, c) for c in piece)
+        return [piece[m.start() : m.end()] for m in self.word_re.finditer(stand_in)]
+
     def chunk(self, piece: str) -> tuple[int, str, str]:
         """(number of ids, ids, tokens) of a piece without white space; ids and tokens joined by blanks."""
-        out = [t for w in self.word_re.findall(piece) for t in self.merge(w)]
+        out = [t for w in self.words(piece) for t in self.merge(w)]
         found = len(out), " ".join(str(self.vocab[t]) for t in out), " ".join(out)
         if len(piece) <= 64:
             if len(self.cache) >= CACHE:

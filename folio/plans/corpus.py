@@ -14,7 +14,7 @@ PER_FILE = 40
 
 SAMPLES = (
     ("接入管理规范.md", "# 接入管理规范\n\n前言说明\n\n## 第一章 总则\n\n第 3 页 / 共 9 页\n\n本规范所称成员机构，是指接入平台的机构，以下简称“机构”，英文简称为 ORG。机构应在每日 18:00 前完成对账！\n\n第二章 接入要求\n\n3.1 接口参数\n短父章节。\n\n3.1.1 接口参数列表\n\n| 参数 | 说明 |\n|---|---|\n| orgCode | 机构编码 |\n\n- 接口响应时间应小于 3 秒；超时应告警。\n1. 参数错误时返回错误码并记录日志。\n\n12\n\n3.1.2 异常处理 第 5 页\n**异常处理**应遵循先恢复后定位的原则。异常处理流程包括发现、上报、处置。\n\n附录A 术语定义\n机构编码由平台统一分配，长度不超过 14 位。"),
-    ("通知.txt", "成员机构变更通知应在计划变更前三个工作日报备，并完成变更报备、执行评价以及影响范围说明。\n当用户询问成员机构变更通知、变更报备、计划变更或执行评价时优先调用。\n来源页码：3\n不涉及查询接口。\n版本为 V 2.1，适用于测试环境。"),
+    ("通知.txt", "接入机构变动通知应在计划调整前三个工作日报备，并完成变动报备、执行复核以及影响面说明。\n当用户询问接入机构变动通知、变动报备、计划调整或执行复核时调用。\n来源页码：3\n不涉及查询接口。\n版本为 V 2.1，适用于测试环境。"),
     ("目录.md", "目录....3\n---\n第 1 页\nPage 2 of 5\n----- · -----\n\n"),
     ("空.md", ""),
     ("文档片段样例.md", "文档片段 3\n全文检索说明\n\n#### 1.2.34\n\n1.2.3 标题\n\n2024 总结\n\nnuclear IPv4 abc_1 异常处理 异常处理 来源文档\n##### 五级标题\n\n# 接口\n\n接口说明接口说明，接口参数。"),
@@ -65,7 +65,7 @@ UNION ALL {SAMPLES_SQL}"""
 
 #: A catalogue for matching: one tool as in the samples, one that the prose meets by words alone, one that never matches.
 TOOLS = (
-    {"name": "query_member_change_notices", "display_name": "查询机构变更通知", "description": "查询成员机构近期变更、变更报备、计划变更、执行评价以及影响范围。", "trigger": "当用户询问成员机构变更通知、变更报备、计划变更或执行评价时优先调用。",
+    {"name": "query_change_notices", "display_name": "查询接入机构变动", "description": "查询接入机构的近期变动、变动报备、计划调整、执行复核以及影响面。", "trigger": "当用户询问接入机构变动通知、变动报备、计划调整或执行复核时调用。",
      "input_schema": {"properties": {"orgCode": {"description": "机构编码"}}}, "output_schema": {"type": "array"}},
     {"name": "tionthe_lookup", "display_name": "thand other", "description": "that this with from only", "trigger": "tionou ering anded", "required_permissions": ["read"], "requires_confirmation": True},
     {"name": "never_called_zz", "display_name": "", "description": "查询状态", "trigger": "", "risk_level": "high"},

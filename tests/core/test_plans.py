@@ -100,7 +100,7 @@ def test_draft(docs):
     assert [r.source_order for r in rows] == list(range(1, len(rows) + 1)) and len({r.file_name for r in rows}) == len(rows)
     one = next(r for r in rows if r.source_doc == "通知.txt")
     assert one.file_name == f"通知-20260610153045-a1b2c3d4-{one.source_order:06d}-{one.kb_id}.md" and one.source_version == "V2.1"
-    assert "```yaml\nfunction_name: \"query_member_change_notices\"" in one.body and "来源页码：" not in one.body.split("## 5.")[0]
+    assert "```yaml\nfunction_name: \"query_change_notices\"" in one.body and "来源页码：" not in one.body.split("## 5.")[0]
     assert one.body.count("## ") >= 5 and "## 5. 来源依据\n\n- 来源文档：通知.txt\n- 来源章节：文档片段 1\n- 来源说明" in one.body
     assert {(r.source_doc, r.block_index, r.piece_index, r.body) for r in rows} == {(r.source_doc, r.block_index, r.piece_index, r.body) for r in draft(docs.repartition(5), CATALOGUE, "20260610153045", "a1b2c3d4").collect()}
 
@@ -111,7 +111,7 @@ def test_file_name(spark):
     assert sorted(got) == ["制度-20260610153045-a1b2c3d4-000012-biz-offline-abc-v1.md", "制度-20260610153045-a1b2c3d4-failed-000012-biz-offline-abc-v1.md"]
 
 
-DEFINITION = "# 术语\n网联清算平台以下简称“网联平台”，英文简称为 EPCC，是清算机构。"
+DEFINITION = "# 术语\n统一结算平台以下简称“结算平台”，英文简称为 EPCC，是结算机构。"
 
 
 def chunk_table(spark):
@@ -126,8 +126,8 @@ def answer(core, **more):
 
 
 def test_model_exchange():
-    chunk = {"source_doc": "a.md", "source_section": "术语", "content": DEFINITION, "context": "上下文", "facts": ["网联清算平台以下简称“网联平台”，英文简称为 EPCC，是清算机构。"]}
-    seen, said = [], iter([{"choices": []}, {"choices": [{"message": {"content": '{"answer":"bad"}'}}]}, {"choices": [{"message": {"content": '{"items": [1,}'}, "finish_reason": "length"}]}, answer("网联平台即 EPCC。"), answer(DEFINITION.split("\n")[1])])
+    chunk = {"source_doc": "a.md", "source_section": "术语", "content": DEFINITION, "context": "上下文", "facts": ["统一结算平台以下简称“结算平台”，英文简称为 EPCC，是结算机构。"]}
+    seen, said = [], iter([{"choices": []}, {"choices": [{"message": {"content": '{"answer":"bad"}'}}]}, {"choices": [{"message": {"content": '{"items": [1,}'}, "finish_reason": "length"}]}, answer("结算平台即 EPCC。"), answer(DEFINITION.split("\n")[1])])
 
     def complete(messages):
         seen.append([dict(m) for m in messages])
@@ -137,7 +137,7 @@ def test_model_exchange():
     assert len(objects) == 1 and not missing and len(seen) == 5
     assert seen[2][4]["content"] == '{"answer":"bad"}' and "object keys=['answer']" in seen[2][5]["content"] and "截断" in seen[3][7]["content"] and "line 1, column" in seen[3][7]["content"]
     last = seen[4][-1]["content"]
-    assert all(x in last for x in ("a.md", "术语", "EPCC，是清算机构", "上下文", "网联平台即 EPCC"))
+    assert all(x in last for x in ("a.md", "术语", "EPCC，是结算机构", "上下文", "结算平台即 EPCC"))
     assert all(x in seen[0][1]["content"] for x in ("以下简称", "英文简称", DEFINITION, "status 为"))
     waits = []
     assert model_calls.converse(chunk, lambda m: 1 / 0, "active", wait=waits.append) == ([], []) and waits == [1, 2, 4, 8, 16, 30, 30, 30, 30]
@@ -171,14 +171,14 @@ def test_by_model(spark):
     made = by_model(chunk_table(spark), CATALOGUE, "active", complete, attempts=5, wait=lambda s: None, keep=lambda d: d.cache())
     rows = {r.source_doc: r for r in made.collect()}
     good, bad = rows["定义.md"], rows["坏.md"]
-    assert good.review_status == "coverage_warning" and good.status == "draft" and good.tags == ["EPCC", "网联", "需人工复核"] and "> - 网联清算平台以下简称" in good.body
+    assert good.review_status == "coverage_warning" and good.status == "draft" and good.tags == ["EPCC", "网联", "需人工复核"] and "> - 统一结算平台以下简称" in good.body
     assert good.doc_type == "biz" and good.kb_id.startswith("biz-offline-") and good.risk_level == "high" and good.category == "清算"
     assert [tuple(x) for x in good.related_items][0] == ("甲", "乙", "同组", "高") and len([x for x in good.related_items if x["小类标题"] == "乙"]) == 1
     assert bad.review_status == "failed" and "## failed_chunk_source\n\n```text\n# 坏" in bad.body and bad.body.endswith("```")
 
 
 def test_missing_facts(spark):
-    fact = "网联清算平台以下简称“网联平台”，英文简称为 EPCC，是清算机构。"
+    fact = "统一结算平台以下简称“结算平台”，英文简称为 EPCC，是结算机构。"
     rows = spark.createDataFrame([(DEFINITION, ["# t\n\n## 1. 核心内容\n\n短"]), (DEFINITION, [f"# t\n\n{fact}"]), (DEFINITION, [f"x\n## 4. 关联能力\n{fact}"])], "c string, b array<string>")
     assert [r.m for r in rows.select(coverage.missing_facts(F.col("c"), F.col("b")).alias("m")).collect()] == [[fact], [], [fact]]
 

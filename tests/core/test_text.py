@@ -140,7 +140,7 @@ def test_tools(spark):
     from folio.plans.corpus import TOOLS
 
     catalogue = [dict(t) for t in TOOLS]
-    texts = ["成员机构变更通知应在三个工作日报备，执行评价以及影响范围说明。当用户询问成员机构变更通知时优先调用。", "本条不涉及查询机构变更通知工具。", "查询 接口 工具 当前", "call QUERY_MEMBER_CHANGE_NOTICES now"]
+    texts = ["接入机构变动通知应在三个工作日报备，执行复核以及影响面说明。当用户询问接入机构变动通知时调用。", "本条不涉及查询接入机构变动工具。", "查询 接口 工具 当前", "call QUERY_CHANGE_NOTICES now"]
     assert of(spark, lambda x: tools.matched(x, catalogue), texts) == [[0], [], [], [0]]
     assert of(spark, lambda x: tools.matched(x, []), texts[:1]) == [[]]
     text = tools.tool_yaml(catalogue[0])
