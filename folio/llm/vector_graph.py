@@ -12,7 +12,8 @@ Vectors are compared within their label only. Equal vectors are one point with a
    beam has settled the search widens over all neighbours of what lies within the range, until nothing new does.
 4. Each pair that was found is verified by its cosine in double precision.
 5. Recall is audited: for up to AUDIT points the links are counted by brute force. Below TARGET the search is
-   repeated with more overlap and a longer beam.
+   repeated with more overlap and a longer beam; if the last attempt is below it too, all pairs of blocks within
+   each label are compared by matrix product.
 
 What leaves a shard is one count for each point and a spanning forest, never pairs; a pair that shares
 several shards is counted in the first. So a bundle of near copies costs no more rows than its points.
@@ -259,6 +260,43 @@ def local_roots(link: np.ndarray) -> np.ndarray:
         root = low
 
 
+def verified(x: np.ndarray, link: np.ndarray, cosine: float) -> None:
+    """Clears the links whose cosine in double precision falls short, some rows at a time."""
+    step = max(1, 200_000 // len(x))
+    for s in range(0, len(x), step):
+        a, b = np.nonzero(link[s : s + step])
+        short = np.einsum("ij,ij->i", x[a + s], x[b]) < cosine
+        link[a[short] + s, b[short]] = False
+
+
+def all_links(pts: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """What links() returns, by comparing all points of a label."""
+    keys = ["label", "__i", "__j"]
+    sizes = pts.groupBy("label").agg(F.count("*").alias("n"))
+    placed = block_pairs(pts.join(sizes, "label").filter("n > 1"), "n", "rep", BLOCK)
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in whole_groups(batches, keys, 2_000):
+            cut = bounds(*(pdf[k].to_numpy() for k in keys))
+            for s, e in zip(cut[:-1], cut[1:], strict=True):
+                g = pdf.iloc[s:e]
+                rep, own, x = g["rep"].to_numpy(np.int64), g["__own"].to_numpy(np.int64), _unit(g["v"].tolist())
+                link = np.zeros((len(x), len(x)), bool)
+                for a in range(0, len(x), 512):
+                    link[a : a + 512] = x[a : a + 512] @ x.T >= cosine - 1e-9
+                np.fill_diagonal(link, False)
+                if g["__i"].iloc[0] != g["__j"].iloc[0]:
+                    link &= own[:, None] != own[None, :]
+                verified(x, link, cosine)
+                roots = local_roots(link)
+                n = link @ g["copies"].to_numpy(np.int64)
+                yield pd.DataFrame({"rep": rep, "links": n, "root": rep[roots]})[(n > 0) | (roots != np.arange(len(rep)))]
+
+    out = placed.select(*keys, "rep", "copies", "v", "__own").repartition(*keys).sortWithinPartitions(*keys, "rep").mapInPandas(compare, "rep long, links long, root long")
+    out = table(out, "links")
+    return out.groupBy("rep").agg(F.sum("links").alias("links")), out.select(F.col("rep").alias("a"), F.col("root").alias("b"))
+
+
 _KEYS = ["label", "shard", "__i", "__j"]
 
 
@@ -354,6 +392,8 @@ def components(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedd
         counts = table(counts, "counts")
         if audit(pts, counts, cosine) >= TARGET:
             break
+    else:
+        counts, forest = all_links(pts, cosine)
     found = connected_components(forest, "a", "b")
     of_point = (
         pts.select("key", "rep", "copies")
