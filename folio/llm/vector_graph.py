@@ -11,7 +11,8 @@ Vectors are compared within their label only. Equal vectors are one point with a
 3. Each shard is searched for each of its points: greedily from the medoids of its parts with a beam, and when the
    beam has settled the search widens over all neighbours of what lies within the range, until nothing new does.
 4. Each pair that was found is verified by its cosine in double precision.
-5. Recall is audited: for up to AUDIT points the links are counted by brute force. Below TARGET the search is
+5. Recall is audited: for some points, drawn uniformly, the links are counted by brute force, and the mean share
+   that was found is taken, by point and not by link, over all and within labels and small and large degrees. Below TARGET the search is
    repeated with more overlap and a longer beam; if the last attempt is below it too, all pairs of blocks within
    each label are compared by matrix product.
 
@@ -19,7 +20,7 @@ What leaves a shard is one count for each point and a spanning forest, never pai
 several shards is counted in the first. So a bundle of near copies costs no more rows than its points.
 
 Bounds: at most SAMPLE vectors are collected to fit centroids, at most CENTROIDS centroids are broadcast, and
-AUDIT vectors for the audit; every point is indexed and searched.
+MOST vectors for the audit; every point is indexed and searched.
 
 Cases: vectors that are null, zero, or hold null or non-finite components, and those without a label, link
 with nothing; so do rows without an id, whose component is null and which are kept. Vectors of different
@@ -52,6 +53,11 @@ ALPHA = 1.2
 #: Points whose cosine falls short by this much are still followed while the range widens.
 SLACK = 0.05
 AUDIT = 400
+#: Uniform draws of the audit grow up to about so many, while fewer than ENOUGH of them have links.
+MOST = 25_600
+ENOUGH = 30
+#: Points with at most so many links are judged apart from those with more.
+FEW = 3
 TARGET = 0.95
 #: (overlap, beam) of the attempts.
 ATTEMPTS = ((2, 48), (3, 96), (5, 192))
@@ -355,31 +361,58 @@ def links(assigned: DataFrame, cosine: float, beam: int) -> tuple[DataFrame, Dat
     return out.groupBy("rep").agg(F.sum("links").alias("links")), out.select(F.col("rep").alias("a"), F.col("root").alias("b"))
 
 
-def audit(pts: DataFrame, counts: DataFrame, cosine: float, sample: int = AUDIT) -> float:
-    """The share of links that were found, over up to `sample` points, half of them such that have links."""
-    spark = pts.sparkSession
-    some = lambda d, n: d.orderBy(F.xxhash64("rep", F.lit(5)), "rep").limit(n)
-    ids = some(pts.select("rep"), sample // 2).union(some(counts.filter("links > 0").select("rep"), sample // 2)).distinct()
+def _probed(pts: DataFrame, ids: DataFrame, counts: DataFrame, cosine: float) -> pd.DataFrame:
+    """(rep, label, n, got) of some points: their links by brute force, and as they were found."""
     probe = pts.join(F.broadcast(ids), "rep").select("key", "rep", "label", "v").toPandas()
     if not len(probe):
-        return 1.0
+        return pd.DataFrame({"rep": [], "label": [], "n": [], "got": []})
     width = max(map(len, probe["v"]))
-    shared = spark.sparkContext.broadcast({label: (g["key"].tolist(), g["rep"].to_numpy(np.int64), _unit(g["v"].tolist(), width)) for label, g in probe.groupby("label")})
+    shared = pts.sparkSession.sparkContext.broadcast({label: (g["key"].to_numpy(), g["rep"].to_numpy(np.int64), _unit(g["v"].tolist(), width)) for label, g in probe.groupby("label")})
 
     def brute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[str, np.ndarray] = {}
         for pdf in batches:
             for label, g in pdf.groupby("label"):
                 if label not in shared.value:
                     continue
-                keys, reps, x = shared.value[label]
-                y = _unit(g["v"].tolist())
+                keys, _, x = shared.value[label]
+                n = total.setdefault(label, np.zeros(len(keys), np.int64))
+                y, copies, own = _unit(g["v"].tolist()), g["copies"].to_numpy(np.int64), g["key"].to_numpy()
                 m = min(x.shape[1], y.shape[1])
-                near = (x[:, :m] @ y[:, :m].T >= cosine) & (np.array(keys)[:, None] != g["key"].to_numpy()[None, :])
-                yield pd.DataFrame({"rep": reps, "n": near @ g["copies"].to_numpy(np.int64)})
+                for a in range(0, len(x), 512):
+                    near = x[a : a + 512, :m] @ y[:, :m].T >= cosine
+                    near &= keys[a : a + 512, None] != own[None, :]
+                    n[a : a + 512] += near @ copies
+        for label, n in total.items():
+            yield pd.DataFrame({"rep": shared.value[label][1], "label": label, "n": n})
+
+    true = pts.select("key", "label", "copies", "v").mapInPandas(brute, "rep long, label string, n long").groupBy("rep").agg(F.min("label").alias("label"), F.sum("n").alias("n"))
+    return true.join(counts, "rep", "left").select("rep", "label", "n", F.coalesce("links", F.lit(0)).alias("got")).toPandas()
+
+
+def _least_recall(probes: pd.DataFrame) -> float:
+    """The least mean of the share of a point's links that were found: over all points with links, and over those
+    with at most FEW links, with more, and of each label, where ENOUGH were probed."""
+    linked = probes[probes["n"] > 0]
+    if not len(linked):
+        return 1.0
+    share = np.minimum(linked["got"], linked["n"]) / linked["n"]
+    strata = [g for by in (linked["n"] <= FEW, linked["label"]) for _, g in share.groupby(by) if len(g) >= ENOUGH]
+    return float(min(g.mean() for g in [share, *strata]))
+
 
-    true = pts.select("key", "label", "copies", "v").mapInPandas(brute, "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n"))
-    got = true.join(counts, "rep", "left").agg(F.sum("n"), F.sum(F.least(F.coalesce("links", F.lit(0)), F.col("n")))).first()
-    return 1.0 if not got[0] else got[1] / got[0]
+def audit(pts: DataFrame, counts: DataFrame, cosine: float, sample: int = AUDIT) -> float:
+    """The mean recall of a point, the least of its strata. Points are drawn uniformly, more of them while fewer
+    than ENOUGH have links, up to MOST; up to `sample` points with found links are judged on their own."""
+    some = lambda d, n: d.select("rep").distinct().orderBy(F.xxhash64("rep", F.lit(5)), "rep").limit(n)
+    total = pts.count()
+    while True:
+        drawn = _probed(pts, some(pts, sample), counts, cosine)
+        if (drawn["n"] > 0).sum() >= ENOUGH or sample >= min(total, MOST):
+            break
+        sample *= 8
+    found = _probed(pts, some(counts.filter("links > 0"), AUDIT), counts, cosine)
+    return min(_least_recall(drawn), _least_recall(found))
 
 
 def components(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE) -> DataFrame:

@@ -28,3 +28,16 @@ def test_exact_when_recall_stays_low(spark, monkeypatch, block):
     rows = groups()
     got = sorted((tuple(r) for r in vg.components(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
     assert got == brute_components(rows)
+
+
+def test_hot_group_does_not_hide_losses(spark):
+    rng = np.random.default_rng(2)
+    hot = rng.normal(size=16)
+    rows = [(i, (hot + 0.01 * rng.normal(size=16)).tolist(), 0) for i in range(400)]
+    for g in range(100):
+        c = rng.normal(size=16)
+        rows += [(1000 + 2 * g + k, (c + 0.02 * rng.normal(size=16)).tolist(), 0) for k in range(2)]
+    _, pts = vg.points(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding", "label")
+    true = spark.createDataFrame([(r[0], r[1]) for r in brute_components(rows)], "rep long, links long")
+    assert vg.audit(pts, true, vg.COSINE) == 1.0
+    assert vg.audit(pts, true.filter("rep < 1000"), vg.COSINE) < vg.TARGET
