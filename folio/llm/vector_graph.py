@@ -10,14 +10,15 @@ Vectors are compared within their label only. Equal vectors are one point with a
    its shards are united.
 3. Each shard is searched for each of its points: greedily from the medoids of its parts with a beam, and when the
    beam has settled the search widens over all neighbours of what lies within the range, until nothing new does.
-4. Each pair that was found is verified by its cosine in double precision.
+4. Each pair that was found is verified by its cosine in double precision. Pairs that share several shards are
+   all compared in the first.
 5. Recall is audited: for some points, drawn uniformly, the links are counted by brute force, and the mean share
    that was found is taken, by point and not by link, over all and within labels and small and large degrees. Below TARGET the search is
    repeated with more overlap and a longer beam; if the last attempt is below it too, all pairs of blocks within
    each label are compared by matrix product.
 
 What leaves a shard is one count for each point and a spanning forest, never pairs; a pair that shares
-several shards is counted in the first. So a bundle of near copies costs no more rows than its points.
+several shards is counted in the first, wherever it was found. So a bundle of near copies costs no more rows than its points.
 
 Bounds: at most SAMPLE vectors are collected to fit centroids, at most CENTROIDS centroids are broadcast, and
 MOST vectors for the audit; every point is indexed and searched.
@@ -303,6 +304,27 @@ def all_links(pts: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
     return out.groupBy("rep").agg(F.sum("links").alias("links")), out.select(F.col("rep").alias("a"), F.col("root").alias("b"))
 
 
+def settle_shared(x: np.ndarray, link: np.ndarray, shards: list, shard: int, cosine: float) -> np.ndarray:
+    """Boolean (points, points): those that share an earlier shard, where they were counted. Pairs that share a
+    later shard too are compared here whether the search found them or not, as a pair that is only found there
+    would count nowhere. Links whose cosine falls short are cleared."""
+    n = len(x)
+    numbers = np.unique(np.concatenate([np.asarray(ts, np.int64) for ts in shards]))
+    member = np.zeros((n, len(numbers)), np.float32)
+    for r, ts in enumerate(shards):
+        member[r, np.searchsorted(numbers, ts)] = 1
+    before, after = member[:, numbers < shard], member[:, numbers > shard]
+    earlier = np.zeros((n, n), bool)
+    for a in range(0, n, 512):
+        earlier[a : a + 512] = before[a : a + 512] @ before.T > 0
+        later = (after[a : a + 512] @ after.T > 0) & ~earlier[a : a + 512]
+        if later.any():
+            link[a : a + 512] |= later & (x[a : a + 512] @ x.T >= cosine - 1e-9)
+    np.fill_diagonal(link, False)
+    verified(x, link, cosine)
+    return earlier
+
+
 _KEYS = ["label", "shard", "__i", "__j"]
 
 
@@ -339,20 +361,12 @@ def links(assigned: DataFrame, cosine: float, beam: int) -> tuple[DataFrame, Dat
                     at = np.minimum(np.searchsorted(rep[order], near), len(rep) - 1)
                     lists.append(order[at[rep[order[at]] == near]])
                 link = range_search(x, _dense(lists, len(rep), DEGREE), cosine, beam)
-                a, b = np.nonzero(link)
-                exact = np.einsum("ij,ij->i", x[a], x[b]) >= cosine
-                link[a[~exact], b[~exact]] = False
                 i, j, shard = int(g["__i"].iloc[0]), int(g["__j"].iloc[0]), int(g["shard"].iloc[0])
                 own = g["__own"].to_numpy(np.int64)
+                earlier = settle_shared(x, link, g["shards"].tolist(), shard, cosine)
                 if i != j:
                     link &= own[:, None] != own[None, :]
                 roots = local_roots(link)
-                # a pair counts in the first shard that both are in
-                earlier = np.zeros(link.shape, bool)
-                before = [{t for t in ts if t < shard} for ts in g["shards"]]
-                for t in set().union(*before):
-                    has = np.array([t in ts for ts in before])
-                    earlier |= has[:, None] & has[None, :]
                 n = (link & ~earlier) @ g["copies"].to_numpy(np.int64)
                 yield pd.DataFrame({"rep": rep, "links": n, "root": rep[roots]})[(n > 0) | (roots != np.arange(len(rep)))]
 

@@ -41,3 +41,18 @@ def test_hot_group_does_not_hide_losses(spark):
     true = spark.createDataFrame([(r[0], r[1]) for r in brute_components(rows)], "rep long, links long")
     assert vg.audit(pts, true, vg.COSINE) == 1.0
     assert vg.audit(pts, true.filter("rep < 1000"), vg.COSINE) < vg.TARGET
+
+
+def test_pair_found_in_a_later_shard_counts(spark, monkeypatch):
+    rows = [r for r in groups() if r[0] is not None and r[0] < 240 and r[2] == 0]
+    _, pts = vg.points(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding", "label")
+    assigned = pts.selectExpr("key", "rep", "copies", "label", "v", "IF(rep < 120, array(0, 1), array(0)) AS shards")
+
+    def late(x, graph, cosine, beam):  # the first shard has all points
+        return np.triu(x @ x.T >= cosine, 1) | np.tril(x @ x.T >= cosine, -1) if len(x) < len(rows) else np.zeros((len(x), len(x)), bool)
+
+    monkeypatch.setattr(vg, "range_search", late)
+    counts, forest = vg.links(assigned, vg.COSINE, 48)
+    want = {r[0]: r[1] for r in brute_components([r for r in rows if r[0] < 120]) if r[1]}
+    assert want and {r.rep: r.links for r in counts.filter("links > 0").collect()} == want
+    assert forest.filter("a <> b").count() > 0
