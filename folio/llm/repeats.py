@@ -10,7 +10,7 @@ together, and the rest of the text should stay where it is:
    equals). Equal windows have equal anchors in equal places. Windows that follow each other mostly share
    their anchor; together they are a segment. What is dealt out by the anchor's hash is one small record for
    each segment, with a hash of its bytes. Equal segments of one task are sent once, so a passage that is in
-   every document does not pile up.
+   every document does not pile up; what goes for that is written in the same table as the records.
 2. Where records meet, equal segments are settled: all but the first go. Anchors with one kind of segment
    are done. Only the first segment of each kind, at anchors of several kinds, is asked for by text.
 3. The texts that are asked for are dealt out by anchor, and a suffix array is built over them in two stages:
@@ -156,9 +156,30 @@ def _settle(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
     return order, first, gone
 
 
-def _records(docs: DataFrame, buckets: int, local: bool) -> DataFrame:
-    """local False: (bucket, n, rows), the packed records. local True: (doc, hash, start, end), what goes
-    because the same task has an equal segment that is earlier."""
+_RECORDS = "bucket long, n int, rows binary, doc long, hash long, start long, end long"
+
+
+def _joined(doc: np.ndarray, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> pd.DataFrame:
+    """(doc, hash, start, end): these runs of bytes, those that overlap or touch as one."""
+    order = np.lexsort((start, text, doc))
+    doc, text, start, end = doc[order], text[order], start[order], end[order]
+    cut = bounds(doc, text)
+    owner = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+    step = np.int64(end.max()) + 2  # keeps the running maximum within its document
+    reach = np.maximum.accumulate(end + owner * step)
+    begin = np.ones(len(start), bool)
+    begin[1:] = start[1:] + owner[1:] * step > reach[:-1]
+    s = np.flatnonzero(begin)
+    last = np.append(s[1:], len(start)) - 1
+    return pd.DataFrame({"doc": doc[s], "hash": text[s], "start": start[s], "end": reach[last] - owner[s] * step})
+
+
+def _records(docs: DataFrame, buckets: int) -> DataFrame:
+    """Packed records with their bucket and, where bucket is null, the runs (doc, hash, start, end) that go because
+    the same task has an equal segment that is earlier. Both are of one scan: how tasks cut the input may differ
+    in another one, and what one leaves out the other would not report."""
+
+    names = [x.split()[0] for x in _RECORDS.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[dict[str, np.ndarray]] = []
@@ -169,11 +190,13 @@ def _records(docs: DataFrame, buckets: int, local: bool) -> DataFrame:
             rows = {k: np.concatenate([h[k] for h in held]) for k, _ in _FIELDS}
             held.clear()
             order, _, gone = _settle(rows)
-            if local:
-                go = order[gone]
-                if len(go):
-                    yield pd.DataFrame({"doc": rows["doc"][go], "hash": rows["text"][go], "start": rows["start"][go].astype(np.int64), "end": rows["start"][go].astype(np.int64) + rows["windows"][go] + LENGTH - 1})
-                return
+            go = order[gone]
+            if len(go):
+                start = rows["start"][go].astype(np.int64)
+                runs = _joined(rows["doc"][go], rows["text"][go], start, start + rows["windows"][go] + LENGTH - 1)
+                runs["bucket"], runs["n"] = (pd.array([None] * len(runs), t) for t in ("Int64", "Int32"))
+                runs["rows"] = None
+                yield runs[names]
             stay = order[~gone]
             bucket = (rows["anchor"][stay] % np.uint64(buckets)).astype(np.int64)
             stay = stay[np.argsort(bucket, kind="stable")]
@@ -181,7 +204,10 @@ def _records(docs: DataFrame, buckets: int, local: bool) -> DataFrame:
             cut = bounds(bucket)
             for i in range(0, len(cut) - 1, 256):
                 some = list(zip(cut[i : i + 256], cut[i + 1 : i + 257], strict=False))
-                yield pd.DataFrame([(bucket[a], b - a, _pack({k: rows[k][stay[a:b]] for k, _ in _FIELDS})) for a, b in some], columns=["bucket", "n", "rows"])
+                out = pd.DataFrame([(bucket[a], b - a, _pack({k: rows[k][stay[a:b]] for k, _ in _FIELDS})) for a, b in some], columns=names[:3])
+                for name in names[3:]:
+                    out[name] = pd.array([None] * len(out), "Int64")
+                yield out
 
         for pdf in batches:
             texts, i = pdf["text"].tolist(), 0
@@ -203,7 +229,7 @@ def _records(docs: DataFrame, buckets: int, local: bool) -> DataFrame:
         yield from flush()
         trim()
 
-    return docs.mapInPandas(run, "doc long, hash long, start long, end long" if local else "bucket long, n int, rows binary")
+    return docs.mapInPandas(run, _RECORDS)
 
 
 def _meet(records: DataFrame) -> DataFrame:
@@ -392,11 +418,12 @@ def runs(docs: DataFrame) -> DataFrame:
     keyed = _keyed(docs)
     long = keyed.filter(F.octet_length("text") >= LENGTH)
     buckets = 4 * partitions(docs.sparkSession)
-    found = table(_meet(_records(long, buckets, False)), "records")
+    sent = table(_records(long, buckets), "sent")
+    found = table(_meet(sent.filter("bucket IS NOT NULL").select("bucket", "n", "rows")), "records")
     asks = found.filter("anchor IS NOT NULL").groupBy("doc", "hash").agg(F.collect_list(F.struct("anchor", "start", "end", "hot")).alias("asks"))
     maybe, _ = split_by_slots(long, "doc", found.filter("anchor IS NOT NULL"), "doc")
     compared = table(_compare(_cut_texts(maybe.join(asks, ["doc", "hash"]))), "compared")
-    return found.filter("anchor IS NULL").select("doc", "hash", "start", "end").unionByName(compared).unionByName(_records(long, buckets, True))
+    return found.filter("anchor IS NULL").select("doc", "hash", "start", "end").unionByName(compared).unionByName(sent.filter("bucket IS NULL").select("doc", "hash", "start", "end"))
 
 
 def _applied(docs: DataFrame, gone: DataFrame, texts: bool) -> DataFrame:

@@ -76,3 +76,35 @@ def test_clean_texts(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], DOCS)
     assert repeats.strip(docs).count() == 0 and repeats.clean_texts(docs).count() == 0
+
+
+def test_another_scan_may_be_cut_otherwise(spark, monkeypatch, tmp_path):
+    """Once a table is written, the input's tasks hold other rows, as after the loss of an executor."""
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"p{k}" for k in rng.integers(0, 900, 60))
+    docs = [(1, passage), (2, "x " * 80 + passage), (3, passage[40:])]
+    moved, write = tmp_path / "moved", repeats.table
+
+    def deal(batches):
+        import os
+
+        import pandas as pd
+
+        for pdf in batches:
+            for k in pdf["id"]:
+                own = docs[k : k + 1] if os.path.exists(moved) else docs if k == 0 else []
+                yield pd.DataFrame(own, columns=["doc_id", "text"])
+
+    def table(df, tag):
+        out = write(df, tag)
+        moved.touch()
+        return out
+
+    monkeypatch.setattr(repeats, "table", table)
+    assert rows(repeats.strip(spark.range(0, 3, 1, 3).mapInPandas(deal, "doc_id long, text string"))) == brute(docs)
+
+
+def test_joined_runs():
+    of = lambda rows: repeats._joined(*(np.array(x, np.int64) for x in zip(*rows)))
+    got = of([(1, 5, 0, 100), (1, 5, 100, 150), (1, 5, 151, 260), (1, 6, 10, 120), (2, 5, 0, 300), (2, 5, 20, 130), (2, 5, 290, 400), (-9, 5, 3, 9), (-9, 5, 3, 9)])
+    assert [tuple(r) for r in got.to_numpy().tolist()] == [(-9, 5, 3, 9), (1, 5, 0, 150), (1, 5, 151, 260), (1, 6, 10, 120), (2, 5, 0, 400)]
