@@ -30,19 +30,16 @@ left out. An empty table gives an empty file set.
 from __future__ import annotations
 
 import os
-import string
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folio.llm.shared import byte_alphabet, forget, new_path, partitions, small_batches, table, zstd
+from folio.llm.shared import forget, new_path, partitions, small_batches, table, zstd
 
 MAGIC = b"FRNS"
 PRECISION = 20
@@ -52,13 +49,9 @@ BLOCK = 4 * SEGMENT
 #: Blocks that a task codes side by side.
 TOGETHER = 16
 LOW = np.uint64(1 << 31)
-_PUNCT = string.punctuation
 NULL_ID = -(1 << 63)
-_ALPHABET = byte_alphabet()
-#: Pieces of text in a worker's cache.
-CACHE = 2_000_000
 #: Characters that one call of the tokenizer gets at most, but for single longer texts.
-CALL = 2_000_000
+CALL = 200_000
 _BLOCKS = "part int, seq int, first long, n_tokens long, n_docs int, block binary"
 
 
@@ -66,84 +59,20 @@ _BLOCKS = "part int, seq int, first long, n_tokens long, n_docs int, block binar
 
 
 class Encoder:
-    """The tokenizers library, asked once for each different piece of text.
-
-    In byte-level BPE a blank before a non-blank always starts a new pre-token, and so does a single line end
-    between such; texts are cut there. A run of letters with a blank before it is one pre-token, which the library's
-    model merges at once; a tail of ASCII punctuation is another. All other pieces go through the whole library, many
-    in one text, parted by the special token, which it always splits off. A text with other runs of white space, or
-    with a special token's mark, goes to the library as it is."""
+    """The tokenizers library over whole texts; ids as bytes of `kind`."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.model = self.library.model
         self.kind = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
-        special = [(t.content, i) for i, t in self.library.get_added_tokens_decoder().items() if t.special and t.content.startswith("<|")]
-        self.mark, self.mark_id = special[0] if special else (None, -1)
-        self.letters = {ord(c): "".join(map(_ALPHABET.__getitem__, c.encode())) for c in map(chr, range(0x80, 0x250))}
-        self.cache: dict[str, bytes | None] = {}
-        self.parts: dict[str, bytes] = {}
-        self.clear()
-
-    def clear(self) -> None:
-        # None: a text with such a piece is not cut
-        self.cache = {"": None, "\n": None, "\0": None}
-        self.parts = {}
-
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _ask_joined(self, texts: list[str]) -> list[bytes]:
-        if self.mark is None or not texts:
-            return self._ask(texts)
-        raw = self._ask([self.mark.join(texts)])[0]
-        w = np.dtype(self.kind).itemsize
-        cut = (np.flatnonzero(np.frombuffer(raw, self.kind) == self.mark_id) * w).tolist()
-        return [raw[a:b] for a, b in zip([0, *(c + w for c in cut)], [*cut, len(raw)], strict=True)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        # a piece stands for itself after a line end or the start of a text (NUL), else for itself after a blank
-        parts, cache, other = self.parts, self.cache, []
-        code = "H" if self.kind is np.uint16 else "I"
-        for p in pieces:
-            word = p.rstrip(_PUNCT)
-            if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
-                ids = parts.get(word)
-                if ids is None:
-                    text = word if word.isascii() else word.translate(self.letters)
-                    ids = parts[word] = array(code, [t.id for t in self.model.tokenize("\u0120" + text)]).tobytes()
-                if word is not p and len(word) < len(p):
-                    tail = parts.get(end := p[len(word) :])
-                    if tail is None:
-                        tail = parts[end] = self._ask([end])[0]
-                    ids += tail
-                cache[p] = ids
-            elif "<|" in p or p[-1].isspace() or len(p.split()) != 1 or "\0" in p[1:]:
-                cache[p] = None
-            else:
-                other.append(p)
-        for i in range(0, len(other), 1_000):
-            some = other[i : i + 1_000]
-            cache.update(zip(some, self._ask_joined([p if p[0] == "\n" else p[1:] if p[0] == "\0" else " " + p for p in some]), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes of self.kind."""
-        cut = [("\0" + t.replace("\n", " \n")).split(" ") for t in texts]
-        if len(self.cache) + len(self.parts) > CACHE:
-            self.clear()
-        self._learn(list(dict.fromkeys(filterfalse(self.cache.__contains__, chain.from_iterable(cut)))))
-        get, out = self.cache.__getitem__, []
-        for text, pieces in zip(texts, cut, strict=True):
-            try:
-                out.append(b"".join(map(get, pieces)))
-            except TypeError:
-                out.append(self._ask([text])[0])
-        return out
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
 
 
 _loaded: dict[str, Encoder] = {}
@@ -151,7 +80,7 @@ forget.append(_loaded.clear)
 
 
 def encoder_for(path: str) -> Encoder:
-    """One for each worker process, so the cache outlives a task."""
+    """One for each worker process."""
     if path not in _loaded:
         _loaded[path] = Encoder(path)
     return _loaded[path]
