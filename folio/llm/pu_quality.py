@@ -19,7 +19,8 @@ Cases: null and empty texts get the features of an empty text, and so a score li
 doc_ids are scored but never fitted; for held_out they count as the text "". Labels of unknown
 documents, null or doubled labels don't matter (a document is positive if any of its labels is 1).
 Without a positive in the fitting part every score is 0.5. Repeated rows score alike; an empty table
-gives an empty result. Further columns are kept by score().
+gives an empty result. Further columns are kept by score(); those that have the name of a result are replaced, so
+whoever needs them passes other names.
 """
 
 from __future__ import annotations
@@ -101,6 +102,17 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def risk(w: np.ndarray, zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """prior * R(positives, +); R(unlabelled, -) - prior * R(positives, -); and the gradients of both."""
+    fp, fu = zp @ w, zu @ w
+    r_pos = prior * np.logaddexp(0, -fp).mean()
+    r_neg = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+    # d/df of log(1 + e^-f) is -s(-f); of log(1 + e^f) it is s(f)
+    g_pos = -(prior * zp.T @ _sigmoid(-fp)) / len(zp)
+    g_neg = zu.T @ _sigmoid(fu) / len(zu) - prior * (zp.T @ _sigmoid(fp)) / len(zp)
+    return r_pos, r_neg, g_pos, g_neg
+
+
 def fit(p: np.ndarray, u: np.ndarray, prior: float, steps: int = STEPS) -> Model:
     """Minimises the non-negative risk by Adam over all rows at once. prior 0 < prior < 1."""
     both = np.vstack([p, u]).astype(np.float64)
@@ -111,11 +123,7 @@ def fit(p: np.ndarray, u: np.ndarray, prior: float, steps: int = STEPS) -> Model
     keep = np.ones_like(w)
     keep[-1] = 0
     for t in range(1, steps + 1):
-        fp, fu = zp @ w, zu @ w
-        # d/df of log(1 + e^-f) is -s(-f); of log(1 + e^f) it is s(f)
-        g_pos = -(prior * zp.T @ _sigmoid(-fp)) / len(zp)
-        g_neg = zu.T @ _sigmoid(fu) / len(zu) - prior * (zp.T @ _sigmoid(fp)) / len(zp)
-        r_neg = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+        _, r_neg, g_pos, g_neg = risk(w, zp, zu, prior)
         g = (g_pos + g_neg if r_neg >= 0 else -g_neg) + DECAY * keep * w
         a, b = 0.9 * a + 0.1 * g, 0.999 * b + 0.001 * g * g
         w = w - RATE * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.999**t)) + 1e-8)
@@ -146,7 +154,8 @@ def _matrix(docs: DataFrame, ids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "x": [features(t).tobytes() for t in pdf["text"]]})
 
-    got = rows.mapInPandas(run, "doc_id long, x binary").toPandas().drop_duplicates().sort_values(["doc_id", "x"]).drop_duplicates("doc_id")
+    # one row for each id before anything is collected; of ids that repeat, the least features
+    got = rows.mapInPandas(run, "doc_id long, x binary").groupBy("doc_id").agg(F.min("x").alias("x")).toPandas().sort_values("doc_id")
     return got["doc_id"].to_numpy(np.int64), np.stack([np.frombuffer(x, np.float32) for x in got["x"]]) if len(got) else np.zeros((0, len(features(""))), np.float32)
 
 
@@ -166,8 +175,8 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     return fit(p, u, estimate_prior(p, u))
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Adds held_out, score and predicted."""
+def score(docs: DataFrame, model: Model | None, names: tuple[str, str, str] = ("held_out", "score", "predicted")) -> DataFrame:
+    """Adds held_out, score and predicted, or what `names` calls them."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -178,7 +187,9 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             return pd.Series([0.5] * len(texts), dtype="float64")
         return pd.Series(m.scores(np.stack([features(t) for t in texts])))
 
-    return docs.withColumn("held_out", bucket("doc_id") == HELD_OUT).withColumn("score", run("text")).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    held, made, predicted = names
+    out = docs.withColumns({made: run("text"), held: bucket("doc_id") == HELD_OUT})
+    return out.withColumn(predicted, F.when(F.col(made) >= 0.5, 1).otherwise(0))
 
 
 def op2_pu_quality(spark, sf_dir: str) -> DataFrame:
