@@ -10,7 +10,7 @@ def table(seed=3):
     rng = np.random.default_rng(seed)
     out = []
     for i in range(260):
-        c = rng.normal(size=16) if i % 13 else out[0][1] + 0.02 * rng.normal(size=16)
+        c = rng.normal(size=16) if i % 13 or not out else out[0][1] + 0.02 * rng.normal(size=16)
         out.append((i, np.asarray(c), i % 3 if i % 13 else 0))
     rows = [(i, v.tolist(), l, "k", 1) for i, v, l in out]
     rows += [(300, None, 1, "", 0), (301, [0.0] * 16, 1, "", 0), (302, [float("nan")] * 16, 1, "", 0), (303, [None] * 16, 1, "", 0), (304, rows[0][1], None, "", 0),
