@@ -1,18 +1,22 @@
 """BPE encoding and decoding with a contiguous rank array.
 
-A short word is held as two arrays side by side: the boundaries of its parts, and for each part the
-rank of merging it with the next. The smallest rank is found by a scan, the boundary after it is
-deleted, and only the ranks on both sides are looked up anew. For words of more than SHORT parts, where
-repeated scans would be quadratic, the same merges come off a heap.
+A short word is held as two arrays side by side: its parts, one for each stretch between boundaries, and for each
+boundary the rank of merging across it. The smallest rank is found by a scan, its boundary is deleted, and
+only the ranks on both sides are looked up anew. Words of one length are the rows of a matrix, so a step is taken
+for all of them at once, until none has a rank left. For words of more than SHORT parts, where repeated
+scans would be quadratic, the same merges come off a heap.
 
 The tokenizer is read from its public JSON file: NFC, white space to blanks, lower case, a split into
 contractions, runs of letters, single digits and runs of other characters, then byte-level BPE with a
-mark at the end of each word. Added special tokens are found in the raw text first. Words are encoded
-once per worker and kept in a bounded cache; a text is never cut but at white space, which the split
-drops anyway.
+mark at the end of each word. Added special tokens are found in the raw text first. Texts are cut at white
+space only, which the split drops anyway. Pieces of ASCII, letters of Latin-1 and common punctuation are split here; any
+others are normalised and split by the library itself, whose Unicode tables are not those of Python. Merging is done
+here in both cases.
+Pieces are encoded once per worker and kept in a bounded cache.
 
 Cases: a null text counts as empty: no tokens, and the hashes are those of the empty string. Very long
-texts and words need memory in proportion to themselves. Each row of the input gives one row; null ids,
+texts are hashed in stretches of STRETCH characters, cut at white space; a word without any needs memory in proportion
+to itself. Each row of the input gives one row; null ids,
 ties, repeated rows and further columns don't matter to the result. An empty table gives none. The work
 is a map over the rows, so skew doesn't matter.
 """
@@ -21,136 +25,212 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from hashlib import sha256
-from unicodedata import is_normalized, normalize
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
-from folio.llm.shared import byte_alphabet, forget, small_batches
+from folio.llm.shared import bounds, byte_alphabet, forget, small_batches
 
 #: Parts up to which a word is merged by scans.
 SHORT = 48
-#: Words in a worker's cache.
-CACHE = 300_000
-_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_NEVER = 1 << 60
+#: Pieces and words in a worker's cache.
+CACHE = 500_000
+#: Characters of text that are encoded at once, but for single longer pieces.
+STRETCH = 1_000_000
+_NEVER = 1 << 30
+# white space of the split; str.split() also cuts at the four separators, which are no white space there
+_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+# what any two versions of Unicode agree on: letters that no mark follows, and no white space
+_PLAIN = re.compile(r"[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff\u2010-\u2027\u2030-\u205e]*").fullmatch
+_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|\n|[^a-z\xdf-\xf6\xf8-\xff0-9\n]+").findall
 
 
 class WordBPE:
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        self.vocab: dict[str, int] = model["vocab"]
+        vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
         merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.ranks = {pair: i for i, pair in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
-        self.special_re = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.word_re = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
-        self.space_re = regex.compile(rf"[{_SPACE}]+")
-        self.path = path
-        self.unknown_re = regex.compile(r"\p{Cn}")
-        self.kinds: dict[str, str] = {}
-        self.odd_space = regex.compile(r"[\x1c-\x1f]")
+        self.tokens = {i: t for t, i in (vocab | self.special).items()}
+        # -1 ends a word or piece in lists that hold many
+        self.names = {i: str(i) for i in self.tokens} | {-1: "\n"}
+        self.shown = self.tokens | {-1: "\n"}
+        self.special_re = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+        library = Tokenizer.from_file(path)
+        self.normalize, self.cut = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.bytes = byte_alphabet()
-        self.cache: dict[str, tuple[int, str, str]] = {}
-
-    def merge(self, word: str) -> list[str]:
-        """The parts of one word of the split, after all merges."""
-        parts = [self.bytes[b] for b in word.encode()]
-        parts[-1] += self.suffix
-        text = "".join(parts)
-        starts = [0]
-        for p in parts:
-            starts.append(starts[-1] + len(p))
-        return self._scan(text, starts) if len(parts) <= SHORT else self._heap(parts)
-
-    def _scan(self, text: str, at: list[int]) -> list[str]:
-        get = self.ranks.get
-        rank = [get((text[at[i] : at[i + 1]], text[at[i + 1] : at[i + 2]]), _NEVER) for i in range(len(at) - 2)]
-        while rank:
-            low = min(rank)
-            if low == _NEVER:
+        self.letters = {c: "".join(self.bytes[b] for b in chr(c).encode()) for c in (*range(0x21), *range(0x7F, 0x100), *range(0x2010, 0x205F))}
+        # a part for each letter of the byte alphabet, within a word and at its end
+        letters = max(map(ord, self.bytes)) + 1
+        self.inner, self.last = np.zeros(letters, np.int64), np.zeros(letters, np.int64)
+        for c in self.bytes:
+            self.inner[ord(c)], self.last[ord(c)] = vocab[c], vocab[c + self.suffix]
+        # pairs in order of their number, with rank and result
+        pairs = np.array([(vocab[a], vocab[b]) for a, b in merges], np.int64).reshape(-1, 2)
+        self.size = len(self.tokens) + max(self.tokens, default=0)
+        number = pairs[:, 0] * self.size + pairs[:, 1]
+        order = np.argsort(number, kind="stable")
+        self.number, self.rank = np.append(number[order], np.int64(1) << 62), np.append(order, _NEVER)
+        self.result = np.array([vocab[a + b] for a, b in merges], np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        self.cache: dict[str, tuple[str, str]] = {t: (str(i), t) for t, i in self.special.items()}
+        self.known: dict[str, tuple[str, str]] = {"\n": ("\n", "\n")}
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        number = left * self.size + right
+        at = np.searchsorted(self.number, number)
+        return np.where(self.number[at] == number, self.rank[at], _NEVER)
+
+    def _scan(self, words: list[str]) -> list[int]:
+        """The parts of words of one length, in the byte alphabet, after all merges, with -1 after each word."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1)
+        part = self.inner[codes]
+        part[:, -1] = self.last[codes[:, -1]]
+        out = np.full((len(words), part.shape[1] + 1), -1)
+        left = np.full(len(words), part.shape[1])
+        which = np.arange(len(words))
+        now, rank = part, self._ranks(part[:, :-1], part[:, 1:])
+        while rank.shape[1]:
+            at = rank.argmin(1)
+            low = rank[np.arange(len(rank)), at]
+            go = low < _NEVER
+            if not go.all():
+                done = which[~go]
+                out[done, : now.shape[1]], left[done] = now[~go], now.shape[1]
+                which, now, rank, at, low = which[go], now[go], rank[go], at[go], low[go]
+            if not len(which):
                 break
-            i = rank.index(low)
-            del at[i + 1], rank[i]
-            if i < len(rank):
-                rank[i] = get((text[at[i] : at[i + 1]], text[at[i + 1] : at[i + 2]]), _NEVER)
-            if i:
-                rank[i - 1] = get((text[at[i - 1] : at[i]], text[at[i] : at[i + 1]]), _NEVER)
-        return [text[a:b] for a, b in zip(at, at[1:], strict=False)]
-
-    def _heap(self, parts: list[str]) -> list[str]:
-        n, get = len(parts), self.ranks.get
+            row = np.arange(len(which))
+            # the boundary goes: what stands behind it moves up by one
+            keep = np.ones(now.shape, bool)
+            keep[row, at + 1] = False
+            now = now[keep].reshape(len(row), -1)
+            now[row, at] = self.result[low]
+            keep = np.ones(rank.shape, bool)
+            keep[row, at] = False
+            rank = rank[keep].reshape(len(row), -1)
+            r = np.flatnonzero(at < rank.shape[1])
+            rank[r, at[r]] = self._ranks(now[r, at[r]], now[r, at[r] + 1])
+            r = np.flatnonzero(at > 0)
+            rank[r, at[r] - 1] = self._ranks(now[r, at[r] - 1], now[r, at[r]])
+        out[which, : now.shape[1]], left[which] = now, now.shape[1]
+        return out[np.arange(out.shape[1]) <= left[:, None]].tolist()
+
+    def _heap(self, word: str) -> list[int]:
+        parts = [*self.inner[[ord(c) for c in word[:-1]]].tolist(), int(self.last[ord(word[-1])])]
+        n = len(parts)
+        rank_of = lambda xs, ys: self._ranks(np.array(xs), np.array(ys)).tolist()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := get((parts[i], parts[i + 1]))) is not None]
+        heap = [(r, i, parts[i], parts[i + 1]) for i, r in enumerate(rank_of(parts[:-1], parts[1:])) if r < _NEVER]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if j >= n or parts[i] != a or parts[j] != b:
                 continue
-            parts[i], parts[j] = a + b, ""
+            parts[i], parts[j] = int(self.result[rank]), -1
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
-            for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y < n and (r := get((parts[x], parts[y]))) is not None:
-                    heapq.heappush(heap, (r, x, parts[x], parts[y]))
-        return [p for p in parts if p]
-
-    def words(self, piece: str) -> list[str]:
-        """The words of a piece. For characters that the regex module's Unicode tables don't have, the library is asked
-        once what it takes them for, and a stand-in of that kind is matched in their place."""
-        if not self.unknown_re.search(piece):
-            return self.word_re.findall(piece)
-        if new := {c for c in self.unknown_re.findall(piece) if c not in self.kinds}:
-            from tokenizers import Tokenizer
-
-            cut = Tokenizer.from_file(self.path).pre_tokenizer.pre_tokenize_str
-            self.kinds |= {c: "a" if len(cut("a" + c)) == 1 else "!" if len(cut("!" + c)) == 1 else "1" for c in new}
-        stand_in = "".join(self.kinds.get(c, c) for c in piece)
-        return [piece[m.start() : m.end()] for m in self.word_re.finditer(stand_in)]
-
-    def chunk(self, piece: str) -> tuple[int, str, str]:
-        """(number of ids, ids, tokens) of a piece without white space; ids and tokens joined by blanks."""
-        out = [t for w in self.words(piece) for t in self.merge(w)]
-        found = len(out), " ".join(str(self.vocab[t]) for t in out), " ".join(out)
-        if len(piece) <= 64:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[piece] = found
-        return found
-
-    def _run(self, text: str) -> list[tuple[int, str, str]]:
-        if not is_normalized("NFC", text):
-            text = normalize("NFC", text)
-        text = text.replace("Σ", "σ").lower()  # letter by letter: no final form
-        pieces = self.space_re.split(text) if self.odd_space.search(text) else text.split()
-        get, chunk = self.cache.get, self.chunk
-        return [get(p) or chunk(p) for p in pieces if p]
-
-    def encode(self, text: str) -> tuple[int, str, str]:
-        """(number of ids, ids joined by blanks, decoded text) of a whole text."""
-        if not self.special_re or "<" not in text:
-            found = self._run(text)
-        else:
-            found = []
-            for piece in self.special_re.split(text):
-                if piece in self.special:
-                    found.append((1, str(self.special[piece]), piece))
-                elif piece:
-                    found += self._run(piece)
-        found = [x for x in found if x[0]]
-        return sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
+            near = [(x, y) for x, y in ((before[i], i), (i, after[i])) if x >= 0 and y < n]
+            if near:
+                for (x, y), r in zip(near, rank_of([parts[x] for x, _ in near], [parts[y] for _, y in near]), strict=True):
+                    if r < _NEVER:
+                        heapq.heappush(heap, (r, x, parts[x], parts[y]))
+        return [*(p for p in parts if p >= 0), -1]
+
+    def merge(self, words: list[str]) -> list[tuple[str, str]]:
+        """(ids, tokens), both joined by blanks, of each word of the split, written in the byte alphabet."""
+        size = np.array([len(w) for w in words], np.int64)
+        order = np.argsort(size, kind="stable")
+        cut = bounds(size[order])
+        flat: list[int] = []
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            some = [words[k] for k in order[a:b].tolist()]
+            if len(some[0]) <= SHORT:
+                flat += self._scan(some)
+            else:
+                flat += chain.from_iterable(map(self._heap, some))
+        out: list[tuple[str, str]] = [("", "")] * len(words)
+        for k, pair in zip(order.tolist(), zip(self._joined(flat, self.names), self._joined(flat, self.shown), strict=True), strict=True):
+            out[k] = pair
+        return out
+
+    @staticmethod
+    def _joined(flat: list, names: dict) -> list[str]:
+        return " ".join(map(names.__getitem__, flat[:-1])).split(" \n ") if flat else []
+
+    def _others(self, pieces: list[str]) -> list[str]:
+        """The words of these pieces as the library has them, with a line end after each piece. A word stands in the
+        byte alphabet behind a line end, which tells it from a word of the other kind."""
+        text = self.normalize(" ".join(pieces))
+        ends = np.append(np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 32), len(text)).tolist()
+        out, k = [], 0
+        for word, (start, _) in self.cut(text):
+            while start > ends[k]:
+                out.append("\n")
+                k += 1
+            out.append("\n" + word)
+        return [*out, "\n"]
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encodes pieces that the cache lacks."""
+        plain, others = [], []
+        for p in pieces:
+            (plain if _PLAIN(p) else others).append(p)
+        flat = _WORDS("\n".join(plain).lower()) + ["\n"] if plain else []
+        for i in range(0, len(others), 1_000):
+            flat += self._others(others[i : i + 1_000])
+        words = list(dict.fromkeys(filterfalse(self.known.__contains__, flat)))
+        spelt = [w[1:] if w[0] == "\n" else w if w.isascii() and w.isprintable() else w.translate(self.letters) for w in words]
+        self.known.update(zip(words, self.merge(spelt), strict=True))
+        found = list(map(self.known.__getitem__, flat[:-1]))
+        ids, tokens = " ".join([x for x, _ in found]).split(" \n "), " ".join([y for _, y in found]).split(" \n ")
+        self.cache.update(zip(plain + others, zip(ids, tokens, strict=True), strict=True))
+
+    def pieces(self, text: str) -> list[str]:
+        """The text between white space, and special tokens."""
+        if self.special_re and "<|" in text:
+            parts = self.special_re.split(text)
+            return list(chain.from_iterable([part] if k % 2 else self._cut(part) for k, part in enumerate(parts)))
+        return self._cut(text)
+
+    def _cut(self, text: str) -> list[str]:
+        if any(c in text for c in _SEPARATORS):
+            return [p for p in _SPACE.split(text) if p]
+        return text.split()
+
+    def encode_all(self, texts: list[str]) -> list[tuple[str, str]]:
+        """(ids, decoded text) of each text, both joined by blanks."""
+        if len(self.cache) + len(self.known) > CACHE:
+            self.clear()
+        cut = [self.pieces(t) for t in texts]
+        new = list(dict.fromkeys(filterfalse(self.cache.__contains__, chain.from_iterable(cut))))
+        if new:
+            self.learn(new)
+        out = []
+        for p in cut:
+            found = list(map(self.cache.__getitem__, p))
+            out.append((" ".join([x for x, _ in found]), " ".join([y for _, y in found])))
+        return out
+
+    def encode(self, text: str) -> tuple[str, str]:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         """Without a decoder in the file, tokens are joined by blanks; unknown ids are left out."""
@@ -168,21 +248,58 @@ def tokenizer(path: str) -> WordBPE:
     return _loaded[path]
 
 
+def stretches(text: str, most: int) -> Iterator[str]:
+    """The text in parts of about `most` characters, cut at white space, where no piece or special token goes on."""
+    at = 0
+    while len(text) - at > most and (end := _SPACE.search(text, at + most)):
+        yield text[at : end.start()]
+        at = end.end()
+    yield text[at:]
+
+
+def _encoded(bpe: WordBPE, texts: list[str]) -> Iterator[tuple[str, list[str]]]:
+    """(ids, stretches of the decoded text) of each text; short texts are encoded together."""
+    i = 0
+    while i < len(texts):
+        j, n = i, 0
+        while j < len(texts) and n + len(texts[j]) <= STRETCH:
+            n += len(texts[j])
+            j += 1
+        if j > i:
+            yield from ((ids, [decoded]) for ids, decoded in bpe.encode_all(texts[i:j]))
+            i = j
+            continue
+        parts = [x for x in map(bpe.encode, stretches(texts[i], STRETCH)) if x[0]]
+        yield " ".join([ids for ids, _ in parts]), [d for _, d in parts]
+        i += 1
+
+
+def _decoded_digest(parts: list[str]) -> str:
+    out = sha256()
+    for k, part in enumerate(parts):
+        if k:
+            out.update(b" ")
+        out.update(part.encode())
+    return out.hexdigest()
+
+
 def encode(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
     """The columns `keep`, and n_tokens, ids (array<int>) and decoded_sha256, the digest of the text that the ids
-    give back, which stays in the worker."""
+    give back, which stays in the worker. `keep` may not have their names."""
     small_batches(docs.sparkSession)
     schema = StructType(docs.select(*keep).schema.fields).add("n_tokens", LongType()).add("ids", ArrayType(IntegerType())).add("decoded_sha256", StringType())
+    if len(set(schema.names)) < len(schema.names):
+        raise ValueError(f"a column to keep has a result's name: {keep}")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = tokenizer(path)
         for pdf in batches:
             for i in range(0, len(pdf), 200):
                 out = pdf[keep].iloc[i : i + 200].reset_index(drop=True)
-                made = [bpe.encode(t or "") for t in pdf["__text"].iloc[i : i + 200]]
-                out["n_tokens"] = [n for n, _, _ in made]
-                out["ids"] = [np.array(ids.split(), np.int32) for _, ids, _ in made]
-                out["decoded_sha256"] = [sha256(d.encode()).hexdigest() for _, _, d in made]
+                made = [(np.fromstring(ids, np.int32, sep=" "), _decoded_digest(parts)) for ids, parts in _encoded(bpe, [t or "" for t in pdf["__text"].iloc[i : i + 200]])]
+                out["n_tokens"] = [len(ids) for ids, _ in made]
+                out["ids"] = [ids for ids, _ in made]
+                out["decoded_sha256"] = [d for _, d in made]
                 yield out
 
     return docs.select(*keep, F.col(text).alias("__text")).mapInPandas(run, schema)
@@ -196,10 +313,7 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = tokenizer(path)
         for pdf in batches:
-            rows = []
-            for t in pdf["t"]:
-                n, ids, decoded = bpe.encode(t or "")
-                rows.append((n, sha256(ids.encode()).hexdigest(), sha256(decoded.encode()).hexdigest()))
+            rows = [(ids.count(" ") + 1 if ids else 0, sha256(ids.encode()).hexdigest(), _decoded_digest(parts)) for ids, parts in _encoded(bpe, [t or "" for t in pdf["t"]])]
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             out.insert(0, key, pdf["k"])
             yield out

@@ -14,6 +14,8 @@ from tests.llm.helpers import DOCS, odd_docs, rows
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
+LIBRARY = Tokenizer.from_file(word_bpe.default_path())
+
 
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.integers(0, 300), min_size=1, max_size=3000), st.integers(0, 5))
@@ -91,19 +93,45 @@ def test_word_bpe_is_the_library(spark):
     assert word_bpe.digests(spark.createDataFrame([], DOCS), word_bpe.default_path()).count() == 0
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(st.characters(codec="utf-8"), max_size=80))
+@settings(max_examples=5000, deadline=None)
+@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("aA'sSzé1²\u0301\x1c\x85 <|Σ\u2028—")), max_size=40))
 def test_word_bpe_any_text(text):
-    t = Tokenizer.from_file(word_bpe.default_path())
-    bpe = word_bpe.tokenizer(word_bpe.default_path())
-    n, ids, decoded = bpe.encode(text)
+    t, bpe = LIBRARY, word_bpe.tokenizer(word_bpe.default_path())
+    ids, decoded = bpe.encode(text)
     want = t.encode(text, add_special_tokens=False).ids
-    assert ids == " ".join(map(str, want)) and n == len(want) and decoded == t.decode(want, skip_special_tokens=False) == bpe.decode(want)
+    assert ids == " ".join(map(str, want)) and decoded == t.decode(want, skip_special_tokens=False) == bpe.decode(want)
+
+
+def test_word_bpe_every_character():
+    bpe = word_bpe.tokenizer(word_bpe.default_path())
+    texts = [x for c in range(0x110000) if not 0xD800 <= c < 0xE000 for x in (f"a{chr(c)}A", f"1{chr(c)}x", f"!{chr(c)}!")]
+    for i in range(0, len(texts), 50_000):
+        some = texts[i : i + 50_000]
+        for x, (ids, _), e in zip(some, bpe.encode_all(some), LIBRARY.encode_batch(some, add_special_tokens=False), strict=True):
+            assert ids == " ".join(map(str, e.ids)), x
 
 
 def test_scan_and_heap_agree():
     bpe = word_bpe.tokenizer(word_bpe.default_path())
-    for w in ("internationalization", "antidisestablishment", "zzzzaaaabbbb", "the"):
-        parts = [bpe.bytes[b] for b in w.encode()]
-        parts[-1] += bpe.suffix
-        assert bpe.merge(w) == bpe._heap(parts)
+    for w in ("internationalization", "antidisestablishment", "zzzzaaaabbbb", "the", "a"):
+        assert bpe._scan([w, w]) == 2 * bpe._heap(w)
+    long = ["ab" * 400, "the" * 17]
+    want = LIBRARY.encode_batch(long, add_special_tokens=False)
+    assert [x.split() for x, _ in bpe.merge(long)] == [list(map(str, e.ids)) for e in want]
+
+
+def test_long_texts_are_cut_at_white_space(monkeypatch):
+    monkeypatch.setattr(word_bpe, "STRETCH", 50)
+    bpe = word_bpe.tokenizer(word_bpe.default_path())
+    texts = ["", "word " * 200, "x" * 500 + " y", "a <|endoftext|>" * 30 + "\u2003\x1cz", "short"]
+    for t, (ids, parts) in zip(texts, word_bpe._encoded(bpe, texts), strict=True):
+        want = LIBRARY.encode(t, add_special_tokens=False).ids
+        assert ids == " ".join(map(str, want)) and " ".join(parts) == LIBRARY.decode(want, skip_special_tokens=False)
+
+
+def test_word_bpe_keeps_columns(spark):
+    docs = spark.createDataFrame(odd_docs(), DOCS)
+    out = word_bpe.encode(docs, word_bpe.default_path(), ["doc_id", "score", "set_key"])
+    assert out.columns == ["doc_id", "score", "set_key", "n_tokens", "ids", "decoded_sha256"] and out.count() == docs.count()
+    with pytest.raises(ValueError):
+        word_bpe.encode(docs.withColumnRenamed("score", "ids"), word_bpe.default_path(), ["ids"])
