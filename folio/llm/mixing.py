@@ -14,7 +14,9 @@ The tables of sources are joined without a hint: Spark broadcasts them while the
 threshold, else it sorts and splits skewed keys.
 
 Skew: running counts are taken in two levels, over order buckets of each source first, so that no
-task ever holds a whole source.
+task ever holds a whole source. Documents with equal doc_id, source and size are counted first and take one
+place in the running count, so neither null ids nor an id that repeats fill a bucket; they are
+multiplied again at the end, COPIES at a time.
 
 Cases: a null text has size 0; null sources are one source, last in order; null doc_ids order as the
 empty string. Rows that repeat are separate documents with equal order, so they are interchangeable.
@@ -39,6 +41,8 @@ SLOPES = (0.5, 1.0, 2.0)
 #: Rows in one order bucket, roughly, until a source has MOST_BUCKETS; then buckets grow.
 BUCKET_ROWS = 200
 MOST_BUCKETS = 1 << 16
+#: Equal documents that one row stands for while they are multiplied.
+COPIES = 10_000
 
 
 def size_of(text: str | Column) -> Column:
@@ -83,14 +87,21 @@ def _demand_inverse(fraction: Column, slope: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(2.0) * fraction / (a + root)))
 
 
+def sizes_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size, n): how many documents are equal in these. The only scan of the texts, and written, as
+    plan() reads it several times."""
+    sized = docs.select("doc_id", "source", size_of("text").alias("size"))
+    return table(sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n")), "sizes")
+
+
 def plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most_passes: int = MOST_PASSES, slopes=SLOPES, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """sized has (doc_id, source, size) and maybe more columns; adds source_size, target, passes
-    (copies that the mix takes), taken (their words) and positions (one for each copy, ascending).
+    """sized is sizes_of()'s; (doc_id, source, size, source_size, target, passes, taken, positions) for each document:
+    passes are the copies that the mix takes, taken their words, and positions ascend, one for each copy.
 
     A source's target is some whole passes and a part of one more; in that part a document is taken
     if its middle word lies before the part's end, so a source misses its target by half a document
     at most."""
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("__rows"))
+    per = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count("*").alias("__rows"))
     goal = targets(per.select("source", "source_size"), weights, share, most_passes, slopes)
     # order buckets: as many as the source's rows ask for, in the order of the key
     buckets = per.select("source", F.least(F.ceil(F.col("__rows") / F.lit(bucket_rows)), F.lit(MOST_BUCKETS)).alias("__n"))
@@ -99,17 +110,23 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most_passes: i
     rows = (
         sized.withColumn("__key", order_key("doc_id")).alias("d").join(buckets.alias("b"), same("d", "b")).select("d.*", "__n")
         .withColumn("__b", F.floor(unit / F.lit(float(1 << 48)) * F.col("__n")).cast("long"))
+        .withColumn("__all", F.col("size") * F.col("n"))
     )
     by = Window.partitionBy("source").orderBy("__b")
     starts = (
-        rows.groupBy("source", "__b").agg(F.sum("size").alias("__sum"))
+        rows.groupBy("source", "__b").agg(F.sum("__all").alias("__sum"))
         .withColumn("__base", F.sum("__sum").over(by) - F.col("__sum"))
         .alias("s")
     )
     within = Window.partitionBy("source", "__b").orderBy("__key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    run = rows.withColumn("__run", F.sum("size").over(within) - F.col("size")).alias("d")
+    run = rows.withColumn("__run", F.sum("__all").over(within) - F.col("__all")).alias("d")
     facts = starts.join(goal.alias("g"), same("s", "g")).select("s.source", "__b", "__base", "source_size", "target", "slope").alias("f")
-    both = run.join(facts, same("d", "f") & (F.col("d.__b") == F.col("f.__b"))).select("d.*", "source_size", "target", "slope", (F.col("__run") + F.col("__base")).alias("__start"))
+    both = run.join(facts, same("d", "f") & (F.col("d.__b") == F.col("f.__b"))).select("d.doc_id", "d.source", "d.size", "d.n", "source_size", "target", "slope", (F.col("__run") + F.col("__base")).alias("__first"))
+    # equal documents follow each other; where there are many, their rows are dealt out before they are multiplied
+    one = F.lit(0).cast("long")
+    several = both.filter("n > 1").withColumn("__c", F.explode(F.sequence(one, F.floor((F.col("n") - 1) / COPIES))))
+    several = several.repartition("doc_id", "source", "size", "__c").withColumn("__k", F.explode(F.sequence(F.col("__c") * COPIES, F.least(F.col("__c") * COPIES + (COPIES - 1), F.col("n") - 1)))).drop("__c")
+    both = both.filter("n = 1").withColumn("__k", one).unionByName(several).withColumn("__start", F.col("__first") + F.col("__k") * F.col("size"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     part = F.col("target") - whole * F.col("source_size")
     passes = whole + F.when((whole < F.lit(most_passes)) & (F.col("__start") * 2 + F.col("size") < part * 2), F.lit(1)).otherwise(F.lit(0))
@@ -126,7 +143,7 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most_passes: i
                 ),
             ).otherwise(F.array().cast("array<double>")),
         )
-        .drop("__key", "__n", "__b", "__run", "__start", "slope")
+        .select("doc_id", "source", "size", "source_size", "target", "passes", "taken", "positions")
     )
 
 
@@ -135,7 +152,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     and __position. Positions are spread evenly over 0..1 by construction, so the range of a
     partition is known beforehand and no sampling pass is needed."""
     spark = docs.sparkSession
-    planned = table(plan(docs.select("doc_id", "source", size_of("text").alias("size")), **options), "mix")
+    planned = table(plan(sizes_of(docs), **options), "mix")
     # equal (doc_id, source, size) rows have the same order key; each gets the passes of the group's next row
     same = ["doc_id", "source", "size"]
     several = planned.groupBy(*same).agg(F.flatten(F.collect_list("positions")).alias("__all"), F.count("*").alias("__rows"))
@@ -160,7 +177,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    planned = plan(docs.select("doc_id", "source", size_of("text").alias("size")))
+    planned = plan(sizes_of(docs))
     return planned.select("doc_id", "size", "source_size", "target", "taken", F.when(F.size("positions") > 0, F.col("positions")[0]).alias("first_position"))
 
 

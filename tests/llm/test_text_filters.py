@@ -1,4 +1,10 @@
+import hashlib
+import math
 import re
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
 
 from folio.llm import licenses, mixing, pu_quality, url_filter
 from tests.llm.helpers import DOCS, odd_docs
@@ -19,10 +25,47 @@ def test_urls(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_long_urls_of_mixed_width(spark):
+    wide = "aé\U0001d54f\u4e2d" * 50_000
+    urls = [(1, wide), (2, "http://" + wide + "/p"), (3, "http://h/" + wide + "?porn"), (4, "x" * 200_000 + "://h.org/")]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(urls, "page_id long, url string")).collect()}
+    assert (got[1].host, got[1].path, got[1].verdict) == ("", "", "allow")
+    assert got[2].host == wide and got[2].path == "/p" and got[3].path == "/" + wide and got[3].verdict == "block"
+    assert got[4].rule == "org/"
+
+
+def test_vocabulary_and_rules_from_tables(spark):
+    terms = spark.createDataFrame([("Alpha", 1.0), ("beta", 0.4), ("gamma", 0.6), ("beta", 0.1), (None, 1.0), ("delta", None)], "term string, weight double")
+    rules = spark.createDataFrame([("allow", "Good.net", None), ("block", "good.net", "/x")], "verdict string, host string, path string")
+    pages = spark.createDataFrame([(1, "http://a/alpha"), (2, "http://a/beta"), (3, "http://a/beta-gamma"), (4, "http://good.net/alpha"), (5, "http://w.good.net/x"), (6, "http://a/alphabet")], "page_id long, url string").withColumn("verdict", F.lit("mine"))
+    vocabulary = url_filter.load_vocabulary(terms)
+    got = {r.page_id: (r.verdict, r.soft_weight) for r in url_filter.judge(pages, rules=url_filter.load_rules(rules), vocabulary=vocabulary).collect()}
+    assert got == {1: ("block", 0.0), 2: ("allow", 0.4), 3: ("block", 1.0), 4: ("allow", 0.0), 5: ("block", 0.0), 6: ("allow", 0.0)}
+    assert url_filter.judge(pages, rules=(), vocabulary=()).filter("verdict = 'allow' AND rule IS NULL").count() == 6
+
+
+def test_mix_of_an_id_that_repeats(spark, monkeypatch):
+    """Null ids and one that repeats: as if each row stood for itself."""
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    rows = [(None if k % 3 else 5, "w " * (1 + k % 2), "en", "s" if k % 4 else None, 0) for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    planned = mixing.plan(mixing.sizes_of(docs), bucket_rows=2).collect()
+    assert len(planned) == 90
+    for source in ("s", None):
+        own = sorted((r for r in planned if r.source == source), key=lambda r: (hashlib.md5(("" if r.doc_id is None else str(r.doc_id)).encode()).hexdigest(), -1 if r.doc_id is None else r.doc_id, r.size, -r.passes))
+        goal, total, at = own[0].target, own[0].source_size, 0
+        assert total == sum(r.size for r in own)
+        for r in own:
+            whole = int(goal // total)
+            assert r.passes == whole + (whole < 2 and 2 * at + r.size < 2 * (goal - whole * total))
+            at += r.size
+    assert mixing.mix(docs).count() == sum(r.passes for r in planned)
+
+
 def test_mix(spark):
     docs = spark.createDataFrame(odd_docs(), DOCS)
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
-    planned = mixing.plan(docs.select("doc_id", "source", mixing.size_of("text").alias("size")), bucket_rows=2).collect()
+    planned = mixing.plan(mixing.sizes_of(docs), bucket_rows=2).collect()
     total = sum(size(d[1]) for d in odd_docs())
     assert sum(r.size for r in planned) == total and all(r.taken <= 2 * r.size for r in planned)
     goals = {r.source: (r.target, r.source_size) for r in planned}
@@ -49,8 +92,6 @@ def test_mix(spark):
 
 
 def test_schedule_inverts_demand(spark):
-    from pyspark.sql import functions as F
-
     for slope in (0.5, 1.0, 2.0):
         t = spark.range(11).select(mixing._demand_inverse(F.col("id") / 10.0, F.lit(slope)).alias("t")).collect()
         a, b = 2 / (1 + slope), 2 * slope / (1 + slope)
@@ -65,9 +106,54 @@ def test_quality_learns(spark, sf):
     assert sum(r.predicted == r.quality for r in got) >= 0.95 * len(got) and all(0 <= r.score <= 1 for r in got)
 
 
-def test_prior_estimate():
-    import numpy as np
+def plain_risk(w, p, u, prior):
+    """The two terms of the risk, one document at a time."""
+    loss = lambda f: math.log1p(math.exp(-f))
+    f = lambda z: sum(a * b for a, b in zip(z, w, strict=True))
+    pos = sum(loss(f(z)) for z in p) / len(p)
+    neg = sum(loss(-f(z)) for z in u) / len(u) - prior * sum(loss(-f(z)) for z in p) / len(p)
+    return prior * pos, neg
+
+
+def test_risk_and_gradient():
+    rng = np.random.default_rng(3)
+    p, u, w = rng.normal(0.5, 1, (30, 4)), rng.normal(0, 1, (50, 4)), rng.normal(0, 1, 4)
+    r_pos, r_neg, g_pos, g_neg = pu_quality.risk(w, p, u, 0.4)
+    assert np.allclose((r_pos, r_neg), plain_risk(w, p, u, 0.4))
+    for k in range(4):
+        e = np.eye(4)[k] * 1e-6
+        up, down = plain_risk(w + e, p, u, 0.4), plain_risk(w - e, p, u, 0.4)
+        assert np.allclose((g_pos[k], g_neg[k]), ((up[0] - down[0]) / 2e-6, (up[1] - down[1]) / 2e-6), atol=1e-6)
+
+
+def test_fit_lowers_the_risk():
+    rng = np.random.default_rng(4)
+    p, u = rng.normal(1, 1, (200, 3)).astype(np.float32), rng.normal(0, 1, (300, 3)).astype(np.float32)
+    m = pu_quality.fit(p, u, 0.3)
+    value = lambda w: sum(max(0.0, x) if k else x for k, x in enumerate(plain_risk(w, m.expand(p), m.expand(u), 0.3)))
+    assert value(m.weights) < 0.8 * value(np.zeros(len(m.weights)))
+
+
+def test_scores_one_by_one(spark, sf):
+    """The whole query, against a model that is fitted and applied without Spark."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = spark.read.parquet(f"{sf}/labels.parquet").collect()
+    part = lambda i: zlib.crc32(str(i).encode()) % 3
+    pos = {r.doc_id for r in labels if r.quality == 1 and part(r.doc_id) != 1}
+    fitted = sorted(i for i in docs if part(i) != 1)  # fewer than the bounds
+    x = np.stack([pu_quality.features(docs[i]) for i in fitted])
+    is_p = np.array([i in pos for i in fitted])
+    rng = np.random.default_rng(7)
+    p, u = rng.permutation(x[is_p]), rng.permutation(x)
+    m = pu_quality.fit(p, u, pu_quality.estimate_prior(p, u))
+    for r in pu_quality.op2_pu_quality(spark, sf).collect():
+        z = [min(6.0, max(-6.0, (v - a) / s)) for v, a, s in zip(pu_quality.features(docs[r.doc_id]).astype(float), m.mean, m.scale, strict=True)]
+        f = sum(w * v for w, v in zip(m.weights, [*z, *(v * v / 6 for v in z), 1.0], strict=True))
+        assert abs(r.score - 1 / (1 + math.exp(-max(-40, min(40, f))))) < 1e-9
+        assert r.held_out == (part(r.doc_id) == 1) and r.predicted == (r.score >= 0.5)
+
 
+def test_prior_estimate():
     rng = np.random.default_rng(0)
     p = rng.normal(1.5, 1, (1500, 4)).astype(np.float32)
     u = np.vstack([rng.normal(1.5, 1, (2100, 4)), rng.normal(-1.5, 1, (900, 4))]).astype(np.float32)
@@ -79,11 +165,13 @@ def test_prior_estimate():
 
 
 def test_quality_odd_rows(spark):
-    docs = spark.createDataFrame(odd_docs(), DOCS).drop("score")
+    docs = spark.createDataFrame(odd_docs(), DOCS)
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in pu_quality.score(docs, pu_quality.train(docs, none)).collect()} == {0.5}
     labels = spark.createDataFrame([(i, 1) for i in range(1, 18)] + [(1, None), (None, 1), (999, 1)], "doc_id long, quality int")
     assert pu_quality.score(docs, pu_quality.train(docs, labels)).count() == docs.count()
+    named = pu_quality.score(docs, pu_quality.train(docs, labels), ("h", "s", "p"))
+    assert named.columns == [*docs.columns, "s", "h", "p"] and {r.score for r in named.collect()} == {0.1}
     empty = docs.limit(0)
     assert pu_quality.score(empty, pu_quality.train(empty, labels)).count() == 0
 
