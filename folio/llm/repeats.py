@@ -15,11 +15,13 @@ together, and the rest of the text should stay where it is:
    are done. Only the first segment of each kind, at anchors of several kinds, is asked for by text.
 3. The texts that are asked for are dealt out by anchor, and a suffix array is built over them in two stages:
    suffixes smaller than their successors are sorted directly, all others are induced by one scan over
-   the buckets of first bytes. Neighbours in the array with a common prefix of LENGTH are equal windows;
-   all but the first of each run go. An anchor with more than KINDS kinds is dealt out by whole windows.
+   the buckets of first bytes. The common prefixes of neighbours in the array are computed; those of LENGTH or more
+   are equal windows, and all but the first of each run go. An anchor with more than KINDS kinds, as a common
+   short line in many contexts makes it, is dealt out by SEEDS anchors at once, each of its own order of
+   grams: equal windows still agree in all of them, others hardly ever.
 4. The removed runs of a document come together at its text.
 
-Documents are keyed by (doc_id, hash of the text). Cases: a null doc_id ranks before all others; rows that
+Documents are keyed by (doc_id, hash of the text). Cases: a null doc_id ranks with the smallest of all; rows that
 repeat a doc_id start at the same places, so an equal string at an equal place in them is not earlier; their
 results are kept apart by their texts. A null text is empty. Documents shorter than LENGTH lose nothing but
 are in the result. A very long document is handled in one piece by one task. Empty tables give empty
@@ -29,6 +31,7 @@ results; further columns are ignored by strip() and kept by clean_texts().
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +48,11 @@ GRAM = 32
 CHUNK = 400_000
 #: Records that a task holds before it sends them on.
 HELD = 300_000
-#: Kinds of segments at one anchor that are compared in one task.
-KINDS = 20_000
+#: Kinds of segments at one anchor that are compared without anchors of other orders, and the number of those.
+KINDS = 500
+SEEDS = 8
+#: Bytes of text whose records make one bucket, roughly.
+BUCKET = 32 << 20
 #: Bytes of one suffix array, unless one anchor has more.
 ARRAY = 600_000
 NULL_ID = -(1 << 63)
@@ -93,8 +99,9 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def segments(raw: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray] | None:
-    """The segments of some documents: doc (index), start, windows, place (of the anchor), anchor, kind."""
+def segments(raw: list[bytes], length: int = LENGTH, gram: int = GRAM, seeds: int = 1) -> dict[str, np.ndarray] | None:
+    """The segments of some documents: doc (index), start, windows, place (of the anchor), anchor, kind. With several
+    seeds the windows of a segment share the anchors of all orders, and anchor is a hash of these and their distances."""
     sizes = np.array([len(r) for r in raw], np.int64)
     data = np.frombuffer(b"".join(raw), np.uint8)
     if len(data) < length:
@@ -102,26 +109,33 @@ def segments(raw: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[s
     first = np.append(0, np.cumsum(sizes))
     h = Hashes(data)
     grams = h.all(gram)
-    # the first of the smallest: hash above, position below
-    low = np.uint64(max(24, len(grams).bit_length()))
-    ranked = ((grams >> low) << low) | np.arange(len(grams), dtype=np.uint64)
-    best = (_sliding_min(ranked, length - gram + 1) & np.uint64((1 << int(low)) - 1)).astype(np.int64)
-    ok = np.ones(len(best), bool)
+    ok = np.ones(len(grams) - length + gram, bool)
     for e in first[1:-1]:  # windows that reach into the next document
         ok[max(0, e - length + 1) : e] = False
     at = np.flatnonzero(ok)
     if not len(at):
         return None
-    best = best[at]
+    # the first of the smallest: hash above, position below
+    low = np.uint64(max(24, len(grams).bit_length()))
     begin = np.ones(len(at), bool)
-    begin[1:] = (best[1:] != best[:-1]) | (at[1:] != at[:-1] + 1)
+    begin[1:] = at[1:] != at[:-1] + 1
+    found = []
+    for seed in range(seeds):
+        order = _mix(grams + np.uint64(seed) * _BASE2) if seed else grams
+        ranked = ((order >> low) << low) | np.arange(len(grams), dtype=np.uint64)
+        best = (_sliding_min(ranked, length - gram + 1) & np.uint64((1 << int(low)) - 1)).astype(np.int64)[at]
+        begin[1:] |= best[1:] != best[:-1]
+        found.append(best)
     s = np.flatnonzero(begin)
     n = np.diff(np.append(s, len(at)))
-    start, anchor = at[s], best[s]
+    start, anchor = at[s], found[0][s]
+    name = grams[anchor]
+    for other in found[1:]:
+        name = _mix(name ^ grams[other[s]] ^ _mix((other[s] - anchor).astype(np.uint64)))
     doc = np.searchsorted(first, start, side="right") - 1
     kind = Hashes(data, _BASE2)(start, start + n + length - 1)
     kind = _mix(kind ^ ((anchor - start).astype(np.uint64) << np.uint64(32)) ^ n.astype(np.uint64))
-    return {"doc": doc, "start": start - first[doc], "windows": n, "place": anchor - start, "anchor": grams[anchor], "kind": kind}
+    return {"doc": doc, "start": start - first[doc], "windows": n, "place": anchor - start, "anchor": name, "kind": kind}
 
 
 _FIELDS = (("anchor", "<u8"), ("kind", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("start", "<u4"), ("windows", "u1"), ("place", "u1"))
@@ -142,7 +156,7 @@ def _unpack(data: bytes, n: int) -> dict[str, np.ndarray]:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"), F.col("doc_id").cast("long").alias("id"))
 
 
 def _settle(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,7 +246,7 @@ def _records(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInPandas(run, _RECORDS)
 
 
-def _meet(records: DataFrame) -> DataFrame:
+def _meet(records: DataFrame, buckets: int) -> DataFrame:
     """(doc, hash, start, end, anchor, place, hot): anchor null: bytes start to end go; else the text of these
     bytes is asked for."""
 
@@ -255,24 +269,40 @@ def _meet(records: DataFrame) -> DataFrame:
             yield out
         trim()
 
-    return records.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, "doc long, hash long, start long, end long, anchor long, hot boolean")
+    return records.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket").mapInPandas(run, "doc long, hash long, start long, end long, anchor long, hot boolean")
 
 
 def _cut_texts(asked: DataFrame) -> DataFrame:
-    """(anchor, doc, hash, start, bytes): the segments that were asked for; single windows at hot anchors."""
+    """(anchor, doc, hash, start, bytes): the segments that were asked for; those of hot anchors cut by all seeds."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
+            rows, hot, where = [], [], []
+
+            def cut_hot(hot=hot, where=where, rows=rows) -> None:
+                found = segments(hot, seeds=SEEDS) if hot else None
+                if found:
+                    for k, a, s, n in zip(*(found[x].tolist() for x in ("doc", "anchor", "start", "windows")), strict=True):
+                        doc, text, start = where[k]
+                        rows.append((a - (1 << 64) if a >> 63 else a, doc, text, start + s, hot[k][s : s + n + LENGTH - 1]))
+                hot.clear()
+                where.clear()
+
+            held = 0
             for r in pdf.itertuples():
                 raw = r.text.encode("utf-8", "surrogatepass")
                 for a in r.asks:
-                    if not a["hot"]:
-                        rows.append((a["anchor"], r.doc, r.hash, a["start"], raw[a["start"] : a["end"]]))
-                        continue
-                    for s in range(a["start"], a["end"] - LENGTH + 1):
-                        window = raw[s : s + LENGTH]
-                        rows.append((int.from_bytes(hashlib.md5(window, usedforsecurity=False).digest()[:8], "little", signed=True), r.doc, r.hash, s, window))
+                    some = raw[a["start"] : a["end"]]
+                    if a["hot"]:
+                        hot.append(some)
+                        where.append((r.doc, r.hash, a["start"]))
+                        held += len(some)
+                    else:
+                        rows.append((a["anchor"], r.doc, r.hash, a["start"], some))
+                if held >= CHUNK:
+                    cut_hot()
+                    held = 0
+            cut_hot()
             if rows:
                 yield pd.DataFrame(rows, columns=["anchor", "doc", "hash", "start", "bytes"])
 
@@ -353,17 +383,34 @@ def _sort_directly(data: np.ndarray, which: np.ndarray, depth: int) -> np.ndarra
     return order
 
 
+def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+    """For each suffix but the first in this order, how many bytes it shares with the one before, up to `depth`."""
+    eight = np.append(_eights(data), np.zeros(depth, np.uint64))
+    left = len(data) - np.maximum(order[1:], order[:-1])
+    out = np.minimum(left, depth).astype(np.int64) if len(order) else np.zeros(0, np.int64)
+    same = np.arange(len(out))
+    for k in range(0, depth, 8):
+        x = eight[order[same] + k] ^ eight[order[same + 1] + k]
+        differ = np.flatnonzero(x)
+        # the first byte that differs is the highest one set
+        bits = np.zeros(len(differ), np.int64)
+        y = x[differ].copy()
+        for step in (32, 16, 8):
+            high = y >> np.uint64(step) != 0
+            bits[high] += step
+            y[high] >>= np.uint64(step)
+        out[same[differ]] = np.minimum(out[same[differ]], k + 7 - bits // 8)
+        same = same[x == 0]
+    return out
+
+
 def equal_windows(data: np.ndarray, windows: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """(windows in suffix order, starts of the runs whose common prefix is `length` or more, and the end).
     windows: boolean, where one begins."""
     order = suffix_array(data, length)
     order = order[windows[order]]
-    eight = _eights(data)
-    same = np.ones(max(0, len(order) - 1), bool)
-    for k in [*range(0, length - 7, 8), length - 8]:
-        at = np.flatnonzero(same)
-        same[at] = eight[order[at] + k] == eight[order[at + 1] + k]
-    starts = np.append(0, np.flatnonzero(~same) + 1) if len(order) else np.zeros(0, np.int64)
+    apart = np.flatnonzero(common_prefixes(data, order, length) < length) + 1
+    starts = np.append(0, apart) if len(order) else np.zeros(0, np.int64)
     return order, np.append(starts, len(order)).astype(np.int64)
 
 
@@ -417,9 +464,10 @@ def runs(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     keyed = _keyed(docs)
     long = keyed.filter(F.octet_length("text") >= LENGTH)
-    buckets = 4 * partitions(docs.sparkSession)
+    size = long.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(4 * partitions(docs.sparkSession), math.ceil(size / BUCKET))
     sent = table(_records(long, buckets), "sent")
-    found = table(_meet(sent.filter("bucket IS NOT NULL").select("bucket", "n", "rows")), "records")
+    found = table(_meet(sent.filter("bucket IS NOT NULL").select("bucket", "n", "rows"), buckets), "records")
     asks = found.filter("anchor IS NOT NULL").groupBy("doc", "hash").agg(F.collect_list(F.struct("anchor", "start", "end", "hot")).alias("asks"))
     maybe, _ = split_by_slots(long, "doc", found.filter("anchor IS NOT NULL"), "doc")
     compared = table(_compare(_cut_texts(maybe.join(asks, ["doc", "hash"]))), "compared")
@@ -465,7 +513,7 @@ def _applied(docs: DataFrame, gone: DataFrame, texts: bool) -> DataFrame:
 def strip(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each document."""
     out = _applied(_keyed(docs), runs(docs), False)
-    return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def clean_texts(docs: DataFrame) -> DataFrame:

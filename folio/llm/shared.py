@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 #: A word is a run of bytes other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Slots of the membership filter; the broadcast side never has more rows than this.
-SLOTS = 1 << 20
+#: Slots of the membership filter, a bit each: at most 8 MB are broadcast.
+SLOTS = 1 << 26
 
 
 def byte_alphabet() -> list[str]:
@@ -105,17 +105,22 @@ def partitions(spark: SparkSession) -> int:
 
 
 def slot(key: str | Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(SLOTS))
+    """From 1 to SLOTS."""
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS)) + 1
 
 
 def split_by_slots(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> tuple[DataFrame, DataFrame]:
     """(rows of df that may have a key in wanted, rows that surely have none), without a shuffle of
-    df. At most SLOTS numbers are broadcast, however large wanted is; when it is huge, every row
+    df. What is broadcast is a bitmap of SLOTS bits, however large wanted is; when it is huge, every row
     falls in the first part and the join that follows does all the work. Null keys are never wanted."""
-    slots = wanted.select(slot(wanted_key).alias("__slot")).distinct()
-    marked = df.withColumn("__slot", F.when(F.col(key).isNotNull(), slot(key)))
-    small = F.broadcast(slots)
-    return marked.join(small, "__slot", "left_semi").drop("__slot"), marked.join(small, "__slot", "left_anti").drop("__slot")
+    at = wanted.filter(F.col(wanted_key).isNotNull()).select(slot(wanted_key).alias("s"))
+    bits = at.groupBy(F.bitmap_bucket_number("s").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("__bits"))
+    place = F.bitmap_bit_position(F.col("__slot")).cast("int")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.floor(byte / F.pow(F.lit(2.0), place % 8)) % 2 == 1, F.lit(False))
+    marked = df.withColumn("__slot", F.when(F.col(key).isNotNull(), slot(key))).withColumn("__bucket", F.bitmap_bucket_number(F.col("__slot")))
+    marked = marked.join(F.broadcast(bits), "__bucket", "left").withColumn("__hit", hit).drop("__bucket", "__bits", "__slot")
+    return marked.filter("__hit").drop("__hit"), marked.filter("NOT __hit").drop("__hit")
 
 
 def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str], least: int = 20_000) -> Iterator[pd.DataFrame]:
@@ -180,6 +185,19 @@ class Sets:
             up = nxt
 
 
+def local_roots(link: np.ndarray) -> np.ndarray:
+    """The smallest index that links (a boolean matrix) reach."""
+    a, b = np.nonzero(link)
+    root = np.arange(len(link))
+    while True:
+        low = root.copy()
+        np.minimum.at(low, a, root[b])
+        low = low[low]
+        if np.array_equal(low, root):
+            return root
+        root = low
+
+
 def block_pairs(df: DataFrame, size: str, by: str, most: int) -> DataFrame:
     """Adds __i and __j: a group (its row count is in column `size`) with more than `most` rows is
     cut into blocks by the hash of `by`, and each row goes to every pair of blocks that has its own.
@@ -198,17 +216,20 @@ def block_pairs(df: DataFrame, size: str, by: str, most: int) -> DataFrame:
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root): root is the smallest node that the links reach. Alternates large-star and
-    small-star; each round is a table in the shared folder. Minima are aggregated before the
-    shuffle and joined back, so a hub never gathers in one task. Nodes without links are left out."""
+    small-star; each round is a table in the shared folder. Nodes without links are left out.
+
+    A hub may have a third of all links. Minima are aggregated before the shuffle; where they are joined back, both sides
+    come by a shuffle that the join itself asks for (the minima are dealt out by another column before), which
+    lets adaptive execution split the hub's rows over many tasks."""
     e = table(edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     mark = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = mark(e)
     while seen[0]:
         both = e.select(F.col("u").alias("n"), F.col("v").alias("m")).union(e.select(F.col("v").alias("n"), F.col("u").alias("m")))
         low = both.groupBy("n").agg(F.min("m").alias("low")).withColumn("low", F.least("n", "low"))
-        large = both.join(low, "n").filter("m > n").select(F.col("m").alias("u"), F.col("low").alias("v"))
+        large = both.join(low.repartition("low"), "n").filter("m > n").select(F.col("m").alias("u"), F.col("low").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(least, "u").filter("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        small = large.join(least.repartition("low"), "u").filter("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         nxt = table(small.union(least.select("u", F.col("low").alias("v"))).distinct(), "edges")
         now = mark(nxt)
         drop_table(e)

@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.shared import block_pairs, bounds, connected_components, table, whole_groups
+from folio.llm.shared import block_pairs, bounds, connected_components, local_roots, table, whole_groups
 
 COSINE = 0.93
 SAMPLE = 20_000
@@ -254,19 +254,6 @@ def range_search(x: np.ndarray, graph: np.ndarray, cosine: float, beam: int, sla
     return found | found.T
 
 
-def local_roots(link: np.ndarray) -> np.ndarray:
-    """The smallest index that links reach."""
-    a, b = np.nonzero(link)
-    root = np.arange(len(link))
-    while True:
-        low = root.copy()
-        np.minimum.at(low, a, root[b])
-        low = low[low]
-        if np.array_equal(low, root):
-            return root
-        root = low
-
-
 def verified(x: np.ndarray, link: np.ndarray, cosine: float) -> None:
     """Clears the links whose cosine in double precision falls short, some rows at a time."""
     step = max(1, 200_000 // len(x))
