@@ -49,7 +49,8 @@ BLOCK = 4 * SEGMENT
 #: Blocks that a task codes side by side.
 TOGETHER = 16
 LOW = np.uint64(1 << 31)
-NULL_ID = -(1 << 63)
+#: Where null ids stand: before the smallest one, in its part.
+LEAST = -(1 << 63)
 #: Characters that one call of the tokenizer gets at most, but for single longer texts.
 CALL = 200_000
 _BLOCKS = "part int, seq int, first long, n_tokens long, n_docs int, block binary"
@@ -98,7 +99,7 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, borders: list[int]) -> DataFrame:
-    """(doc_id, part, ids) for each document, NULL_ID for a null doc_id, and, with a null part, the counts of the ids of each chunk."""
+    """(doc_id, none, part, ids) for each document, none being true for a null doc_id, and, with a null part, the counts of the ids of each task."""
     edge = np.array(borders, np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,7 +107,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, borders: list[int]) -> Dat
         counts = np.zeros(0, np.int64)
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
-            keys = pdf["doc_id"].to_numpy(np.int64)
+            keys, none = pdf["doc_id"].to_numpy(np.int64), pdf["none"].to_numpy(bool)
             part = np.searchsorted(edge, keys, side="right").astype(np.int32)
             i = 0
             while i < len(texts):
@@ -120,13 +121,14 @@ def tokenize(docs: DataFrame, path: str, end_id: int, borders: list[int]) -> Dat
                 if len(seen) > len(counts):
                     counts = np.pad(counts, (0, len(seen) - len(counts)))
                 counts[: len(seen)] += seen
-                yield pd.DataFrame({"doc_id": keys[i:j], "part": part[i:j], "ids": [_pack(np.frombuffer(x, encoder.kind)) for x in ids]})
+                yield pd.DataFrame({"doc_id": keys[i:j], "none": none[i:j], "part": part[i:j], "ids": [_pack(np.frombuffer(x, encoder.kind)) for x in ids]})
                 i = j
         if counts.any():
             used = np.flatnonzero(counts)
-            yield pd.DataFrame({"doc_id": [NULL_ID], "part": pd.array([None], "Int32"), "ids": [zlib.compress(np.stack([used, counts[used]]).tobytes(), 1)]})
+            yield pd.DataFrame({"doc_id": [0], "none": [True], "part": pd.array([None], "Int32"), "ids": [zlib.compress(np.stack([used, counts[used]]).tobytes(), 1)]})
 
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text").mapInPandas(run, "doc_id long, part int, ids binary")
+    known = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))
+    return docs.select(known.alias("doc_id"), F.col("doc_id").isNull().alias("none"), "text").mapInPandas(run, "doc_id long, none boolean, part int, ids binary")
 
 
 def count_ids(counted: DataFrame) -> np.ndarray:
@@ -260,7 +262,7 @@ def write_blocks(coder: Coder, blocks: list[tuple[np.ndarray, list[tuple[int | N
 
 
 def read_blocks(coder: Coder, blocks: list[bytes]) -> list[tuple[list[tuple[int | None, int, int]], np.ndarray]]:
-    """(documents as for write_blockss, ids) of each block; all segments of all blocks are decoded at once."""
+    """(documents as for write_blocks, ids) of each block; all segments of all blocks are decoded at once."""
     heads, states, places, counts, streams, base = [], [], [], [], [], 0
     for b in blocks:
         if b[:4] != MAGIC:
@@ -322,7 +324,7 @@ def write(docs: DataFrame, out: str, tokenizer_path: str, end_id: int, parts: in
             return pd.DataFrame(rows, columns=["part", "seq", "first", "n_tokens", "n_docs", "block"])
 
         for pdf in batches:
-            for key, p, data in zip(pdf["doc_id"].tolist(), pdf["part"].tolist(), pdf["ids"], strict=True):
+            for key, none, p, data in zip(pdf["doc_id"].tolist(), pdf["none"].tolist(), pdf["part"].tolist(), pdf["ids"], strict=True):
                 if p != part:
                     close()
                     part, seq, first = p, 0, 0
@@ -333,7 +335,7 @@ def write(docs: DataFrame, out: str, tokenizer_path: str, end_id: int, parts: in
                 while at < len(x):
                     take = min(len(x) - at, BLOCK - size)
                     ids.append(x[at : at + take])
-                    held.append((None if key == NULL_ID else key, take, 2 * (at == 0) + 4 * (at + take == len(x))))
+                    held.append((None if none else key, take, 2 * (at == 0) + 4 * (at + take == len(x))))
                     at += take
                     size += take
                     if size == BLOCK:
@@ -345,7 +347,7 @@ def write(docs: DataFrame, out: str, tokenizer_path: str, end_id: int, parts: in
             yield coded()
 
     # ids are sorted in the JVM; equal ids by their bytes, so that runs agree
-    dealt = tokens.filter("part IS NOT NULL").repartitionById(len(borders) + 1, "part").sortWithinPartitions("part", "doc_id", "ids")
+    dealt = tokens.filter("part IS NOT NULL").repartitionById(len(borders) + 1, "part").sortWithinPartitions("part", F.col("none").desc(), "doc_id", "ids")
     dealt.mapInPandas(encode, _BLOCKS).write.option("compression", "none").parquet(f"{out}/blocks")
     used = np.flatnonzero(freq)
     spark.createDataFrame(pd.DataFrame({"id": used, "freq": freq[used]}), "id long, freq long").coalesce(1).write.parquet(f"{out}/table")
@@ -417,23 +419,24 @@ def summary(pieces: DataFrame) -> DataFrame:
     whole = pieces.filter("flags = 6").select("doc_id", "start", "n_tokens", F.col("crc").alias("ids_crc32"))
 
     def together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, rows = None, []
+        key, none, rows = 0, True, []
         part, start, n, crc = -1, 0, 0, 0
         for pdf in batches:
             for r in pdf.itertuples():
                 if r.flags & 2:
-                    key, part, start, n, crc = r.doc_id, r.part, r.start, r.n_tokens, r.crc
+                    key, none, part, start, n, crc = r.doc_id, r.none, r.part, r.start, r.n_tokens, r.crc
                 else:
                     crc, n = crc_combine(crc, r.crc, 4 * r.n_tokens), n + r.n_tokens
                 if r.flags & 4:
-                    rows.append((key, start, n, crc))
+                    rows.append((key, none, start, n, crc))
             if rows:
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pd.DataFrame(rows, columns=["doc_id", "none", "start", "n_tokens", "ids_crc32"])
                 rows = []
 
-    pieced = pieces.filter("flags <> 6").withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))  # else pandas turns ids to floats
-    several = pieced.repartition("part").sortWithinPartitions("part", "start").mapInPandas(together, whole.schema)
-    return whole.unionByName(several.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID))))
+    # ids without nulls, else pandas turns them to floats
+    pieced = pieces.filter("flags <> 6").withColumn("none", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
+    several = pieced.repartition("part").sortWithinPartitions("part", "start").mapInPandas(together, "doc_id long, none boolean, start long, n_tokens long, ids_crc32 long")
+    return whole.unionByName(several.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none"))
 
 
 def op1_rans(spark, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from tests.llm.helpers import DOCS, odd_docs, rows
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
+BYTES = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 LIBRARY = Tokenizer.from_file(word_bpe.default_path())
 
 
@@ -54,7 +55,7 @@ def test_crc_combine():
 
 def test_token_file(spark, monkeypatch):
     monkeypatch.setattr(tf, "BLOCK", 2 * tf.SEGMENT)
-    docs = odd_docs() + [(40, "word " * 90_000, "en", "s", 0, "", "", 0.0)]
+    docs = odd_docs() + [(40, "word " * 90_000, "en", "s", 0, "", "", 0.0), (None, "none " * 90_000, "en", "s", 0, "", "", 0.0), (-(1 << 63), "least", "en", "s", 0, "", "", 0.0)]
     out = new_path(spark, "test")
     tf.write(spark.createDataFrame(docs, DOCS), out, public_tokenizers.path("byte_bpe_50k.json"), 2)
     pieces = tf.read(spark, out)
@@ -65,7 +66,7 @@ def test_token_file(spark, monkeypatch):
     for i, text, *_ in docs:
         x = np.array(t.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
         want.setdefault(i, []).append((len(x), zlib.crc32(x.tobytes())))
-    assert len(got) == len(docs) and [r[0] for r in got] == sorted((d[0] for d in docs), key=lambda i: -1 if i is None else i)
+    assert len(got) == len(docs) and [r[0] for r in got] == sorted((d[0] for d in docs), key=lambda i: (i is not None, i or 0))
     at = 0
     for i, start, n, crc in got:
         assert start == at and (n, crc) in want[i]
@@ -74,6 +75,14 @@ def test_token_file(spark, monkeypatch):
     assert t.decode(whole[9][:-1]) == "one two"
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n<|endoftext>\x00's")), max_size=60), max_size=5))
+def test_encoder_is_the_library(texts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    got = [np.frombuffer(x, tf.encoder_for(path).kind).tolist() for x in tf.encoder_for(path)(texts)]
+    assert got == [BYTES.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_empty_token_file(spark):
     out = new_path(spark, "test")
     tf.write(spark.createDataFrame([], DOCS), out, public_tokenizers.path("byte_bpe_50k.json"), 2)
