@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 #: A word is a run of bytes other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Slots of the membership filter, a bit each: at most 8 MB are broadcast.
-SLOTS = 1 << 26
+#: Slots of the membership filter, a bit each: at most 2 MB are broadcast.
+SLOTS = 1 << 24
+
+#: Rows of a square matrix that are looked at together.
+TILE = 256
 
 
 def byte_alphabet() -> list[str]:
@@ -186,16 +189,32 @@ class Sets:
 
 
 def local_roots(link: np.ndarray) -> np.ndarray:
-    """The smallest index that links (a boolean matrix) reach."""
-    a, b = np.nonzero(link)
+    """The smallest index that links (a symmetric boolean matrix) reach. Each row is looked at once, TILE at a time, so a
+    bundle in which all are linked costs no more than its matrix."""
     root = np.arange(len(link))
-    while True:
-        low = root.copy()
-        np.minimum.at(low, a, root[b])
-        low = low[low]
-        if np.array_equal(low, root):
-            return root
-        root = low
+    left = link.any(1)
+    for i in range(len(link)):
+        if not left[i]:
+            continue
+        reached = np.zeros(len(link), bool)
+        reached[i] = True
+        todo = np.array([i])
+        while len(todo):
+            new = np.zeros(len(link), bool)
+            for k in range(0, len(todo), TILE):
+                new |= link[todo[k : k + TILE]].any(0)
+            new &= ~reached
+            reached |= new
+            todo = np.flatnonzero(new)
+        root[reached] = i
+        left &= ~reached
+    return root
+
+
+def row_sums(link: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """link @ weight for a boolean matrix, without a copy of it in whole numbers."""
+    parts = [link[k : k + TILE] @ weight for k in range(0, len(link), TILE)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
 def block_pairs(df: DataFrame, size: str, by: str, most: int) -> DataFrame:
@@ -219,17 +238,17 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     small-star; each round is a table in the shared folder. Nodes without links are left out.
 
     A hub may have a third of all links. Minima are aggregated before the shuffle; where they are joined back, both sides
-    come by a shuffle that the join itself asks for (the minima are dealt out by another column before), which
-    lets adaptive execution split the hub's rows over many tasks."""
+    come by a shuffle that the join itself asks for (the minima, one row for each node, are dealt out by a hash of their own
+    before), which lets adaptive execution split the hub's rows over many tasks."""
     e = table(edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     mark = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = mark(e)
     while seen[0]:
         both = e.select(F.col("u").alias("n"), F.col("v").alias("m")).union(e.select(F.col("v").alias("n"), F.col("u").alias("m")))
         low = both.groupBy("n").agg(F.min("m").alias("low")).withColumn("low", F.least("n", "low"))
-        large = both.join(low.repartition("low"), "n").filter("m > n").select(F.col("m").alias("u"), F.col("low").alias("v"))
+        large = both.join(low.repartition(F.xxhash64("n")), "n").filter("m > n").select(F.col("m").alias("u"), F.col("low").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(least.repartition("low"), "u").filter("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        small = large.join(least.repartition(F.xxhash64("u")), "u").filter("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         nxt = table(small.union(least.select("u", F.col("low").alias("v"))).distinct(), "edges")
         now = mark(nxt)
         drop_table(e)

@@ -32,6 +32,7 @@ are ignored.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.shared import block_pairs, bounds, connected_components, local_roots, table, whole_groups
+from folio.llm.shared import block_pairs, bounds, connected_components, local_roots, row_sums, table, whole_groups
 
 COSINE = 0.93
 SAMPLE = 20_000
@@ -60,8 +61,11 @@ ENOUGH = 30
 #: Points with at most so many links are judged apart from those with more.
 FEW = 3
 TARGET = 0.95
+#: Pairs of points, or edges, that are looked at together: a bundle of near copies has as many as its square.
+PAIRS = 50_000
 #: (overlap, beam) of the attempts.
 ATTEMPTS = ((2, 48), (3, 96), (5, 192))
+_log = logging.getLogger(__name__)
 
 
 def points(vectors: DataFrame, id_col: str, vector: str, label: str) -> tuple[DataFrame, DataFrame]:
@@ -175,20 +179,39 @@ def medoids_of(x: np.ndarray) -> np.ndarray:
     return np.unique(out)
 
 
-def _dense(lists: list[np.ndarray], n: int, degree: int) -> np.ndarray:
-    """Adjacency with its reverse edges as a matrix, -1 where a list is shorter."""
-    src = np.repeat(np.arange(n), [len(x) for x in lists])
-    dst = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-    pair = np.unique(np.concatenate([src * n + dst, dst * n + src]))
-    src, dst = pair // n, pair % n
-    start = np.searchsorted(src, np.arange(n))
-    place = np.arange(len(src)) - start[src]
-    out = np.full((n, int(place.max()) + 1 if len(place) else 1), -1)
-    out[src, place] = dst
+class Graph:
+    """Adjacency lists with their reverse edges, one after the other."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        n = len(lists)
+        src = np.repeat(np.arange(n), [len(x) for x in lists])
+        dst = np.concatenate(lists).astype(np.int64) if lists else np.zeros(0, np.int64)
+        pair = np.unique(np.concatenate([src * n + dst, dst * n + src]))
+        self.to = pair % max(n, 1)
+        self.start = np.searchsorted(pair // max(n, 1), np.arange(n + 1))
+
+    def around(self, r: np.ndarray, v: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(r, w) for each neighbour w of v, some pairs at a time."""
+        count = self.start[v + 1] - self.start[v]
+        cut = np.append(np.flatnonzero(np.diff(np.cumsum(count) // PAIRS, prepend=0)), len(v))
+        a = 0
+        for b in cut:
+            if b > a or b == len(v):
+                c = count[a:b]
+                place = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+                yield np.repeat(r[a:b], c), self.to[np.repeat(self.start[v[a:b]], c) + place]
+            a = b
+
+
+def cosines(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """x[a] . y[b] for unit vectors, some pairs at a time."""
+    out = np.empty(len(a))
+    for k in range(0, len(a), PAIRS):
+        out[k : k + PAIRS] = np.einsum("ij,ij->i", x[a[k : k + PAIRS]], y[b[k : k + PAIRS]])
     return out
 
 
-def range_search(x: np.ndarray, graph: np.ndarray, cosine: float, beam: int, slack: float = SLACK) -> np.ndarray:
+def range_search(x: np.ndarray, graph: Graph, cosine: float, beam: int, slack: float = SLACK) -> np.ndarray:
     """Boolean (points, points): those found within the range of each point. All points of a block search
     side by side."""
     n = len(x)
@@ -196,11 +219,11 @@ def range_search(x: np.ndarray, graph: np.ndarray, cosine: float, beam: int, sla
     beam = min(beam, n)
     found = np.zeros((n, n), bool)
 
-    def fresh(r: np.ndarray, near: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The (query, point) pairs of these neighbours that were not seen; they are now."""
+    def fresh(r: np.ndarray, v: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The (query, point) pairs among the neighbours of these that were not seen; they are now."""
         new = np.zeros(seen.shape, bool)
-        ok = near >= 0
-        new[np.broadcast_to(r[:, None], near.shape)[ok], near[ok]] = True
+        for q, w in graph.around(r, v):
+            new[q, w] = True
         new &= ~seen
         seen |= new
         return np.nonzero(new)
@@ -226,12 +249,11 @@ def range_search(x: np.ndarray, graph: np.ndarray, cosine: float, beam: int, sla
             if not live.any():
                 break
             np.put_along_axis(done, best, True, 1)
-            node = np.take_along_axis(ids, best, 1)
-            near = np.where(live[:, :, None], graph[node], -1).reshape(len(q), -1)
-            r, v = fresh(np.arange(len(q)), near, seen)
+            at = np.nonzero(live)
+            r, v = fresh(at[0], np.take_along_axis(ids, best, 1)[at], seen)
             if not len(r):
                 continue
-            s = np.einsum("ij,ij->i", q[r], x[v])
+            s = cosines(q, x, r, v)
             near = s >= cosine - slack
             close[r[near], v[near]] = True
             count = np.bincount(r, minlength=len(q))
@@ -242,24 +264,25 @@ def range_search(x: np.ndarray, graph: np.ndarray, cosine: float, beam: int, sla
             ids, sims, done = np.hstack([ids, named]), np.hstack([sims, more]), np.hstack([done, np.isneginf(more)])
         # widen: all neighbours of what lies within the range, or nearly
         r, v = np.nonzero(close)
-        s = np.einsum("ij,ij->i", q[r], x[v])
+        s = cosines(q, x, r, v)
         while len(r):
             inside = s >= cosine
             found[a + r[inside], v[inside]] = True
-            r, v = fresh(r, graph[v], seen)
-            s = np.einsum("ij,ij->i", q[r], x[v])
+            r, v = fresh(r, v, seen)
+            s = cosines(q, x, r, v)
             keep = s >= cosine - slack
             r, v, s = r[keep], v[keep], s[keep]
     np.fill_diagonal(found, False)
-    return found | found.T
+    found |= found.T.copy()
+    return found
 
 
 def verified(x: np.ndarray, link: np.ndarray, cosine: float) -> None:
     """Clears the links whose cosine in double precision falls short, some rows at a time."""
-    step = max(1, 200_000 // len(x))
+    step = max(1, PAIRS // max(1, len(x)))
     for s in range(0, len(x), step):
         a, b = np.nonzero(link[s : s + step])
-        short = np.einsum("ij,ij->i", x[a + s], x[b]) < cosine
+        short = cosines(x, x, a + s, b) < cosine
         link[a[short] + s, b[short]] = False
 
 
@@ -283,7 +306,7 @@ def all_links(pts: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
                     link &= own[:, None] != own[None, :]
                 verified(x, link, cosine)
                 roots = local_roots(link)
-                n = link @ g["copies"].to_numpy(np.int64)
+                n = row_sums(link, g["copies"].to_numpy(np.int64))
                 yield pd.DataFrame({"rep": rep, "links": n, "root": rep[roots]})[(n > 0) | (roots != np.arange(len(rep)))]
 
     out = placed.select(*keys, "rep", "copies", "v", "__own").repartition(*keys).sortWithinPartitions(*keys, "rep").mapInPandas(compare, "rep long, links long, root long")
@@ -347,14 +370,15 @@ def links(assigned: DataFrame, cosine: float, beam: int) -> tuple[DataFrame, Dat
                     near = np.asarray(near, np.int64)
                     at = np.minimum(np.searchsorted(rep[order], near), len(rep) - 1)
                     lists.append(order[at[rep[order[at]] == near]])
-                link = range_search(x, _dense(lists, len(rep), DEGREE), cosine, beam)
+                link = range_search(x, Graph(lists), cosine, beam)
                 i, j, shard = int(g["__i"].iloc[0]), int(g["__j"].iloc[0]), int(g["shard"].iloc[0])
                 own = g["__own"].to_numpy(np.int64)
                 earlier = settle_shared(x, link, g["shards"].tolist(), shard, cosine)
                 if i != j:
                     link &= own[:, None] != own[None, :]
                 roots = local_roots(link)
-                n = (link & ~earlier) @ g["copies"].to_numpy(np.int64)
+                link &= ~earlier
+                n = row_sums(link, g["copies"].to_numpy(np.int64))
                 yield pd.DataFrame({"rep": rep, "links": n, "root": rep[roots]})[(n > 0) | (roots != np.arange(len(rep)))]
 
     out = dealt(placed.join(united, "rep")).select(*_KEYS, "rep", "copies", "v", "shards", "__own", "near").mapInPandas(search, "rep long, links long, root long")
@@ -424,9 +448,12 @@ def components(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedd
     for overlap, beam in ATTEMPTS:
         counts, forest = links(assign(pts, centroids, overlap), cosine, beam)
         counts = table(counts, "counts")
-        if audit(pts, counts, cosine) >= TARGET:
+        recall = audit(pts, counts, cosine)
+        _log.info("overlap %d, beam %d: audited recall %.4f", overlap, beam, recall)
+        if recall >= TARGET:
             break
     else:
+        _log.warning("recall stayed below %.2f: all pairs of a label are compared", TARGET)
         counts, forest = all_links(pts, cosine)
     found = connected_components(forest, "a", "b")
     of_point = (

@@ -53,12 +53,41 @@ def test_graph_finds_ranges():
     c = rng.normal(size=(60, 24))
     x = np.repeat(c, 12, 0) + 0.12 * rng.normal(size=(720, 24))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    link = vg.range_search(x, vg._dense(vg.robust_prune(x), len(x), vg.DEGREE), 0.93, 48)
+    link = vg.range_search(x, vg.Graph(vg.robust_prune(x)), 0.93, 48)
     true = x @ x.T >= 0.93
     np.fill_diagonal(true, False)
     assert (link & true).sum() >= 0.97 * true.sum()
 
 
+def test_graph_walks_all_edges(monkeypatch):
+    monkeypatch.setattr(vg, "PAIRS", 3)
+    rng = np.random.default_rng(6)
+    lists = [np.unique(rng.integers(0, 30, k)) for k in rng.integers(0, 6, 30)]
+    g = vg.Graph(lists)
+    edges = {(a, int(b)) for a, xs in enumerate(lists) for b in xs}
+    edges |= {(b, a) for a, b in edges}
+    r, v = rng.integers(0, 4, 25), rng.integers(0, 30, 25)
+    got = [(int(a), int(b)) for q, w in g.around(r, v) for a, b in zip(q, w, strict=True)]
+    assert sorted(got) == sorted((int(a), w) for a, b in zip(r, v) for w in range(30) if (int(b), w) in edges)
+    assert list(g.around(r[:0], v[:0]))[0][0].tolist() == []
+
+
+def test_bundle_stays_small():
+    """A block pair's worth of near copies, in far less memory than its pairs would take."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=64) + 0.02 * rng.normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tracemalloc.start()
+    link = vg.range_search(x, vg.Graph(vg.robust_prune(x)), 0.93, 48)
+    vg.verified(x, link, 0.93)
+    root = vg.local_roots(link)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert link.sum() >= 0.99 * 6000 * 5999 and (root == 0).mean() > 0.99 and most < 500e6
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert vg.components(none).count() == 0
