@@ -6,14 +6,17 @@ their sets is 0.8 or more.
 
 1. Every document gets 128 minima, read as 16 trees with labels of 8. Documents of one set are one text
    from here on, with a count.
-2. Within each tree, labels that share a prefix are a subtree. Matching starts from whole labels and the
-   prefix is shortened until the chance that a pair at the threshold has met in some tree reaches RECALL;
-   that depth (4 here) is where subtrees are dealt out. In a subtree, sorted labels are walked from the
+2. Within each tree, labels that share a prefix are a subtree. Matching starts from whole labels. The
+   similarities of the pairs that meet tell, with the chance that a pair of such similarity meets at this length,
+   which share of all pairs of at least the threshold has met so far and would meet at shorter prefixes (one more
+   pair, just at the threshold, is supposed to be there unseen). The prefix is shortened to the greatest
+   length at which that share reaches RECALL, and the estimate made again there, until it does.
+   Subtrees of that length are dealt out. In a subtree, sorted labels are walked from the
    longest shared prefix to the shortest. At each length, members of a run are compared by their
    whole signatures (of 8-bit minima): one that is closer than ABSORB to a pivot is spoken for by it, the
    others become pivots and are compared with all pivots. Signature distance is a metric, so links that
    lie within LOOSE of each other are never lost this way, and a run of near copies costs its members times
-   its pivots.
+   its pivots. LOOSE leaves a pair at the threshold with an absorbed end more than three standard deviations.
 3. Links join texts into loose clusters. Shingles of clustered texts only are then compared exactly, all
    against all within a cluster: by products of incidence matrices over the shingles that occur twice. A
    cluster of more than BLOCK texts is cut into blocks, and pairs of blocks are spread over tasks. What leaves a
@@ -42,7 +45,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.shared import Sets, block_pairs, bounds, connected_components, small_batches, split_by_slots, table, trim, whole_groups
+from folio.llm.shared import Sets, block_pairs, bounds, connected_components, local_roots, small_batches, split_by_slots, table, trim, whole_groups
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -50,21 +53,32 @@ TREES = 16
 LABEL = 8
 RECALL = 0.999
 #: Shares of the signature: texts closer than LOOSE may be linked, texts closer than ABSORB have one pivot.
-LOOSE = 0.36
+LOOSE = 0.42
 ABSORB = 0.08
 SUBTREE = 4096
 BLOCK = 512
 #: Bytes of text that are shingled at once.
 CHUNK = 500_000
-NULL_ID = -(1 << 63)
+#: Pairs that seem less similar than the threshold by up to so much count as pairs at it.
+NOISE = 0.04
 
 
-def depth_for(recall: float = RECALL, similarity: float = SIMILARITY, trees: int = TREES, label: int = LABEL) -> int:
-    """The longest prefix at which a pair at the threshold meets in some tree with the target chance."""
-    for d in range(label, 0, -1):
-        if 1 - (1 - similarity**d) ** trees >= recall:
-            return d
-    return 1
+def met(similarity: float, depth: int, trees: int = TREES) -> float:
+    """The chance that a pair meets in some tree at this length of the prefix."""
+    return 1 - (1 - similarity**depth) ** trees
+
+
+def recall_at(pairs: dict[float, int], seen: int, depth: int, similarity: float = SIMILARITY) -> float:
+    """The share of pairs at the threshold or above that meet at `depth`, from the number of pairs of each similarity
+    that met at `seen`."""
+    pairs = {similarity: 1.0} | {s: float(n) for s, n in pairs.items() if s > similarity} | {similarity: 1.0 + sum(n for s, n in pairs.items() if similarity - NOISE <= s <= similarity)}
+    there = {s: n / met(s, seen) for s, n in pairs.items()}
+    return sum(n * met(s, depth) for s, n in there.items()) / sum(there.values())
+
+
+def next_depth(pairs: dict[float, int], seen: int, recall: float = RECALL, similarity: float = SIMILARITY) -> int:
+    """`seen`, if the target is reached there, else the greatest shorter length at which it is."""
+    return next((d for d in range(seen, 0, -1) if recall_at(pairs, seen, d, similarity) >= recall), 1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -148,45 +162,57 @@ def _set_key(value: np.ndarray) -> bytes:
     return hashlib.md5(value.tobytes(), usedforsecurity=False).digest()
 
 
-def sketch(docs: DataFrame, words: int = WORDS, depth: int | None = None) -> DataFrame:
-    """(doc_id, set_key, keys, sig): a key of the shingle set, the trees' prefixes and the 8-bit signature."""
-    depth = depth or depth_for()
+def sketch(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, set_key, labels): a key of the shingle set, and the labels of all trees, 4 bytes for each minimum."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts, ids = pdf["text"].tolist(), pdf["doc_id"].tolist()
+            texts = pdf["text"].tolist()
+            ids = pd.array(pdf["doc_id"].to_numpy(np.int64), "Int64")
+            ids[pdf["none"].to_numpy(bool)] = pd.NA
             for i, j in _chunks(texts):
                 value, at = shingles([t or "" for t in texts[i:j]], words)
                 sig = signatures(value, at)
-                tree = sig.reshape(-1, TREES, LABEL)[:, :, :depth].astype(np.uint64)
-                key = np.broadcast_to(np.arange(1, TREES + 1, dtype=np.uint64), tree.shape[:2]).copy()
-                for k in range(depth):
-                    key = _mix(key * np.uint64(31) + tree[:, :, k])
-                key, low = key.view(np.int64), (sig & np.uint32(0xFF)).astype(np.uint8)
                 rows, r = [], 0
-                for k, doc in enumerate(ids[i:j]):
-                    doc = None if doc == NULL_ID else doc
+                for k in range(j - i):
                     if at[k + 1] > at[k]:
-                        rows.append((doc, _set_key(value[at[k] : at[k + 1]]), key[r].tolist(), low[r].tobytes()))
+                        rows.append((_set_key(value[at[k] : at[k + 1]]), sig[r].tobytes()))
                         r += 1
                     else:
-                        rows.append((doc, None, None, None))
-                out = pd.DataFrame(rows, columns=["doc_id", "set_key", "keys", "sig"], dtype=object)
-                out["doc_id"] = pd.array(out["doc_id"].tolist(), "Int64")
+                        rows.append((None, None))
+                out = pd.DataFrame(rows, columns=["set_key", "labels"], dtype=object)
+                out.insert(0, "doc_id", ids[i:j])
                 yield out
         trim()
 
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text").mapInPandas(run, "doc_id long, set_key binary, keys array<long>, sig binary")
+    known = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    return docs.select(known.alias("doc_id"), F.col("doc_id").isNull().alias("none"), "text").mapInPandas(run, "doc_id long, set_key binary, labels binary")
+
+
+def prefix_keys(texts: DataFrame, depth: int) -> DataFrame:
+    """(rep, tree, key): the prefixes of each text's labels."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            tree = np.frombuffer(b"".join(pdf["labels"]), np.uint32).reshape(-1, TREES, LABEL).astype(np.uint64)
+            key = np.broadcast_to(np.arange(1, TREES + 1, dtype=np.uint64), tree.shape[:2]).copy()
+            for k in range(depth):
+                key = _mix(key * np.uint64(31) + tree[:, :, k])
+            yield pd.DataFrame({"rep": np.repeat(pdf["rep"].to_numpy(np.int64), TREES), "tree": np.tile(np.arange(TREES, dtype=np.int32), len(pdf)), "key": key.view(np.int64).ravel()})
+
+    return texts.select("rep", "labels").mapInPandas(run, "rep long, tree int, key long")
 
 
-def _subtree_links(label: np.ndarray, sig: np.ndarray) -> list[tuple[int, int]]:
+def _subtree_links(label: np.ndarray, sig: np.ndarray, depth: int) -> list[tuple[int, int]]:
     """Links within a subtree: label (members, LABEL) of its tree, sig (members, 128). From the longest
-    shared prefix to none beyond the subtree's own."""
+    shared prefix to the subtree's own."""
     order = np.lexsort(label.T[::-1])
     links: list[tuple[int, int]] = []
     alive = order  # pivots still to be compared, in the order of the trie
-    for length in range(label.shape[1], -1, -1):
-        runs = bounds(*(label[alive, k] for k in range(length))) if length else np.array([0, len(alive)])
+    for length in range(label.shape[1], depth - 1, -1):
+        runs = bounds(*(label[alive, k] for k in range(length)))
         if len(runs) - 1 == len(alive):
             continue
         left = []
@@ -209,31 +235,30 @@ def _subtree_links(label: np.ndarray, sig: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-def loose_links(texts: DataFrame, depth: int | None = None) -> DataFrame:
-    """(a, b) for texts that may be near: texts has (rep, keys, sig)."""
-    rows = texts.select("rep", F.posexplode("keys").alias("tree", "key"))
+def loose_links(texts: DataFrame, depth: int) -> DataFrame:
+    """(a, b, near) for texts that may be near and how near they seem: texts has (rep, labels)."""
+    rows = prefix_keys(texts, depth)
     several = rows.groupBy("tree", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = table(rows.join(several, ["tree", "key"]), "subtrees")
-    dealt = block_pairs(met.join(texts.select("rep", "sig"), "rep"), "n", "rep", SUBTREE)
+    meeting = table(rows.join(several, ["tree", "key"]), "subtrees")
+    dealt = block_pairs(meeting.join(texts.select("rep", "labels"), "rep"), "n", "rep", SUBTREE)
     dealt = dealt.repartition("key", "__i", "__j").sortWithinPartitions("tree", "key", "__i", "__j", "rep")
     keys = ["tree", "key", "__i", "__j"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in whole_groups(batches, keys):
+        for pdf in whole_groups(batches, keys, 5_000):
             rep = pdf["rep"].to_numpy(np.int64)
-            sig = np.stack([np.frombuffer(s, np.uint8) for s in pdf["sig"]])
+            whole = np.frombuffer(b"".join(pdf["labels"]), np.uint32).reshape(len(pdf), -1)
+            sig = whole.astype(np.uint8)  # the low bytes
             tree = pdf["tree"].to_numpy(np.int64)
             cut = bounds(*(pdf[k].to_numpy() for k in keys))
-            found = Sets(len(pdf))
             size = np.diff(cut)
             # pairs, by far the most groups, all at once
             two = cut[:-1][size == 2]
-            near = (sig[two] != sig[two + 1]).mean(1) <= LOOSE
-            a, b = [two[near]], [two[near] + 1]
+            a, b = [two], [two + 1]
+            found = Sets(len(pdf))
             for s, e in zip(cut[:-1][size > 2], cut[1:][size > 2], strict=True):
                 t = tree[s] * LABEL
-                links = _subtree_links(sig[s:e, t : t + LABEL], sig[s:e])
-                for i, j in links:
+                for i, j in _subtree_links(whole[s:e, t : t + LABEL], sig[s:e], depth):
                     found.join(s + int(i), s + int(j))
                 up = found.roots()
                 i = np.arange(s, e)
@@ -241,10 +266,25 @@ def loose_links(texts: DataFrame, depth: int | None = None) -> DataFrame:
                 a.append(up[i])
                 b.append(i)
             a, b = np.concatenate(a), np.concatenate(b)
-            if len(a):
-                yield pd.DataFrame({"a": rep[a], "b": rep[b]}).drop_duplicates()
+            near = (sig[a] == sig[b]).mean(1)
+            keep = (near >= 1 - LOOSE) | ~np.isin(a, two)  # what a chain of links ties together stays
+            if keep.any():
+                yield pd.DataFrame({"a": rep[a[keep]], "b": rep[b[keep]], "near": near[keep]}).drop_duplicates()
+
+    return dealt.select(*keys, "rep", "labels").mapInPandas(run, "a long, b long, near double")
+
 
-    return dealt.select(*keys, "rep", "sig").mapInPandas(run, "a long, b long")
+def forest_links(texts: DataFrame, recall: float = RECALL, similarity: float = SIMILARITY) -> DataFrame:
+    """loose_links() at the prefix length that reaches the recall."""
+    depth = LABEL
+    while True:
+        links = table(loose_links(texts, depth), "links")
+        # at most one row for each number of equal minima
+        pairs = {r[0]: r[1] for r in links.select("a", "b", "near").distinct().groupBy("near").count().collect()}
+        shorter = next_depth(pairs, depth, recall, similarity)
+        if shorter == depth:
+            return links
+        depth = shorter
 
 
 def exact_counts(sets: list[np.ndarray], similarity: float = SIMILARITY) -> np.ndarray:
@@ -311,12 +351,8 @@ def verified(docs: DataFrame, clusters: DataFrame, words: int = WORDS, similarit
                 i, j = int(g["__i"].iloc[0]), int(g["__j"].iloc[0])
                 if i != j:  # pairs within one block meet in (i, i) and (j, j)
                     link &= own[:, None] != own[None, :]
-                forest = Sets(len(rep))
-                for a in range(len(rep)):
-                    for b in np.flatnonzero(link[a, :a]):
-                        forest.join(a, int(b))
                 n = link @ copies
-                yield pd.DataFrame({"rep": rep, "links": n, "root": rep[forest.roots()]})[n > 0]
+                yield pd.DataFrame({"rep": rep, "links": n, "root": rep[local_roots(link)]})[n > 0]
         trim()
 
     out = table(dealt.mapInPandas(run, "rep long, links long, root long"), "verified")
@@ -328,8 +364,8 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY)
     small_batches(docs.sparkSession)
     each = table(sketch(docs, words), "sketches")
     some = each.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    texts = table(some.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max(F.struct("keys", "sig")).alias("s")).select("set_key", "rep", "copies", "s.keys", "s.sig"), "texts")
-    loose = connected_components(loose_links(texts), "a", "b")
+    texts = table(some.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("labels").alias("labels")), "texts")
+    loose = connected_components(forest_links(texts, similarity=similarity), "a", "b")
     sizes = loose.groupBy("root").agg(F.count("*").alias("n"))
     clusters = table(loose.join(sizes, "root").select(F.col("node").alias("rep"), F.col("root").alias("cluster"), "n").join(texts.select("rep", "set_key", "copies"), "rep"), "clusters")
     links, forest = verified(docs, clusters, words, similarity)
@@ -348,16 +384,19 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY)
 
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The documents of docs that stay: of each class the one with the smallest doc_id. Only rows that may be
-    dropped are joined; of rows that share the smallest id, one stays. Rows without a doc_id stay."""
+    dropped are joined. Where rows share the smallest id, each different text stays once, with the columns whose hash is
+    the least, so that reruns agree. Rows without a doc_id stay."""
     found = table(found.filter("doc_id IS NOT NULL").select("doc_id", "class_id"), "classes")
     per = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n"))
     odd = table(per.filter("class_id <> doc_id OR n > 1"), "odd")
     maybe, sure = split_by_slots(docs, "doc_id", odd, "doc_id")
     gone = odd.select("doc_id").alias("o")
     kept = maybe.join(gone, "doc_id", "left_anti").unionByName(sure)
-    again = odd.filter("class_id = doc_id").select("doc_id")  # ids of several rows, one of which stays
+    again = odd.filter("class_id = doc_id").select("doc_id")  # ids of several rows
     if again.limit(1).count():
-        kept = kept.unionByName(maybe.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        rows = maybe.join(again, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"))
+        least = rows.groupBy(F.col("row.doc_id").alias("id"), F.md5(F.coalesce("row.text", F.lit(""))).alias("text")).agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+        kept = kept.unionByName(least.select("row.*"))
     return kept.select(*docs.columns)
 
 
