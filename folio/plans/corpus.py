@@ -1,7 +1,8 @@
 """Documents for the named queries, made of the driver's tables, with the SQL that makes the same.
 
 plain: each row of documents is a text file. sectioned: forty rows with consecutive ids are one file, a numbered section
-for each, every fourth one a short parent; a few hand-written files with what Latin prose doesn't have go with it."""
+with the whole text for each, and before every fourth one a short parent of its own; rows without an id are dealt to files
+of theirs by their text. A few hand-written files with what Latin prose doesn't have go with it."""
 
 from __future__ import annotations
 
@@ -13,11 +14,11 @@ from folio.functions import text as T
 PER_FILE = 40
 
 SAMPLES = (
-    ("接入管理规范.md", "# 接入管理规范\n\n前言说明\n\n## 第一章 总则\n\n第 3 页 / 共 9 页\n\n本规范所称成员机构，是指接入平台的机构，以下简称“机构”，英文简称为 ORG。机构应在每日 18:00 前完成对账！\n\n第二章 接入要求\n\n3.1 接口参数\n短父章节。\n\n3.1.1 接口参数列表\n\n| 参数 | 说明 |\n|---|---|\n| orgCode | 机构编码 |\n\n- 接口响应时间应小于 3 秒；超时应告警。\n1. 参数错误时返回错误码并记录日志。\n\n12\n\n3.1.2 异常处理 第 5 页\n**异常处理**应遵循先恢复后定位的原则。异常处理流程包括发现、上报、处置。\n\n附录A 术语定义\n机构编码由平台统一分配，长度不超过 14 位。"),
-    ("通知.txt", "接入机构变动通知应在计划调整前三个工作日报备，并完成变动报备、执行复核以及影响面说明。\n当用户询问接入机构变动通知、变动报备、计划调整或执行复核时调用。\n来源页码：3\n不涉及查询接口。\n版本为 V 2.1，适用于测试环境。"),
-    ("目录.md", "目录....3\n---\n第 1 页\nPage 2 of 5\n----- · -----\n\n"),
+    ("温室养护手册.md", "# 温室养护手册\n\n编写说明\n\n## 第一章 总则\n\n第 2 页 / 共 7 页\n\n本手册所说的自动灌溉控制器，是指安装在苗床旁的供水设备，以下简称“灌控器”，英文简称为 AIC。灌控器每天 06:30 之前要完成一次自检！\n\n第二章 浇水安排\n\n2.1 水量设定\n先看土壤湿度。\n\n2.1.1 水量设定表\n\n| 项目 | 取值 |\n|---|---|\n| bedId | 苗床号 |\n\n- 单次浇水不得超过 40 升；湿度高于 85% 时应停止浇水。\n1. 水压不足时关闭阀门并且告诉园丁。\n\n7\n\n2.1.2 病害处理 第 4 页\n**病害处理**按照先隔离、再喷药的顺序进行。病害处理包括记录叶片、隔离植株、复查三步。\n\n附录A 植物编号\n苗床号由园艺组编排，长度不超过 6 位。"),
+    ("花讯.txt", "兰花换盆记录应在开花之后两周内登记，登记内容为换盆日期、基质配比以及根系状况。\n当用户询问兰花换盆记录、换盆日期、基质配比或根系状况时调用。\n来源页码：5\n本页不包括查询接口。\n版本为 V 1.4，只用于南侧温室。"),
+    ("目录.md", "目录....4\n---\n第 1 页\nPage 3 of 8\n----- · -----\n\n"),
     ("空.md", ""),
-    ("文档片段样例.md", "文档片段 3\n全文检索说明\n\n#### 1.2.34\n\n1.2.3 标题\n\n2024 总结\n\nnuclear IPv4 abc_1 异常处理 异常处理 来源文档\n##### 五级标题\n\n# 接口\n\n接口说明接口说明，接口参数。"),
+    ("文档片段样例.md", "文档片段 3\n全文检索说明\n\n#### 1.2.34\n\n1.2.3 标题\n\n2024 小结\n\nnuclear IPv4 abc_1 病害处理 病害处理 来源文档\n##### 五级标题\n\n# 接口\n\n接口说明接口说明，接口口径。"),
 )
 
 
@@ -43,13 +44,15 @@ SAMPLES_SQL = "SELECT CAST(column0 AS BIGINT) AS file_index, column1 AS source_d
 
 
 def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id IS NOT NULL")
-    at = F.pmod(F.col("doc_id"), F.lit(PER_FILE))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     text = F.coalesce("text", F.lit(""))
-    number = F.concat(F.floor(at / 4).cast("int") + 1, F.lit("."), F.when(at % 4 == 0, "1").otherwise(F.concat(F.lit("1."), (at % 4).cast("string"))))
-    body = F.when(at % 4 == 0, F.substring(text, 1, 60)).otherwise(F.replace(text, F.lit("\n"), F.lit("\n\n")))
-    section = F.concat(F.lit("## "), number, F.lit(" "), F.regexp_replace(F.substring(text, 1, 40), "[^A-Za-z]+", " "), F.lit("\n\n"), body)
-    file = F.floor(F.col("doc_id") / PER_FILE)
+    at = F.pmod(F.coalesce("doc_id", F.lit(1)), F.lit(PER_FILE))
+    group = (F.floor(at / 4) + 1).cast("string")
+    head = F.concat(F.lit("## "), group, F.lit(".1."), (at % 4 + 1).cast("string"), F.lit(" "), F.regexp_replace(F.substring(text, 1, 40), "[^A-Za-z]+", " "), F.lit("\n\n"))
+    parent = F.when(at % 4 == 0, F.concat(F.lit("## "), group, F.lit(".1 part "), group, F.lit("\n\nfour notes follow\n\n"))).otherwise(F.lit(""))
+    section = F.concat(parent, head, F.replace(text, F.lit("\n"), F.lit("\n\n")))
+    other = F.lit(-1_000) - F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("long")
+    file = F.coalesce(F.floor(F.col("doc_id") / PER_FILE), other)
     made = docs.groupBy(file.alias("file_index")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", section.alias("s")))), lambda x: x["s"]), "\n\n").alias("markdown"))
     name = F.concat(F.lit("file-"), F.col("file_index").cast("string"))
     return made.select("file_index", F.concat(name, F.lit(".md")).alias("source_doc"), name.alias("stem"), "markdown").unionByName(samples(spark))
@@ -57,16 +60,16 @@ def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SECTIONED_SQL = f"""
 SELECT file_index, concat('file-', file_index, '.md') AS source_doc, concat('file-', file_index) AS stem, markdown FROM (
-  SELECT doc_id // {PER_FILE} AS file_index, string_agg(concat('## ', (doc_id % {PER_FILE}) // 4 + 1, '.', CASE WHEN doc_id % 4 = 0 THEN '1' ELSE concat('1.', doc_id % 4) END, ' ',
-    regexp_replace(substr(text, 1, 40), '[^A-Za-z]+', ' ', 'g'), chr(10), chr(10),
-    CASE WHEN doc_id % 4 = 0 THEN substr(text, 1, 60) ELSE replace(text, chr(10), concat(chr(10), chr(10))) END), concat(chr(10), chr(10)) ORDER BY doc_id) AS markdown
-  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents WHERE doc_id IS NOT NULL) GROUP BY 1)
+  SELECT coalesce(doc_id // {PER_FILE}, -1000 - CAST(concat('0x', substr(md5(text), 1, 4)) AS BIGINT)) AS file_index, string_agg(s, concat(chr(10), chr(10)) ORDER BY doc_id, s) AS markdown
+  FROM (SELECT doc_id, text, concat(CASE WHEN k % 4 = 0 THEN concat('## ', k // 4 + 1, '.1 part ', k // 4 + 1, chr(10), chr(10), 'four notes follow', chr(10), chr(10)) ELSE '' END,
+      '## ', k // 4 + 1, '.1.', k % 4 + 1, ' ', regexp_replace(substr(text, 1, 40), '[^A-Za-z]+', ' ', 'g'), chr(10), chr(10), replace(text, chr(10), concat(chr(10), chr(10)))) AS s
+    FROM (SELECT doc_id, coalesce(text, '') AS text, coalesce(doc_id, 1) % {PER_FILE} AS k FROM documents)) GROUP BY 1)
 UNION ALL {SAMPLES_SQL}"""
 
 #: A catalogue for matching: one tool as in the samples, one that the prose meets by words alone, one that never matches.
 TOOLS = (
-    {"name": "query_change_notices", "display_name": "查询接入机构变动", "description": "查询接入机构的近期变动、变动报备、计划调整、执行复核以及影响面。", "trigger": "当用户询问接入机构变动通知、变动报备、计划调整或执行复核时调用。",
-     "input_schema": {"properties": {"orgCode": {"description": "机构编码"}}}, "output_schema": {"type": "array"}},
+    {"name": "orchid_repotting_log", "display_name": "兰花换盆台账", "description": "给出兰花的换盆日期、基质配比、根系状况以及下一次换盆的建议。", "trigger": "当用户询问兰花换盆记录、换盆日期、基质配比或根系状况时调用。",
+     "input_schema": {"properties": {"potId": {"description": "花盆编号"}}}, "output_schema": {"type": "array"}},
     {"name": "tionthe_lookup", "display_name": "thand other", "description": "that this with from only", "trigger": "tionou ering anded", "required_permissions": ["read"], "requires_confirmation": True},
     {"name": "never_called_zz", "display_name": "", "description": "查询状态", "trigger": "", "risk_level": "high"},
 )

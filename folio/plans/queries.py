@@ -19,7 +19,7 @@ from folio.plans.oracle import q, query
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-STAMP, TRACE = "20260610153045", "a1b2c3d4"
+STAMP, TRACE = "20250102030405", "0f1e2d3c"
 CATALOGUE = [dict(t) for t in corpus.TOOLS]
 
 
@@ -311,7 +311,7 @@ def ref_cleaning(spark, sf):
     return rows.select("i", T.clean_relation(F.col("a")).alias("relation"), T.clean_taxonomy(F.col("a")).alias("taxonomy"), T.clean_relevance(F.col("b")).alias("relevance"), T.risk_level(F.col("c")).alias("risk"), j(T.as_list(F.col("l"))).alias("parts"))
 
 
-_NAMES = ("A b.C/d", "--x--", "", "kb_1.2", "制度 2026", "..", "A--B  c")
+_NAMES = ("A b.C/d", "--x--", "", "kb_1.2", "手册 2025", "..", "A--B  c")
 
 
 @named(f"SELECT s, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(trim(lower(s)), '[^a-z0-9_一-鿿.-]+', '-', 'g'), '-+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'kb-item') AS safe, printf('%06d', greatest(n, 0)) AS prefix FROM (VALUES {', '.join(f'({q(s)}, {n})' for s, n in zip(_NAMES, (12, 1234567, 0, -4, 1, 99, 100000)))}) v(s, n)")
@@ -324,15 +324,15 @@ def ref_names(spark, sf):
 def _generated(spark, sf) -> DataFrame:
     """Files as items would make them, some of them spoilt by the number of their document."""
     made = items.heuristic(chunks_of(corpus.plain(spark, sf), context=False))
-    files = validation.from_items(made.withColumn("source_order", F.lit(1)).withColumn("tags", F.array(F.lit("EPCC"), F.lit("abc"))), F.concat_ws("/", "source_doc", F.format_string("%06d", "block_index"), F.format_string("%06d", "piece_index")))
+    files = validation.from_items(made.withColumn("source_order", F.lit(1)).withColumn("tags", F.array(F.lit("AIC"), F.lit("abc"))), F.concat_ws("/", "source_doc", F.format_string("%06d", "block_index"), F.format_string("%06d", "piece_index")))
     n = F.regexp_extract("path", r"doc-(\d+)", 1).cast("long")
-    body = F.when(n % 7 == 1, F.regexp_replace("body", r"(?s)## 2\. 适用边界\n\n.*?(?=## 3)", "## 2. 适用边界\n\n")).when(n % 7 == 2, F.substring("body", 1, 150)).when(n % 7 == 3, F.concat("body", F.lit(" EPCC"))).otherwise(F.col("body"))
+    body = F.when(n % 7 == 1, F.regexp_replace("body", r"(?s)## 2\. 适用边界\n\n.*?(?=## 3)", "## 2. 适用边界\n\n")).when(n % 7 == 2, F.substring("body", 1, 150)).when(n % 7 == 3, F.concat("body", F.lit(" AIC"))).otherwise(F.col("body"))
     meta = F.when(n % 5 == 1, F.map_filter("meta", lambda k, v: k != "owner")).when(n % 5 == 2, F.map_concat(F.map_filter("meta", lambda k, v: k != "doc_type"), F.create_map(F.lit("doc_type"), F.lit("faq")))).otherwise(F.col("meta"))
     return files.withColumn("error", F.when(n % 11 == 5, "缺少 YAML Front Matter")).withColumn("body", body).withColumn("meta", meta)
 
 
 _V = """i3 AS (SELECT *, concat(source_doc, '/', printf('%06d', block_index), '/', printf('%06d', piece_index)) AS path, CAST(regexp_extract(source_doc, 'doc-(\\d+)', 1) AS BIGINT) AS k FROM i1),
-i4 AS (SELECT *, CASE WHEN k % 7 = 1 THEN regexp_replace(body, '(?s)## 2\\. 适用边界\\n\\n.*?## 3', concat('## 2. 适用边界', chr(10), chr(10), '## 3')) WHEN k % 7 = 2 THEN substr(body, 1, 150) WHEN k % 7 = 3 THEN concat(body, ' EPCC') ELSE body END AS bd FROM i3),
+i4 AS (SELECT *, CASE WHEN k % 7 = 1 THEN regexp_replace(body, '(?s)## 2\\. 适用边界\\n\\n.*?## 3', concat('## 2. 适用边界', chr(10), chr(10), '## 3')) WHEN k % 7 = 2 THEN substr(body, 1, 150) WHEN k % 7 = 3 THEN concat(body, ' AIC') ELSE body END AS bd FROM i3),
 i5 AS (SELECT *, regexp_replace(bd, '(?m)^##\\s+4\\.\\s+关联能力\\s*$(?s).*', '') AS core, len(regexp_extract_all(bd, '(?m)^##\\s+')) AS heads FROM i4 WHERE k % 11 <> 5)"""
 
 
@@ -348,7 +348,7 @@ _ISSUES = " UNION ALL ".join([
     *[_issue(f"NOT regexp_matches(bd, '(?m)^##\\s+{i}\\.\\s+[^\\n]*{t}')", "warning", f"'缺少或未对齐章节: ## {i}. {t}'") for i, t in enumerate(K.SECTION_TITLES, 1)],
     _issue("k % 7 = 1 AND regexp_matches(bd, '## 2\\. 适用边界\\n\\n## 3')", "warning", "'章节内容为空: ## 2'"),
     _issue("k % 7 = 2 AND regexp_matches(bd, '## 1\\. 核心内容\\s*$')", "warning", "'章节内容为空: ## 1'"),
-    _issue("NOT regexp_matches(core, '(^|[^A-Za-z0-9])EPCC($|[^A-Za-z0-9])')", "warning", "'关键缩写未进入正文核心章节: EPCC'"),
+    _issue("NOT regexp_matches(core, '(^|[^A-Za-z0-9])AIC($|[^A-Za-z0-9])')", "warning", "'关键缩写未进入正文核心章节: AIC'"),
     _issue("subcategory = category", "warning", "'小类与大类相同，分类层级可能未细化'"),
 ])
 

@@ -60,8 +60,8 @@ def test_merge_children(spark):
 
 def test_parse(docs):
     rows = {(r.source_doc, r.block_index): r for r in parsing.parse(docs).collect()}
-    first = rows["接入管理规范.md", 0]
-    assert first.category == "接入管理规范" and all(r.related_items is not None for r in rows.values())
+    first = rows["温室养护手册.md", 0]
+    assert first.category == "温室养护手册" and all(r.related_items is not None for r in rows.values())
     assert not [k for k in rows if k[0] in ("目录.md", "空.md")]
     for r in rows.values():
         assert len(r.related_items) <= 5 and all(x["关联度"] in ("高", "一般", "低") for x in r.related_items) and r.subcategory not in [x["小类标题"] for x in r.related_items]
@@ -77,8 +77,8 @@ def test_related_ties_prefer_the_farther(spark):
 
 def test_context(docs):
     rows = chunks_of(docs).orderBy("file_index", "block_index", "piece_index").collect()
-    own = [r for r in rows if r.source_doc == "接入管理规范.md"]
-    assert own and own[0].context.startswith("文档章节目录：\n- ") and "知识分类：\n大类标题：接入管理规范" in own[0].context
+    own = [r for r in rows if r.source_doc == "温室养护手册.md"]
+    assert own and own[0].context.startswith("文档章节目录：\n- ") and "知识分类：\n大类标题：温室养护手册" in own[0].context
     assert ("下一片段摘要：" in own[0].context) == (len(own) > 1) and "上一片段摘要：" not in own[0].context
     assert all(len(T_strip(r.content)) >= 40 for r in rows)
     assert chunks_of(docs, settings.DraftSettings(context_chars=0)).first().context == ""
@@ -95,39 +95,39 @@ def test_outline_limit(spark):
 
 
 def test_draft(docs):
-    made = draft(docs, CATALOGUE, "20260610153045", "a1b2c3d4")
+    made = draft(docs, CATALOGUE, "20250102030405", "0f1e2d3c")
     rows = made.orderBy("source_order").collect()
     assert [r.source_order for r in rows] == list(range(1, len(rows) + 1)) and len({r.file_name for r in rows}) == len(rows)
-    one = next(r for r in rows if r.source_doc == "通知.txt")
-    assert one.file_name == f"通知-20260610153045-a1b2c3d4-{one.source_order:06d}-{one.kb_id}.md" and one.source_version == "V2.1"
-    assert "```yaml\nfunction_name: \"query_change_notices\"" in one.body and "来源页码：" not in one.body.split("## 5.")[0]
-    assert one.body.count("## ") >= 5 and "## 5. 来源依据\n\n- 来源文档：通知.txt\n- 来源章节：文档片段 1\n- 来源说明" in one.body
-    assert {(r.source_doc, r.block_index, r.piece_index, r.body) for r in rows} == {(r.source_doc, r.block_index, r.piece_index, r.body) for r in draft(docs.repartition(5), CATALOGUE, "20260610153045", "a1b2c3d4").collect()}
+    one = next(r for r in rows if r.source_doc == "花讯.txt")
+    assert one.file_name == f"花讯-20250102030405-0f1e2d3c-{one.source_order:06d}-{one.kb_id}.md" and one.source_version == "V1.4"
+    assert "```yaml\nfunction_name: \"orchid_repotting_log\"" in one.body and "来源页码：" not in one.body.split("## 5.")[0]
+    assert one.body.count("## ") >= 5 and "## 5. 来源依据\n\n- 来源文档：花讯.txt\n- 来源章节：文档片段 1\n- 来源说明" in one.body
+    assert {(r.source_doc, r.block_index, r.piece_index, r.body) for r in rows} == {(r.source_doc, r.block_index, r.piece_index, r.body) for r in draft(docs.repartition(5), CATALOGUE, "20250102030405", "0f1e2d3c").collect()}
 
 
 def test_file_name(spark):
-    row = spark.createDataFrame([("制度", "20260610153045", "a1b2c3d4", "pending", 12, "biz-offline-abc-v1"), ("制度", "20260610153045", "a1b2c3d4", "failed", 12, "biz-offline-abc-v1")], "a string, b string, c string, d string, e int, f string")
+    row = spark.createDataFrame([("手册", "20250102030405", "0f1e2d3c", "pending", 31, "biz-offline-0a9-v1"), ("手册", "20250102030405", "0f1e2d3c", "failed", 31, "biz-offline-0a9-v1")], "a string, b string, c string, d string, e int, f string")
     got = [r.n for r in row.select(naming.file_name(*[F.col(c) for c in "abcdef"]).alias("n")).collect()]
-    assert sorted(got) == ["制度-20260610153045-a1b2c3d4-000012-biz-offline-abc-v1.md", "制度-20260610153045-a1b2c3d4-failed-000012-biz-offline-abc-v1.md"]
+    assert sorted(got) == ["手册-20250102030405-0f1e2d3c-000031-biz-offline-0a9-v1.md", "手册-20250102030405-0f1e2d3c-failed-000031-biz-offline-0a9-v1.md"]
 
 
-DEFINITION = "# 术语\n统一结算平台以下简称“结算平台”，英文简称为 EPCC，是结算机构。"
+DEFINITION = "# 名词\n自动灌溉控制器以下简称“灌控器”，英文简称为 AIC，是供水设备。"
 
 
 def chunk_table(spark):
     base = corpus.samples(spark).limit(0)
-    one = spark.createDataFrame([(0, "定义.md", "定义", DEFINITION + "\n补充一。\n补充二。\n补充三。"), (1, "坏.md", "坏", "# 坏\n" + "这是一段足够长的文字，用来形成片段，不会得到可用的回答，因此由规则兜底。" * 2)], base.schema)
+    one = spark.createDataFrame([(0, "定义.md", "定义", DEFINITION + "\n补充一。\n补充二。\n补充三。"), (1, "坏.md", "坏", "# 坏\n" + "这一页写的是过冬花木的包裹办法，字数够用，可是问不出能用的答案，只好按规则整理。" * 2)], base.schema)
     return chunks_of(one)
 
 
 def answer(core, **more):
-    body = f"# 术语\n\n## 1. 核心内容\n\n{core}\n\n## 2. 适用边界\n\n无\n\n## 3. 使用要求\n\n无\n\n## 4. 关联能力\n\n暂无\n\n## 5. 来源依据\n\nx"
-    return {"choices": [{"message": {"content": json.dumps({"items": [{"title": "术语", "doc_type": "function", "body": body, "tags": "EPCC、网联", **more}]}, ensure_ascii=False)}, "finish_reason": "stop"}]}
+    body = f"# 名词\n\n## 1. 核心内容\n\n{core}\n\n## 2. 适用边界\n\n无\n\n## 3. 使用要求\n\n无\n\n## 4. 关联能力\n\n暂无\n\n## 5. 来源依据\n\nx"
+    return {"choices": [{"message": {"content": json.dumps({"items": [{"title": "名词", "doc_type": "function", "body": body, "tags": "AIC、浇水", **more}]}, ensure_ascii=False)}, "finish_reason": "stop"}]}
 
 
 def test_model_exchange():
-    chunk = {"source_doc": "a.md", "source_section": "术语", "content": DEFINITION, "context": "上下文", "facts": ["统一结算平台以下简称“结算平台”，英文简称为 EPCC，是结算机构。"]}
-    seen, said = [], iter([{"choices": []}, {"choices": [{"message": {"content": '{"answer":"bad"}'}}]}, {"choices": [{"message": {"content": '{"items": [1,}'}, "finish_reason": "length"}]}, answer("结算平台即 EPCC。"), answer(DEFINITION.split("\n")[1])])
+    chunk = {"source_doc": "a.md", "source_section": "名词", "content": DEFINITION, "context": "上下文", "facts": ["自动灌溉控制器以下简称“灌控器”，英文简称为 AIC，是供水设备。"]}
+    seen, said = [], iter([{"choices": []}, {"choices": [{"message": {"content": '{"answer":"bad"}'}}]}, {"choices": [{"message": {"content": '{"items": [1,}'}, "finish_reason": "length"}]}, answer("灌控器即 AIC。"), answer(DEFINITION.split("\n")[1])])
 
     def complete(messages):
         seen.append([dict(m) for m in messages])
@@ -137,7 +137,7 @@ def test_model_exchange():
     assert len(objects) == 1 and not missing and len(seen) == 5
     assert seen[2][4]["content"] == '{"answer":"bad"}' and "object keys=['answer']" in seen[2][5]["content"] and "截断" in seen[3][7]["content"] and "line 1, column" in seen[3][7]["content"]
     last = seen[4][-1]["content"]
-    assert all(x in last for x in ("a.md", "术语", "EPCC，是结算机构", "上下文", "结算平台即 EPCC"))
+    assert all(x in last for x in ("a.md", "名词", "AIC，是供水设备", "上下文", "灌控器即 AIC"))
     assert all(x in seen[0][1]["content"] for x in ("以下简称", "英文简称", DEFINITION, "status 为"))
     waits = []
     assert model_calls.converse(chunk, lambda m: 1 / 0, "active", wait=waits.append) == ([], []) and waits == [1, 2, 4, 8, 16, 30, 30, 30, 30]
@@ -166,19 +166,19 @@ def test_by_model(spark):
     def complete(messages):
         if "坏" in messages[1]["content"]:
             return {"choices": [{"message": {"content": "no json"}}]}
-        return answer("只有简称 EPCC。", related_items=[{"大类": "甲", "title": "乙", "reason": "同组", "relevance": "强"}, {"小类标题": "乙", "大类标题": "甲"}, "x", {"category": "甲"}], risk_level="HIGH", category="清算")
+        return answer("只有简称 AIC。", related_items=[{"大类": "甲", "title": "乙", "reason": "同组", "relevance": "强"}, {"小类标题": "乙", "大类标题": "甲"}, "x", {"category": "甲"}], risk_level="HIGH", category="灌溉")
 
     made = by_model(chunk_table(spark), CATALOGUE, "active", complete, attempts=5, wait=lambda s: None, keep=lambda d: d.cache())
     rows = {r.source_doc: r for r in made.collect()}
     good, bad = rows["定义.md"], rows["坏.md"]
-    assert good.review_status == "coverage_warning" and good.status == "draft" and good.tags == ["EPCC", "网联", "需人工复核"] and "> - 统一结算平台以下简称" in good.body
-    assert good.doc_type == "biz" and good.kb_id.startswith("biz-offline-") and good.risk_level == "high" and good.category == "清算"
+    assert good.review_status == "coverage_warning" and good.status == "draft" and good.tags == ["AIC", "浇水", "需人工复核"] and "> - 自动灌溉控制器以下简称" in good.body
+    assert good.doc_type == "biz" and good.kb_id.startswith("biz-offline-") and good.risk_level == "high" and good.category == "灌溉"
     assert [tuple(x) for x in good.related_items][0] == ("甲", "乙", "同组", "高") and len([x for x in good.related_items if x["小类标题"] == "乙"]) == 1
     assert bad.review_status == "failed" and "## failed_chunk_source\n\n```text\n# 坏" in bad.body and bad.body.endswith("```")
 
 
 def test_missing_facts(spark):
-    fact = "统一结算平台以下简称“结算平台”，英文简称为 EPCC，是结算机构。"
+    fact = "自动灌溉控制器以下简称“灌控器”，英文简称为 AIC，是供水设备。"
     rows = spark.createDataFrame([(DEFINITION, ["# t\n\n## 1. 核心内容\n\n短"]), (DEFINITION, [f"# t\n\n{fact}"]), (DEFINITION, [f"x\n## 4. 关联能力\n{fact}"])], "c string, b array<string>")
     assert [r.m for r in rows.select(coverage.missing_facts(F.col("c"), F.col("b")).alias("m")).collect()] == [[fact], [], [fact]]
 
@@ -198,14 +198,14 @@ GOOD = "# t\n\n" + "\n\n".join(f"## {i}. {t}\n\n内容" + "字" * 60 for i, t in
 def test_validation(spark):
     rows = [
         ("a.md", page(f"{FULL}\ndoc_type: biz\ncategory: 甲\nsubcategory: 乙\nrelated_items: []\ntags: []", GOOD)),
-        ("b.md", page(f"{FULL}\ndoc_type: biz\ncategory: 甲\nsubcategory: 乙\nrelated_items: []\ntags: [EPCC, abc]", GOOD.replace("## 5. 来源依据\n\n内容", "## 5. 来源依据\n\nEPCC"))),
+        ("b.md", page(f"{FULL}\ndoc_type: biz\ncategory: 甲\nsubcategory: 乙\nrelated_items: []\ntags: [AIC, abc]", GOOD.replace("## 5. 来源依据\n\n内容", "## 5. 来源依据\n\nAIC"))),
         ("c.md", page(f"{FULL}\ndoc_type: biz\ncategory: 甲\nsubcategory: 甲\nrelated_items: [x, {{大类标题: a, 小类标题: b, 关联说明: c, 关联度: 中}}, {{大类标题: a}}]\ntags: []", GOOD.replace("适用边界\n\n内容" + "字" * 60, "适用边界"))),
         ("d.md", "no front matter"), ("e.md", page("title: x", "short")),
     ]
     got = {}
     for r in validation.validate(generated.parsed(files_of(spark, rows))).orderBy("path", "pos").collect():
         got.setdefault(r.path, []).append(r.message)
-    assert "a.md" not in got and got["b.md"] == ["关键缩写未进入正文核心章节: EPCC"] and got["d.md"] == ["无法读取 Markdown Front Matter: 缺少 YAML Front Matter"]
+    assert "a.md" not in got and got["b.md"] == ["关键缩写未进入正文核心章节: AIC"] and got["d.md"] == ["无法读取 Markdown Front Matter: 缺少 YAML Front Matter"]
     assert got["c.md"] == ["章节内容为空: ## 2", "小类与大类相同，分类层级可能未细化", "related_items[1] 应为对象", "related_items[2] 关联度不规范", "related_items[3] 缺少字段: 小类标题", "related_items[3] 缺少字段: 关联说明", "related_items[3] 缺少字段: 关联度", "related_items[3] 关联度不规范"]
     assert "doc_type 不合法: None" in got["e.md"] and "缺少必填字段: kb_id" in got["e.md"] and "正文较短，可能信息不足: 5 字符" in got["e.md"] and "二级标题少于 5 个，可能未遵照标准知识库结构" in got["e.md"]
 
@@ -249,14 +249,14 @@ def test_settings(tmp_path):
 
 
 def test_actions():
-    assert [jobs.action_for(x) for x in ("１", "1：delete and rebuild", "2", "3", "4", "R", "continue", "f", "")] == ["rebuild", "rebuild", "resume", "retry", "exit", "rebuild", "resume", "retry", "exit"]
+    assert [jobs.action_for(x) for x in ("１", "1：重来", "2", "3", "4", "R", "continue", "f", "")] == ["rebuild", "rebuild", "resume", "retry", "exit", "rebuild", "resume", "retry", "exit"]
 
 
 def test_progress(tmp_path):
     assert jobs.progress_of(str(tmp_path)) is None
-    jobs.save_progress(str(tmp_path), files=["a/001-alpha.md", "a/002-beta.pdf"], file_index=1, block_index=3)
+    jobs.save_progress(str(tmp_path), files=["a/one.md", "a/two.pdf"], file_index=1, block_index=3)
     got = jobs.progress_of(str(tmp_path))
-    assert got["current_file_name"] == "002-beta.pdf" and got["block_index"] == 3
+    assert got["current_file_name"] == "two.pdf" and got["block_index"] == 3
     (tmp_path / jobs.PROGRESS).write_text("{")
     assert jobs.progress_of(str(tmp_path)) is None
 
@@ -279,12 +279,12 @@ def test_commands(spark, tmp_path, monkeypatch):
     assert jobs.main(["draft", "--input", str(source), "--output", str(out), "--on-existing", "rebuild"]) == 0
     assert len(list(out.iterdir())) == len(made)
     assert jobs.main(["parse", "--input", str(source), "--output", str(tmp_path / "parsed")]) == 0
-    assert (tmp_path / "parsed" / "通知.parsed.md").read_text(encoding="utf-8") == corpus.SAMPLES[1][1]
+    assert (tmp_path / "parsed" / "花讯.parsed.md").read_text(encoding="utf-8") == corpus.SAMPLES[1][1]
 
 
 def test_retry(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "session", lambda: spark)
-    source = "这是一段需要重新整理的原文，长度足够形成片段，内容仅用于测试重试流程是否正确。"
+    source = "苗床的温度记录没有整理好，园丁要在周五之前重新抄写一遍，并且注明每一行的日期。"
     text = page("source_doc: 甲.md\nsource_section: 乙\nsource_pages: [3, x]\nsource_order: 7\ncategory: 丙\nreview_status: failed", f"# t\n\n## failed_chunk_source\n\n```text\n{source}\n```\n")
     (tmp_path / "x-failed-000007-y.md").write_text(text, encoding="utf-8")
     assert jobs.main(["draft", "--output", str(tmp_path), "--on-existing", "retry"]) == 0
@@ -301,14 +301,14 @@ def test_resume_and_stream(spark, tmp_path):
     assert incremental.resume(docs, done.limit(1), CATALOGUE).count() == done.count() - 1
     (tmp_path / "in").mkdir()
     run = lambda: incremental.stream(spark, f"{tmp_path}/in", f"{tmp_path}/table", f"{tmp_path}/check", CATALOGUE).awaitTermination()
-    (tmp_path / "in" / "通知.txt").write_text(corpus.SAMPLES[1][1], encoding="utf-8")
+    (tmp_path / "in" / "花讯.txt").write_text(corpus.SAMPLES[1][1], encoding="utf-8")
     run()
     assert spark.read.parquet(f"{tmp_path}/table").count() == 1
-    (tmp_path / "in" / "接入.md").write_text(corpus.SAMPLES[0][1], encoding="utf-8")
+    (tmp_path / "in" / "养护.md").write_text(corpus.SAMPLES[0][1], encoding="utf-8")
     run()
     run()
     rows = spark.read.parquet(f"{tmp_path}/table").groupBy("source_doc").count().collect()
-    assert {r.source_doc for r in rows} == {"通知.txt", "接入.md"} and {r["count"] for r in rows if r.source_doc == "通知.txt"} == {1}
+    assert {r.source_doc for r in rows} == {"花讯.txt", "养护.md"} and {r["count"] for r in rows if r.source_doc == "花讯.txt"} == {1}
 
 
 def test_entry(spark):

@@ -20,14 +20,14 @@ def test_noise(spark):
 
 
 def test_headings(spark):
-    lines = ["1.2.3 标题", "1.2.34", "1 概述", "第一章 总则", "附录A 规范", "# x y", "第十章", "1.2.3.4.5 深层标题", "plain"]
-    assert of(spark, T.recovered, lines) == ["#### 1.2.3 标题", "1.2.34", "1 概述", "## 第一章 总则", "## 附录A 规范", "# x y", "第十章", "#### 1.2.3.4.5 深层标题", "plain"]
-    assert of(spark, T.heading_of_line, lines) == ["#### 1.2.3 标题", "", "", "## 第一章 总则", "## 附录A 规范", "# x y", "", "#### 1.2.3.4.5 深层标题", ""]
+    lines = ["1.2.3 标题", "1.2.34", "1 概述", "第一章 浇水", "附录A 名录", "# x y", "第十章", "1.2.3.4.5 深层标题", "plain"]
+    assert of(spark, T.recovered, lines) == ["#### 1.2.3 标题", "1.2.34", "1 概述", "## 第一章 浇水", "## 附录A 名录", "# x y", "第十章", "#### 1.2.3.4.5 深层标题", "plain"]
+    assert of(spark, T.heading_of_line, lines) == ["#### 1.2.3 标题", "", "", "## 第一章 浇水", "## 附录A 名录", "# x y", "", "#### 1.2.3.4.5 深层标题", ""]
 
 
 def test_embedded_headings(spark):
-    texts = ["封面前 言本指引适用", "见本文件3.1范围", "参见3.1范围", "说明附录A规范", "a\n\n\n\nb", "V3.1x"]
-    assert of(spark, T.separate_headings, texts) == ["前 言本指引适用", "见本文件\n\n3.1范围", "参见3.1范围", "说明\n\n附录A规范", "a\n\nb", "V3.1x"]
+    texts = ["封面前 言本指引适用", "见本文件3.1范围", "参见3.1范围", "说明附录A名录", "a\n\n\n\nb", "V3.1x"]
+    assert of(spark, T.separate_headings, texts) == ["前 言本指引适用", "见本文件\n\n3.1范围", "参见3.1范围", "说明\n\n附录A名录", "a\n\nb", "V3.1x"]
 
 
 def test_compact_lines(spark):
@@ -38,7 +38,7 @@ def test_compact_lines(spark):
 
 def test_categories(spark):
     assert of(spark, T.clean_category, ["", "全文检索说明", "文档片段 3", " # a  b # ", "x" * 90]) == ["未分类", "检索说明", "未分类", "a b", "x" * 80]
-    assert of(spark, T.clean_heading_title, ["3.1 概述", "第二章、总则", "2024 总结", "文档片段 1"]) == ["概述", "总则", "总结", "未分类"]
+    assert of(spark, T.clean_heading_title, ["3.1 概述", "第二章、浇水", "2024 总结", "文档片段 1"]) == ["概述", "浇水", "总结", "未分类"]
     assert of(spark, T.useful_heading, ["3.1", "A.2", "目录", "Q/ABC", "ICS 1", "x\\y", "接口", ""]) == [False] * 6 + [True, False]
     assert of(spark, T.family_key, ["a.1.2", "Ａ.1", "3.1.2", "3", "x", "10.1.2 y"]) == ["A", "Ａ", "3.1", "3", "", "10.1"]
     assert of(spark, T.section_prefix, ["3.1 a", "3.1.2 b", "3.12.1 c", "10.12.3", "3.12 d", " 1.2"]) == ["3.1", "", "3.1", "10.1", "3.12", "1.2"]
@@ -77,14 +77,14 @@ def test_item_cleaning(spark):
     assert of(spark, T.guess_version, ["IPv4 header", "v 2.1.3", "none"]) == ["V4", "V2.1.3", ""]
     assert of(spark, lambda x: T.clean_relation(x), ["“甲”与“乙”同属“丙”大类，回答时应结合来源章节区分适用场景、交互对象和处理要求。", "位置接近；"]) == ["", "位置接近"]
     assert of(spark, T.as_list, ["a,b，c、 d,,", "", None]) == [["a", "b", "c", "d"], [], []]
-    assert of(spark, T.safe_name, ["A b/制度 2026", "--", "x__Y.z"]) == ["a-b-制度-2026", "kb-item", "x__y.z"]
+    assert of(spark, T.safe_name, ["A b/手册 2025", "--", "x__Y.z"]) == ["a-b-手册-2025", "kb-item", "x__y.z"]
     assert of(spark, T.order_prefix, [12, 1234567, -1, None], "long") == ["000012", "1234567", "000000", "000000"]
     assert of(spark, lambda x: T.compact(x, 0), ["a  b\nc"]) == ["a b c"] and of(spark, lambda x: T.compact(x, 3), ["ab cd"]) == ["ab..."]
 
 
 def test_facts(spark):
-    text = "# 标题\n- 接口响应时间应小于 3 秒以内的要求；超时应告警并且通知值班人员。\n|---|---|\n1. **短**句。\n接口响应时间应小于3秒以内的要求；"
-    assert of(spark, T.fact_sentences, [text]) == [["接口响应时间应小于 3 秒以内的要求；", "超时应告警并且通知值班人员。"]]
+    text = "# 标题\n- 单次浇水的水量不得超过 40 升这一上限；湿度过高时应停水并且告诉值班园丁。\n|---|---|\n1. **短**句。\n单次浇水的水量不得超过40升这一上限；"
+    assert of(spark, T.fact_sentences, [text]) == [["单次浇水的水量不得超过 40 升这一上限；", "湿度过高时应停水并且告诉值班园丁。"]]
 
 
 def pack(parts, limit):
@@ -140,14 +140,14 @@ def test_tools(spark):
     from folio.plans.corpus import TOOLS
 
     catalogue = [dict(t) for t in TOOLS]
-    texts = ["接入机构变动通知应在三个工作日报备，执行复核以及影响面说明。当用户询问接入机构变动通知时调用。", "本条不涉及查询接入机构变动工具。", "查询 接口 工具 当前", "call QUERY_CHANGE_NOTICES now"]
+    texts = ["兰花换盆记录应在两周内登记，根系状况另附照片。当用户询问兰花换盆记录时调用。", "本页不涉及查询兰花换盆台账工具。", "查询 接口 工具 当前", "call ORCHID_REPOTTING_LOG now"]
     assert of(spark, lambda x: tools.matched(x, catalogue), texts) == [[0], [], [], [0]]
     assert of(spark, lambda x: tools.matched(x, []), texts[:1]) == [[]]
     text = tools.tool_yaml(catalogue[0])
-    assert 'required_permissions: []' in text and '  orgCode: "机构编码"' in text and text.endswith("output_schema: {}")
+    assert 'required_permissions: []' in text and '  potId: "花盆编号"' in text and text.endswith("output_schema: {}")
     assert "requires_confirmation: true" in tools.tool_yaml(catalogue[1]) and 'required_permissions: ["read"]' in tools.tool_yaml(catalogue[1])
-    shared = ["查询", "接口", "共享主题", "operation_001"]
-    assert tools._significant(shared) == ["共享主题", "operation_001"]
+    shared = ["查询", "接口", "温室主题", "task_009"]
+    assert tools._significant(shared) == ["温室主题", "task_009"]
 
 
 def test_pieces(spark):
