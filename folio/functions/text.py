@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from folio.functions import fixed as K
 
-#: White space, for use within a character class.
-SPACE = r"\t-\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space, for use within a character class. Single characters below 256 are one table for the JVM, and the rest
+#: stands behind one test of its range, so that what is no white space is told by two steps and not by one for each range.
+SPACE = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
 S = f"[{SPACE}]"
 HAN = r"一-鿿"
 #: Ends of lines where a text is cut into lines.
@@ -234,12 +235,37 @@ def clean_item_keyword(x: Column) -> Column:
     return _keyword(clean_taxonomy(x))
 
 
+# A token begins with an ASCII letter or a Han character and has no white space, points or marks but "_". So for those that
+# sort before "{" all that cleaning can change is their end, and the patterns are left out.
+
+
+def _latin(t: Column) -> Column:
+    return t < F.lit("{")
+
+
+def _latin_keyword(t: Column) -> Column:
+    def kept(u: Column) -> Column:
+        return F.when((F.length(u) < 2) | u.rlike(r"(?i)nuc|v[0-9]"), "").otherwise(F.substring(u, 1, 32))
+
+    return bind(F.rtrim(F.substring(t, 1, 80), F.lit("_")), kept)
+
+
+def token_keyword(t: Column, clean=clean_keyword) -> Column:
+    """clean_keyword() of a token."""
+    return F.when(_latin(t), _latin_keyword(t)).otherwise(clean(t))
+
+
+def again(t: Column, clean=clean_keyword) -> Column:
+    """clean_keyword() of what it made of a token: a cut may have left marks at the end."""
+    return F.when(_latin(t), bind(F.rtrim(t, F.lit("_")), lambda u: F.when(F.length(u) >= 2, u).otherwise(""))).otherwise(clean(t))
+
+
 def tokens(x: Column) -> Column:
-    return F.filter(F.transform(F.regexp_extract_all(x, F.lit(f"({TOKEN})"), F.lit(1)), clean_keyword), lambda t: t != "")
+    return F.filter(F.transform(F.regexp_extract_all(x, F.lit(f"({TOKEN})"), F.lit(1)), lambda t: token_keyword(t)), lambda t: t != "")
 
 
 def item_tokens(x: Column) -> Column:
-    return F.filter(F.regexp_extract_all(x, F.lit(f"({TOKEN})"), F.lit(1)), lambda t: clean_item_keyword(t) != "")
+    return F.filter(F.regexp_extract_all(x, F.lit(f"({TOKEN})"), F.lit(1)), lambda t: token_keyword(t, clean_item_keyword) != "")
 
 
 def core_text(content: Column) -> Column:
@@ -263,17 +289,18 @@ def section_prefix(section: Column) -> Column:
 
 
 def rank_tokens(values: Column, category_tokens: Column) -> Column:
-    """The ten best tokens by count, then first place; at most three of them are the category's. Counts come from the
-    places in the sorted values, so the work is one sort and native scans."""
+    """The ten best tokens by count, then first place; at most three of them are the category's. Equal tokens stand together
+    in the sorted values, so a count is the distance of two starts, and the work is a sort and native scans."""
 
     def ranked(v: Column) -> Column:
-        def rows(s: Column, d: Column, at: Column) -> Column:
-            count = lambda i: F.coalesce(F.get(at, i), F.size(s) + 1) - F.element_at(at, i)
-            made = F.transform(F.sequence(F.lit(1), F.size(d)), lambda i: F.struct((-count(i)).alias("n"), F.array_position(v, F.element_at(d, i)).alias("p"), F.element_at(d, i).alias("t")))
-            return F.transform(F.array_sort(made), lambda r: r["t"])
-
-        places = lambda s, d: bind(F.transform(d, lambda t: F.array_position(s, t)), lambda at: rows(s, d, at))
-        return F.when(F.size(v) > 0, bind(F.array_sort(v), lambda s: bind(F.array_distinct(s), lambda d: places(s, d)))).otherwise(F.array().cast("array<string>"))
+        def rows(s: Column) -> Column:
+            t = lambda i: F.get(s, i)["t"]
+            starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (t(i) != t(F.greatest(i - 1, F.lit(0)))))
+            row = lambda at, i, k: F.struct((i - F.coalesce(F.get(at, k + 1), F.size(s))).alias("n"), F.get(s, i)["p"].alias("p"), t(i).alias("t"))
+            return bind(starts, lambda at: F.transform(F.array_sort(F.transform(at, lambda i, k: row(at, i, k))), lambda r: r["t"]))
+
+        placed = F.array_sort(F.transform(v, lambda t, i: F.struct(t.alias("t"), i.alias("p"))))
+        return F.when(F.size(v) > 0, bind(placed, rows)).otherwise(F.array().cast("array<string>"))
 
     def capped(o: Column, c: Column) -> Column:
         some = F.slice(F.array_intersect(o, c), 1, 3)

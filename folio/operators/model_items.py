@@ -29,6 +29,7 @@ def _list(name: str) -> Column:
 def keywords(raw: Column, own: Column, subcategory: Column, category: Column, body: Column, content: Column) -> Column:
     """The best tokens of the model's list, the chunk's, the subclass (three times), the core sections and the text."""
     bag = lambda title: F.concat(raw, own, title, title, title, T.item_tokens(core_sections(body)), T.item_tokens(F.substring(content, 1, 1200)))
+    # what the lists hold need not be tokens
     values = F.filter(F.transform(T.bind(T.item_tokens(subcategory), bag), T.clean_item_keyword), lambda t: t != "")
     return T.rank_tokens(values, F.transform(T.item_tokens(category), T.clean_item_keyword))
 

@@ -67,14 +67,16 @@ def document_profile(docs: DataFrame) -> DataFrame:
     )
 
 
-def keyword_profile(category: Column, subcategory: Column, content: Column, doc_keywords: Column | None) -> Column:
-    def bag(title: Column) -> Column:
-        bags = [title, title, title, T.tokens(T.core_text(content))]
-        return F.concat(*bags, *([T.tokens(F.array_join(F.slice(doc_keywords, 1, 3), " "))] if doc_keywords is not None else []))
+def keyword_profile(category: Column, own: Column, more: Column | None = None) -> Column:
+    """The best keywords of `own`, the tokens of the title (three times) and of the text, and of the document's. They are
+    cleaned once more before they are counted; the category's tokens are not."""
+    bag = own if more is None else F.concat(own, F.filter(F.transform(more, lambda t: T.again(t)), lambda t: t != ""))
+    return T.rank_tokens(bag, T.tokens(category))
 
-    # tokens are cleaned once more before they are counted; the category's are not
-    values = F.filter(F.transform(T.bind(T.tokens(subcategory), bag), T.clean_keyword), lambda t: t != "")
-    return T.rank_tokens(values, T.tokens(category))
+
+def own_tokens(subcategory: Column, content: Column) -> Column:
+    bag = lambda title: F.concat(title, title, title, T.tokens(T.core_text(content)))
+    return F.filter(F.transform(T.bind(T.tokens(subcategory), bag), lambda t: T.again(t)), lambda t: t != "")
 
 
 def blocks(profiled: DataFrame) -> DataFrame:
@@ -88,7 +90,9 @@ def blocks(profiled: DataFrame) -> DataFrame:
         rows.withColumn("order", F.col("block_index"))
         .withColumn("pages", pages_of(F.col("source_section")))
         .withColumn("subcategory", T.subcategory_of(F.col("source_section"), F.col("content")))
-        .withColumn("category_keywords", keyword_profile(cat, sub, F.col("content"), F.col("doc_keywords")))
+        .withColumn("own_tokens", own_tokens(sub, F.col("content")))
+        .withColumn("category_keywords", keyword_profile(cat, F.col("own_tokens"), T.tokens(F.array_join(F.slice("doc_keywords", 1, 3), " "))))
+        .withColumn("plain_keywords", keyword_profile(cat, F.col("own_tokens"))).drop("own_tokens")
         .withColumn("category_description", F.when(F.instr(said, cat) == 0, q("本大类来源于文档结构中的“", cat, "”，用于承载该主题下的相关知识条目。")).otherwise(said))
         .withColumn("subcategory_description", F.when(sub == cat, q("用于说明“", cat, "”主题下的具体内容、边界和使用提示。")).otherwise(q("用于说明“", sub, "”在“", cat, "”大类下的具体内容、边界和关联提示。")))
         .withColumn("category_path", F.when(sub != cat, F.array(cat, sub)).otherwise(F.array(cat)))
@@ -97,7 +101,7 @@ def blocks(profiled: DataFrame) -> DataFrame:
 
 def siblings(rows: DataFrame) -> DataFrame:
     """The different (section, subcategory, keywords without the document's) of each document, numbered as they come."""
-    plain = rows.select(*DOC, "block_index", "source_section", "subcategory", keyword_profile(F.col("category"), F.col("subcategory"), F.col("content"), None).alias("keywords"))
+    plain = rows.select(*DOC, "block_index", "source_section", "subcategory", F.col("plain_keywords").alias("keywords"))
     first = plain.groupBy(*DOC, "source_section", "subcategory", "keywords").agg(F.min("block_index").alias("first"))
     w = Window.partitionBy(*DOC)
     return (
@@ -116,15 +120,19 @@ def related(rows: DataFrame, index: DataFrame) -> DataFrame:
     by_length = lambda xs: F.transform(F.array_sort(F.transform(xs, lambda x: F.struct((-F.length(x)).alias("n"), x.alias("x")))), lambda r: r["x"])
     met = own.join(at, [*DOC, "source_section", "subcategory"]).join(other, DOC).filter("name <> subcategory")
     scored = (
-        met.withColumn("distance", F.abs(F.col("idx") - F.col("current")))
+        met.withColumn("distance", F.abs(F.col("idx") - F.col("current"))).withColumn("after", (F.col("idx") > F.col("current")).cast("int"))
         .withColumn("same", ((F.col("family") != "") & (F.col("family") == F.col("their_family"))).cast("int"))
         .withColumn("words", F.array_intersect("category_keywords", "their")).withColumn("titles", F.array_intersect("title", "their_title"))
         .withColumn("score", F.size("words") * 3.0 + F.size("titles") * 2.0 + F.col("same") * 2.0 - F.least("distance", F.lit(8)) * 0.25)
-        .withColumn("reasons", F.slice(T.distinct_clean(F.concat(by_length(F.col("words")), by_length(F.col("titles")))), 1, 3))
-        .withColumn("rank", F.struct("score", "distance", "name", "reasons", "same"))
     )
-    best = scored.groupBy(*BLOCK, "name").agg(F.max("rank").alias("rank"))
-    top = best.withColumn("n", F.row_number().over(Window.partitionBy(*BLOCK).orderBy(F.col("rank").desc()))).filter("n <= 5")
+    # of one name the best, the farther of equals. At one distance there are two sections at most, one before and one after;
+    # between those the reasons decide, which are only made for the few that are left
+    of_side = lambda side: F.max(F.struct("score", "distance", side.alias("side"), "words", "titles", "same"))
+    best = scored.groupBy(*BLOCK, "name").agg(of_side(F.col("after")).alias("a"), of_side(-F.col("after")).alias("b"))
+    top = best.withColumn("n", F.row_number().over(Window.partitionBy(*BLOCK).orderBy(F.col("a.score").desc(), F.col("a.distance").desc(), F.col("name").desc()))).filter("n <= 5")
+    reasons = lambda c: F.slice(T.distinct_clean(F.concat(by_length(c["words"]), by_length(c["titles"]))), 1, 3)
+    said = lambda c: F.struct(c["score"].alias("score"), c["distance"].alias("distance"), reasons(c).alias("reasons"), c["same"].alias("same"))
+    top = top.withColumn("rank", F.greatest(said(F.col("a")), said(F.col("b"))))
     r = F.col("rank")
     info = F.concat(
         T.or_else(F.concat_ws("；",

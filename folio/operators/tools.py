@@ -28,15 +28,21 @@ def strip_summary(x: Column) -> Column:
 def strip_denied(x: Column) -> Column:
     """Without the sentences that deny a function; a sentence ends at 。！？ or a line end, which goes with it."""
     ends = "[。！？\n]"
-    denied = r"(?iu)(不涉及|无需|不需要|不得|禁止|不包括)[^\n]{0,24}(函数|接口|api|工具|能力|查询)"
-    return F.array_join(F.filter(F.split(x, f"(?<={ends})"), lambda s: ~s.rlike(denied)), "")
+    words = ("不涉及", "无需", "不需要", "不得", "禁止", "不包括")
+    denied = rf"(?iu)({'|'.join(words)})[^\n]{{0,24}}(函数|接口|api|工具|能力|查询)"
+    named = lambda s: T.any_of([s.contains(w) for w in words])  # noqa: E731  most texts have none of the words
+    kept = F.array_join(F.filter(F.split(x, f"(?<={ends})"), lambda s: ~(named(s) & s.rlike(denied))), "")
+    return F.when(named(x), kept).otherwise(x)
 
 
 def match_tokens(x: Column) -> Column:
     """Words of three letters or more, runs of Han characters, and the runs' parts of four."""
-    raw = F.array_distinct(F.filter(F.regexp_extract_all(F.lower(x), F.lit(rf"([a-z0-9_]{{3,}}|[{T.HAN}]{{2,}})"), F.lit(1)), lambda t: ~t.isin(*K.MATCH_STOPWORDS)))
-    parts = lambda t: F.when(t.rlike(f"[{T.HAN}]") & (F.length(t) > 4), F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 3, F.lit(1))), lambda i: F.substring(t, i, F.lit(4)))).otherwise(F.array().cast("array<string>"))
-    return T.bind(raw, lambda found: F.array_distinct(F.concat(found, F.flatten(F.transform(found, parts)))))
+    found = F.regexp_extract_all(F.lower(x), F.lit(rf"([a-z0-9_]{{3,}}|[{T.HAN}]{{2,}})"), F.lit(1))
+    raw = F.array_except(found, _strings(list(K.MATCH_STOPWORDS)))  # each token once
+    # Han characters sort behind all that the other kind of token has
+    long = lambda ts: F.filter(ts, lambda t: (t > F.lit("{")) & (F.length(t) > 4))
+    parts = lambda t: F.transform(F.sequence(F.lit(1), F.length(t) - 3), lambda i: F.substring(t, i, F.lit(4)))
+    return T.bind(raw, lambda ts: F.array_distinct(F.concat(ts, F.flatten(F.transform(long(ts), parts)))))
 
 
 def _tokens_of(text: str) -> list[str]:

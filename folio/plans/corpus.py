@@ -22,8 +22,22 @@ SAMPLES = (
 )
 
 
+#: Bytes of a table for each core under which its rows are dealt out anew: it may well be one row group.
+SMALL = 16 << 20
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's table. A small one is often a single row group, which one task would read and work on alone; beyond
+    that the splits of the scan are enough and nothing is shuffled."""
+    path = f"{sf_dir}/documents.parquet"
+    docs = spark.read.parquet(path)
+    size = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).agg(F.sum("length")).first()[0] or 0
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(4 * cores) if size < SMALL * cores else docs
+
+
 def plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     name = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
     return docs.select(F.col("doc_id").alias("file_index"), F.concat(name, F.lit(".md")).alias("source_doc"), name.alias("stem"), F.coalesce("text", F.lit("")).alias("markdown"))
 
@@ -44,7 +58,7 @@ SAMPLES_SQL = "SELECT CAST(column0 AS BIGINT) AS file_index, column1 AS source_d
 
 
 def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     text = F.coalesce("text", F.lit(""))
     at = F.pmod(F.coalesce("doc_id", F.lit(1)), F.lit(PER_FILE))
     group = (F.floor(at / 4) + 1).cast("string")
