@@ -6,20 +6,24 @@ import argparse
 import json
 import os
 import uuid
+from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from folio.operators import validation
-from folio.plans.draft import draft
+from folio.operators import model_client, validation
+from folio.plans.draft import by_model, by_rules, draft
 from folio.sources import files, generated, settings, sinks
 from folio.streaming import incremental
 
 IGNORED = (".gitkeep", ".DS_Store")
 PROGRESS = ".draft_progress.json"
+#: Files that are drafted in one job; the checkpoint moves on after each.
+WAVE = 500
 _ACTIONS = {"rebuild": ("1", "d", "delete", "rebuild", "r"), "resume": ("2", "resume", "continue", "c"), "retry": ("3", "retry", "failed", "f")}
 
 
@@ -77,14 +81,13 @@ def cmd_draft(args) -> int:
     stamp, trace = datetime.now().strftime("%Y%m%d%H%M%S"), uuid.uuid4().hex[:8]
     if action == "retry":
         return _retry(spark, args, catalogue, stamp, trace)
-    skip, start = None, 0
+    state: dict = {}
     if action == "resume":
-        state = progress_of(args.output)
-        if state is None:
+        state = progress_of(args.output) or {}
+        if not state:
             print(f"aborted. no usable checkpoint found at {args.output}/{PROGRESS}.")
             return 1
         stamp, trace = state.get("run_timestamp") or stamp, state.get("run_trace_id") or trace
-        skip = {p.name for p in old if p.suffix == ".md"}
     else:
         for p in old:  # this run's own export only: Markdown files and the checkpoint
             if p.suffix == ".md" or p.name == PROGRESS:
@@ -96,30 +99,63 @@ def cmd_draft(args) -> int:
     config = settings.draft_settings(args.config)
     if args.max_chars:
         config = settings.DraftSettings(args.max_chars, config.context_chars, config.outline_max_sections)
-    save_progress(args.output, input_path=args.input, output_dir=args.output, run_timestamp=stamp, run_trace_id=trace, files=[r.path for r in docs.select("path").orderBy("file_index").collect()], file_index=0, block_index=0, source_order=start, total_items=0)
-    made = draft(docs.filter("error IS NULL"), catalogue, stamp, trace, args.status, config).persist()
-    todo = made if not skip else made.filter(~F.col("file_name").isin(*skip))
-    sinks.write_files(todo, args.output)
-    total = made.count()
-    made.unpersist()
+    names = [r.path for r in docs.select("path").orderBy("file_index").collect()]
+    # go on where the checkpoint stands, if the files before are still the same; names of items don't change, and a model's
+    # answers are found again by what was asked
+    first, order = int(state.get("file_index") or 0), int(state.get("source_order") or 0)
+    if first and (state.get("files") or [])[:first] != names[:first]:
+        first, order = 0, 0
+    normalize = _normalizer(args)
+    where = {"input_path": args.input, "output_dir": args.output, "run_timestamp": stamp, "run_trace_id": trace, "files": names, "block_index": 0}
+    at = first
+    try:
+        for at in range(first, len(names), WAVE):
+            save_progress(args.output, **where, file_index=at, source_order=order, total_items=order)
+            some = docs.filter((F.col("file_index") >= at) & (F.col("file_index") < at + WAVE) & F.col("error").isNull())
+            made = draft(some, catalogue, stamp, trace, args.status, config, order, normalize).persist()
+            sinks.write_files(made, args.output)
+            order += made.count()
+            made.unpersist()
+    except Exception as e:
+        save_progress(args.output, **where, status="failed", error=f"{type(e).__name__}: {e}"[:2000], file_index=at, source_order=order, total_items=order)
+        raise
     (Path(args.output) / PROGRESS).unlink(missing_ok=True)
-    print(f"done. files={docs.count()} draft_items={total} output={args.output}")
+    print(f"done. files={len(names)} draft_items={order} output={args.output}")
     return 1 if bad else 0
 
 
+def _normalizer(args) -> Callable:
+    """By the model of the settings where one is enabled, else by rules."""
+    said = settings.model_settings(args.config)
+    model = model_client.client_of(said)
+    if model is None:
+        return by_rules
+    store = args.answers or f"{args.output.rstrip('/')}.answers"
+    return partial(by_model, complete=model, store=store, spec=settings.read_spec(args.spec), attempts=max(1, said.max_attempts), most_wait=said.max_wait_seconds)
+
+
 def _retry(spark: SparkSession, args, catalogue: list[dict], stamp: str, trace: str) -> int:
+    """Drafts the chunks of failed files anew. A failed file goes once all its new items are good; others stay."""
     from folio.functions import text as T
     from folio.operators import naming
 
+    local = lambda uri: Path(unquote(urlparse(uri).path))
+    failed = [p for p in effective_files(args.output) if p.suffix == ".md" and "failed" in p.stem.lower()]
     blocks = generated.failed_blocks(generated.parsed(generated.read_texts(spark, args.output))).persist()
-    made = incremental.retry(blocks, catalogue, args.status)
+    paths = {r.path for r in blocks.select("path").collect()}  # failed files only
+    for p in sorted({p.resolve() for p in failed} - {local(x).resolve() for x in paths}):
+        print(f"warning: {p}: no failed_chunk_source, kept")
+    made = incremental.retry(blocks, catalogue, args.status, _normalizer(args))
     name = naming.file_name(T.file_stem(F.col("source_doc")), F.lit(stamp), F.lit(trace), F.col("review_status"), F.col("source_order"), F.col("kb_id"))
-    done = [r.path for r in blocks.select("path").collect()]
-    sinks.write_files(made.withColumn("file_name", name), args.output)
-    failed = [p for p in effective_files(args.output) if "failed" in p.stem.lower()]
+    made = made.withColumn("file_name", name).persist()
+    good = made.groupBy("path").agg(F.max(F.col("review_status") == "failed").alias("bad")).filter("NOT bad").select("path")
+    done = [r.path for r in good.collect()]
+    sinks.write_files(made.join(good, "path"), args.output)
     for path in done:
-        Path(unquote(urlparse(path).path)).unlink(missing_ok=True)
-    print(f"done. failed_files={len(failed)} retried={len(done)} succeeded={len(done)} still_failed=0")
+        local(path).unlink(missing_ok=True)
+    made.unpersist()
+    blocks.unpersist()
+    print(f"done. failed_files={len(failed)} retried={len(paths)} succeeded={len(done)} still_failed={len(failed) - len(done)}")
     return 0
 
 
@@ -144,6 +180,8 @@ def build_parser() -> argparse.ArgumentParser:
             p.add_argument("--max-chars", type=int, default=None)
             p.add_argument("--config", default=None)
             p.add_argument("--tools", default=None)
+            p.add_argument("--spec", default=None, help="format specification for the model")
+            p.add_argument("--answers", default=None, help="table of the model's answers, OUTPUT.answers by default")
             p.add_argument("--on-existing", choices=["rebuild", "resume", "retry", "exit"], default=None)
         p.set_defaults(func=run)
     return parser

@@ -2,18 +2,21 @@
 
 The model is a function from messages to a response, given by the caller; it runs inside mapInPandas, so a partition
 has one client and its size bounds the load. Everything around the call is fixed: what is asked, how an answer is read,
-and what is said back when an answer can't be used. Calls are not repeatable, so results are written before use."""
+and what is said back when an answer can't be used. Calls are not repeatable and cost money, so answers are written to a
+table before anything reads them, keyed by what was asked; a chunk that has an answer there is not asked again."""
 
 from __future__ import annotations
 
 import json
 import re
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
@@ -97,19 +100,21 @@ def read_json(text: str) -> Parsed:
     if fence := re.match(r"^```(?:json|JSON)?\s*(.*?)\s*```$", text, re.S):
         text = fence[1].strip()
 
-    def spans() -> Iterator[str]:
-        yield text
-        for a, b in ("{}", "[]"):
-            ends = [i for i, c in enumerate(text) if c == b][::-1]
-            for start in (i for i, c in enumerate(text) if c == a):
-                yield from (text[start : end + 1] for end in ends if end > start)
-
-    error = ""
-    for span in spans():
-        try:
-            return Parsed(json.loads(span))
-        except json.JSONDecodeError as e:
-            error = _where(e, span)
+    try:
+        return Parsed(json.loads(text))
+    except json.JSONDecodeError as e:
+        error = _where(e, text)
+    decoder = json.JSONDecoder()
+    for a, b in ("{}", "[]"):
+        end = text.rfind(b) + 1
+        start = text.find(a)
+        while 0 <= start < end - 1:
+            span = text[start:end]
+            try:  # what begins here ends where it must, so no other end has to be tried
+                return Parsed(decoder.raw_decode(span)[0])
+            except json.JSONDecodeError as e:
+                error = _where(e, span)
+            start = text.find(a, start + 1)
     return Parsed(error=error)
 
 
@@ -193,7 +198,7 @@ def squashed(text: str) -> str:
     return re.sub(r"[\s`*_#|>：:，,。；;！？!?、（）()【】\[\]《》“”\"'‘’.\-—–]+", "", text).lower()
 
 
-def converse(chunk: dict, complete: Callable, status: str, spec: str = "", attempts: int = K.MODEL_ATTEMPTS, coverage_attempts: int = K.COVERAGE_ATTEMPTS, wait: Callable[[float], None] = time.sleep) -> tuple[list[dict], list[str]]:
+def converse(chunk: dict, complete: Callable, status: str, spec: str = "", attempts: int = K.MODEL_ATTEMPTS, coverage_attempts: int = K.COVERAGE_ATTEMPTS, wait: Callable[[float], None] = time.sleep, most_wait: float = 30) -> tuple[list[dict], list[str]]:
     """(objects, missing facts) for one chunk; no objects if no answer could be used. chunk["facts"] lists the facts that
     the bodies must have. An answer that leaves some out is sent back a few times, then taken with the list."""
     messages = messages_of(prompt_of(chunk, status, spec))
@@ -228,16 +233,17 @@ def converse(chunk: dict, complete: Callable, status: str, spec: str = "", attem
         if attempt < attempts:
             if feedback is not None:
                 said_back(messages, answer, feedback)
-            wait(min(2 ** (attempt - 1), 30))
+            wait(min(2 ** (attempt - 1), most_wait))
     return [], []
 
 
-def objects_of(chunks: DataFrame, complete: Callable, status: str = "active", spec: str = "", **options) -> DataFrame:
-    """chunks with item_index, raw (a JSON object) and missing for each object; raw is null, item_index 0, for a chunk
-    without a usable answer. `complete` must be picklable; chunks needs what with_context() gives."""
+def objects_of(chunks: DataFrame, complete: Callable, status: str = "active", spec: str = "", keep: list[str] | None = None, **options) -> DataFrame:
+    """The columns `keep` of chunks (all without it) with item_index, raw (a JSON object) and missing for each object; raw is
+    null, item_index 0, for a chunk without a usable answer. `complete` must be picklable; chunks needs what with_context()
+    gives. Each read of the result asks anew: see answered()."""
     from folio.functions import text as T
 
-    keys = [c for c in chunks.columns if c != "facts"]
+    keys = keep or [c for c in chunks.columns if c != "facts"]
     asked = chunks.withColumn("facts", T.fact_sentences(F.col("content")))
     schema = chunks.select(*keys).schema
 
@@ -254,3 +260,39 @@ def objects_of(chunks: DataFrame, complete: Callable, status: str = "active", sp
 
     made = StructType(schema.fields).add("item_index", IntegerType()).add("raw", StringType()).add("missing", ArrayType(StringType()))
     return asked.mapInPandas(run, made)
+
+
+#: What names a chunk, whatever run it is in.
+KEY = ["source_doc", "source_section", "block_index", "piece_index", "content_md5"]
+
+
+def keyed(chunks: DataFrame) -> DataFrame:
+    return chunks.withColumn("content_md5", F.md5("content"))
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table that may not be there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return None
+
+
+def answered(chunks: DataFrame, complete: Callable, store: str, status: str = "active", spec: str = "", **options) -> DataFrame:
+    """chunks with item_index, raw and missing as objects_of() gives them, by way of the table `store`. Only chunks without a
+    usable answer there are asked, and what comes is appended; of several answers the last counts."""
+    spark = chunks.sparkSession
+    rows = keyed(chunks).withColumn("ask_md5", F.md5(F.concat_ws("\n", "content", "context", F.lit(spec), F.lit(status))))
+    # written once beside the answers: all that follows reads this, and doesn't parse the documents again
+    path = f"{store}.chunks/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    on = [*KEY, "ask_md5"]
+    done = stored(spark, store)
+    todo = rows if done is None else rows.join(done.filter("raw IS NOT NULL").select(*on).distinct(), on, "left_anti")
+    objects_of(todo, complete, status, spec, keep=on, **options).withColumn("at", F.current_timestamp()).write.mode("append").parquet(store)
+    found = spark.read.parquet(store)
+    last = found.groupBy(*on).agg(F.max("at").alias("at"))
+    return rows.join(found.join(last, [*on, "at"]).drop("at"), on).drop("content_md5", "ask_md5")

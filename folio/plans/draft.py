@@ -22,10 +22,10 @@ def by_rules(chunks: DataFrame, catalogue: list[dict], status: str) -> DataFrame
     return items.normalize(chunks, catalogue, status).withColumn("item_index", F.lit(1))
 
 
-def by_model(chunks: DataFrame, catalogue: list[dict], status: str, complete: Callable, spec: str = "", keep: Callable[[DataFrame], DataFrame] = lambda d: d, **options) -> DataFrame:
-    """Items from the model's objects; chunks without any get the rules' item, marked failed. `keep` writes the answers
-    before they are read twice."""
-    asked = keep(model_calls.objects_of(chunks, complete, status, spec, **options))
+def by_model(chunks: DataFrame, catalogue: list[dict], status: str, complete: Callable, store: str, spec: str = "", **options) -> DataFrame:
+    """Items from the model's objects; chunks without any get the rules' item, marked failed. Answers go to the table
+    `store` and are read from there, so each is paid for once."""
+    asked = model_calls.answered(chunks, complete, store, status, spec, **options)
     good = model_items.from_objects(asked.filter("raw IS NOT NULL"), status)
     lacking = F.size("missing") > 0
     warned = coverage.with_warning(good.filter(lacking), F.col("missing")).unionByName(good.filter(~lacking))

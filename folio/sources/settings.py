@@ -33,6 +33,8 @@ class ModelSettings:
     timeout_seconds: int = 120
     max_tokens: int = 4096
     temperature: float = 0.1
+    max_attempts: int = K.MODEL_ATTEMPTS
+    max_wait_seconds: float = 30.0
 
 
 @dataclass(frozen=True)

@@ -11,16 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from folio.functions import text as T
+from folio.operators.model_calls import KEY, keyed, stored
 from folio.plans.draft import by_rules, chunks_of
 from folio.sources.settings import DraftSettings
 
-KEY = ["source_doc", "source_section", "block_index", "piece_index", "content_md5"]
-
-
-def keyed(chunks: DataFrame) -> DataFrame:
-    return chunks.withColumn("content_md5", F.md5("content"))
-
-
 def remaining(chunks: DataFrame, done: DataFrame | None) -> DataFrame:
     """Chunks that the table of items doesn't have."""
     return chunks if done is None else chunks.join(done.select(*KEY).distinct(), KEY, "left_anti")
@@ -41,12 +35,7 @@ def stream(spark: SparkSession, folder: str, table: str, checkpoint: str, catalo
     texts = spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").load(folder).select(F.col("_metadata.file_path").alias("path"), "value")
 
     def put(batch: DataFrame, number: int) -> None:
-        try:
-            done = spark.read.parquet(table)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-            done = None
+        done = stored(spark, table)
         resume(_documents(batch.filter(F.lower("path").rlike(r"\.(md|markdown|txt)$"))), done, catalogue, status).withColumn("batch", F.lit(number)).write.mode("append").parquet(table)
 
     return texts.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -162,13 +162,13 @@ def test_answers():
     assert model_calls.shape_of([1]) == "array len=1" and model_calls.truncated("{", "") and not model_calls.truncated("{}", "stop")
 
 
-def test_by_model(spark):
+def test_by_model(spark, tmp_path):
     def complete(messages):
         if "坏" in messages[1]["content"]:
             return {"choices": [{"message": {"content": "no json"}}]}
         return answer("只有简称 AIC。", related_items=[{"大类": "甲", "title": "乙", "reason": "同组", "relevance": "强"}, {"小类标题": "乙", "大类标题": "甲"}, "x", {"category": "甲"}], risk_level="HIGH", category="灌溉")
 
-    made = by_model(chunk_table(spark), CATALOGUE, "active", complete, attempts=5, wait=lambda s: None, keep=lambda d: d.cache())
+    made = by_model(chunk_table(spark), CATALOGUE, "active", complete, store=f"{tmp_path}/answers", attempts=5, wait=lambda s: None)
     rows = {r.source_doc: r for r in made.collect()}
     good, bad = rows["定义.md"], rows["坏.md"]
     assert good.review_status == "coverage_warning" and good.status == "draft" and good.tags == ["AIC", "浇水", "需人工复核"] and "> - 自动灌溉控制器以下简称" in good.body
@@ -176,6 +176,111 @@ def test_by_model(spark):
     assert [tuple(x) for x in good.related_items][0] == ("甲", "乙", "同组", "高") and len([x for x in good.related_items if x["小类标题"] == "乙"]) == 1
     assert bad.review_status == "failed" and "## failed_chunk_source\n\n```text\n# 坏" in bad.body and bad.body.endswith("```")
 
+    def other(messages):  # only what had no answer is asked again
+        assert "坏" in messages[1]["content"]
+        return answer("花木", category="过冬")
+
+    again = {r.source_doc: r for r in by_model(chunk_table(spark), CATALOGUE, "active", other, store=f"{tmp_path}/answers", attempts=1, wait=lambda s: None).collect()}
+    assert again["定义.md"].body == good.body and again["坏.md"].category == "过冬"
+
+
+class Server:
+    """A chat model behind HTTP that answers what `say` returns."""
+
+    def __init__(self, say):
+        import threading
+        from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+        asked = self.asked = []
+
+        class Handler(BaseHTTPRequestHandler):
+            def do_POST(self):
+                body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+                asked.append((self.path, self.headers.get("Authorization"), body))
+                said = json.dumps(say(body["messages"])).encode()
+                self.send_response(200)
+                self.end_headers()
+                self.wfile.write(said)
+
+            def log_message(self, *_):
+                pass
+
+        self.http = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.http.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.http.server_port}/v1"
+
+
+def test_client():
+    from folio.operators import model_client
+
+    assert model_client.client_of(settings.ModelSettings()) is None
+    with pytest.raises(ValueError):
+        model_client.client_of(settings.ModelSettings(enabled=True))
+    server = Server(lambda m: answer("x"))
+    model = model_client.client_of(settings.ModelSettings(enabled=True, base_url=server.url + "/", api_key="k", model="m", temperature=0.5))
+    assert "k" not in repr(model).replace("http", "").split("model")[0] and model([{"role": "user", "content": "花"}])["choices"]
+    path, key, body = server.asked[0]
+    assert (path, key, body["model"], body["temperature"], body["messages"][0]["content"]) == ("/v1/chat/completions", "Bearer k", "m", 0.5, "花")
+
+
+def test_draft_and_retry_by_a_model(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "session", lambda: spark)
+    monkeypatch.setattr(jobs, "WAVE", 1)
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for n, text in (("a.md", "# 甲\n" + "苗床的水量每天看一次并且写进本子里。" * 4), ("b.md", "# 乙\n" + "坏的一页，没有人能整理出来，只好留到以后。" * 3)):
+        (source / n).write_text(text, encoding="utf-8")
+    works = [False]
+
+    def say(messages):
+        if "坏的一页" in messages[1]["content"] and not works[0]:
+            return {"choices": [{"message": {"content": "no"}}]}
+        return answer(messages[1]["content"].split("原文：\n")[1])
+
+    server = Server(say)
+    (tmp_path / "spec.md").write_text("写法须知", encoding="utf-8")
+    (tmp_path / "c.yaml").write_text(f"llm: {{enabled: true, base_url: '{server.url}', model: m, max_attempts: 2, max_wait_seconds: 0}}\ndraft: {{context_chars: 0}}")
+    args = ["draft", "--input", str(source), "--output", str(out), "--config", str(tmp_path / "c.yaml"), "--spec", str(tmp_path / "spec.md")]
+    assert jobs.main(args) == 0
+    names = sorted(p.name for p in out.iterdir())
+    assert len(names) == 2 and sum("failed" in n for n in names) == 1 and "写法须知" in server.asked[0][2]["messages"][1]["content"]
+    before = len(server.asked)
+    assert jobs.main([*args, "--on-existing", "retry"]) == 0 and sorted(p.name for p in out.iterdir()) == names
+    assert len(server.asked) > before
+    works[0] = True
+    (out / "x-failed-y.md").write_text("---\ntitle: x\n---\n\nno source", encoding="utf-8")
+    assert jobs.main([*args, "--on-existing", "retry"]) == 0
+    left = sorted(p.name for p in out.iterdir())
+    assert len(left) == 3 and [n for n in left if "failed" in n] == ["x-failed-y.md"]
+    asked = len(server.asked)
+    assert jobs.main([*args, "--on-existing", "rebuild"]) == 0 and len(server.asked) == asked + 1  # the one that failed
+    assert not [p for p in out.iterdir() if p.name != "x-failed-y.md" and "failed" in p.name]
+
+
+def test_resume_goes_on_at_the_checkpoint(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "session", lambda: spark)
+    monkeypatch.setattr(jobs, "WAVE", 1)
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for n in "abc":
+        (source / f"{n}.md").write_text(f"# {n}\n" + "苗床的水量每天看一次并且写进本子里。" * 4, encoding="utf-8")
+    write, calls = sinks.write_files, []
+
+    def stops(items, folder):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        write(items, folder)
+
+    monkeypatch.setattr(sinks, "write_files", stops)
+    with pytest.raises(RuntimeError):
+        jobs.main(["draft", "--input", str(source), "--output", str(out)])
+    state = jobs.progress_of(str(out))
+    assert (state["status"], state["file_index"], state["source_order"], state["current_file_name"]) == ("failed", 1, 1, "b.md")
+    assert jobs.main(["draft", "--input", str(source), "--output", str(out), "--on-existing", "resume"]) == 0
+    names = sorted(p.name for p in out.iterdir())
+    assert [n.split("-")[3] for n in names] == ["000001", "000002", "000003"] and len({n.split("-")[1] for n in names}) == 1 and len(calls) == 4
+
 
 def test_missing_facts(spark):
     fact = "自动灌溉控制器以下简称“灌控器”，英文简称为 AIC，是供水设备。"
