@@ -15,6 +15,7 @@ from folio.operators import chunking, coverage, items, naming, parsing, tools, v
 from folio.plans import corpus, oracle as O
 from folio.plans.draft import by_rules, chunks_of
 from folio.plans.oracle import q, query
+from folio.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -256,6 +257,41 @@ def ref_missing_facts(spark, sf):
     return rows.withColumn("m", coverage.missing_facts(F.col("content"), F.array(half))).select("source_doc", "block_index", "piece_index", F.md5(j("m")).alias("missing_md5"), F.size("m").alias("n_missing"))
 
 
+_FAILED = O.strip(f"concat({O.strip('body')}, chr(10), chr(10), {q(K.FAILED_NOTE)}, {O.strip('content')}, chr(10), '```')")
+
+
+@named(query("m", f"SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, piece_index, 'failed' AS review_status, md5({_FAILED}) AS body_md5 FROM i1", _ITEMS))
+def ref_failed_items(spark, sf):
+    """Items that stand in for a failed model call, with their chunk at the end."""
+    made = items.failed(items.heuristic(chunks_of(corpus.sectioned(spark, sf), context=False)))
+    return made.select("source_doc", "block_index", "piece_index", "review_status", F.md5("body").alias("body_md5"))
+
+
+_TOP = "concat('# t', chr(10), chr(10), '## 1. 核心内容', chr(10))"
+_NOTE = f"""concat(chr(10), chr(10), {q(K.COVERAGE_NOTE)}, chr(10), '> 来源文档：', source_doc, chr(10), '> 来源章节：', {O.either('source_section', q(K.WHOLE_TEXT))}, chr(10), {q(K.COVERAGE_LIST)}, chr(10),
+  array_to_string(list_transform(miss[1:20], lambda e: concat('> - ', e)), chr(10)))"""
+
+
+@named(query("m", f"""SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, piece_index, 'draft' AS status, 'coverage_warning' AS review_status, '{K.REVIEW_TAG}' AS tags, md5(concat({_TOP}, {_NOTE}, substr(half, length({_TOP}) + 1))) AS body_md5 FROM (
+  SELECT *, list_filter(fs, lambda e: NOT contains(had, {O.coverage_text('e')})) AS miss FROM (
+    SELECT *, {O.facts('content')} AS fs, {O.coverage_text("split_part(half, concat(chr(10), '## 4. 关联能力'), 1)")} AS had FROM (SELECT *, {_HALF} AS half FROM i1))) WHERE len(miss) > 0""", _ITEMS))
+def ref_coverage_warning(spark, sf):
+    """Items that leave out facts: drafts with a note that lists these."""
+    made = items.heuristic(chunks_of(corpus.sectioned(spark, sf), context=False))
+    half = F.concat(F.lit("# t\n\n## 1. 核心内容\n\n"), F.substring("content", F.lit(1), F.floor(F.length("content") / 2).cast("int")), F.lit("\n\n## 4. 关联能力\n\n"), F.col("content"))
+    rows = made.withColumn("body", half).withColumn("m", coverage.missing_facts(F.col("content"), F.array("body"))).filter(F.size("m") > 0)
+    out = coverage.with_warning(rows, F.col("m"))
+    return out.select("source_doc", "block_index", "piece_index", "status", "review_status", j("tags").alias("tags"), F.md5("body").alias("body_md5"))
+
+
+@named(query("m", "SELECT source_doc, CAST(block_index AS INTEGER) AS block_index, piece_index, md5(content) AS content_md5 FROM c WHERE abs(file_index) % 2 = 1", O.chunk_ctes(K.MAX_CHARS)))
+def ref_remaining(spark, sf):
+    """Chunks that are left to do when those of every second file are in the table of items."""
+    rows = incremental.keyed(chunks_of(corpus.sectioned(spark, sf), context=False))
+    left = incremental.remaining(rows, rows.filter(F.abs("file_index") % 2 == 0))
+    return left.select("source_doc", "block_index", "piece_index", "content_md5")
+
+
 def _body(middle: str, tools_text: str) -> str:
     """A body up to section 5, as it is put together; `middle` stands under the title."""
     nl = "chr(10), chr(10)"
