@@ -340,10 +340,13 @@ _RAW = (
   CASE WHEN b IN ('极高', '高', '一般', '低') THEN b WHEN b IN ('最高', '强', '较高') THEN '高' ELSE '一般' END AS relevance,
   CASE WHEN lower(trim(c)) IN ('low', 'medium', 'high', 'critical') THEN lower(trim(c)) ELSE 'low' END AS risk,
   array_to_string(list_filter(list_transform(string_split_regex(l, '[,，、]'), lambda e: trim(e)), lambda e: e <> ''), '|') AS parts
-  FROM (VALUES {", ".join(f"({i}, {', '.join(map(q, r))})" for i, r in enumerate(_RAW))}) v(i, a, b, c, l)""")
+  FROM (SELECT CAST(i AS BIGINT) AS i, a, b, c, l FROM (VALUES {", ".join(f"({i}, {', '.join(map(q, r))})" for i, r in enumerate(_RAW))}) v(i, a, b, c, l)
+    UNION ALL SELECT doc_id + {len(_RAW)}, coalesce(text, ''), coalesce(lang, ''), coalesce(source, ''), coalesce(text, '') FROM documents)""")
 def ref_cleaning(spark, sf):
-    """Cleaning of what models return: relations, classes, ranks, risks and lists."""
-    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(_RAW)], "i int, a string, b string, c string, l string")
+    """Cleaning of what models return: relations, classes, ranks, risks and lists. Whole texts stand for answers, too."""
+    text, said = F.coalesce("text", F.lit("")), lambda c: F.coalesce(c, F.lit("")).alias(c)
+    docs = corpus.documents(spark, sf).select((F.col("doc_id") + len(_RAW)).alias("i"), text.alias("a"), said("lang"), said("source"), text.alias("l"))
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(_RAW)], "i long, a string, b string, c string, l string").union(docs)
     return rows.select("i", T.clean_relation(F.col("a")).alias("relation"), T.clean_taxonomy(F.col("a")).alias("taxonomy"), T.clean_relevance(F.col("b")).alias("relevance"), T.risk_level(F.col("c")).alias("risk"), j(T.as_list(F.col("l"))).alias("parts"))
 
 
