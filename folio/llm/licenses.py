@@ -1,20 +1,24 @@
 """Licence scan with DataFrame functions alone: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line. Its features are the different words and word pairs in it; a multinomial logistic
-regression over these gives the odds of each licence family, of a licence that belongs to none of them
+A paragraph is a run of lines that ends at a blank line or after a line with a stop, so a statement that is wrapped is
+read whole. It is scored in windows of WINDOW words, a new one every STEP words. A window's features are the different
+words and word pairs in it; a multinomial logistic regression over these gives the odds of each licence family, of a licence that belongs to none of them
 (`unknown`) and of no licence (`none`). The model is fitted on the driver when it is first needed, from the
 statements below and variations of them, by plain gradient descent: the same weights every time. A
 temperature, fitted on folds that were left out, calibrates the odds. Weights are whole numbers of 1/SCALE,
 so sums don't depend on their order.
 
-A predicted family is confirmed if the paragraph holds enough of the word triples of one of the family's
-templates; a prediction that isn't confirmed, or whose probability is under SURE, counts as unknown.
+A predicted family is confirmed if the window holds enough of the word triples of one of the family's
+templates; a prediction that isn't confirmed, or whose probability is under SURE, counts as unknown. Windows overlap, so one
+counts as a statement only if neither neighbour says something better: confirmed before unknown, then the likelier, then the
+smaller name, then the earlier.
 
-A paragraph without any sign, that is a word which by its own weight speaks for a licence and isn't in COMMON, is
-`none` by rule; one regular expression, made from the model, finds the others. All of it is a projection over the
+A window without any sign, that is a word which by its own weight speaks for a licence and isn't in COMMON, is
+`none` by rule; one regular expression, made from the model, finds the paragraphs that hold one. All of it is a projection over the
 documents: nothing is shuffled or grouped, so skew doesn't matter.
 
-Cases: null and empty texts have no paragraphs and no licence. Very long lines are scored whole. Each row of
+Cases: null, empty and blank texts have no paragraphs and no licence. All windows of very long paragraphs are scored. A text's
+licence is that of its best statement, in the order above. Columns named like results are replaced. Each row of
 the input gives one row; null ids, repeated rows and further columns don't matter. An empty table gives an
 empty result.
 """
@@ -33,6 +37,10 @@ SCALE = 1024
 SURE = 0.5
 CONFIRM = 0.6
 STEPS = 400
+WINDOW, STEP = 64, 32
+_BLANK = "[^ \\t\\r\\n]"
+_STOP = r"([.!?:;])[ \t\r]*\n"
+_GAP = r"\n[ \t\r\n]*\n"
 UNKNOWN, NONE = "unknown", "none"
 
 #: Statements of each family.
@@ -41,9 +49,9 @@ TEMPLATES = {
     "apache-2.0": ("licensed under the apache license version 2.0", "released under the apache license 2.0", "you may not use this file except in compliance with the license", "distributed under the apache 2.0 license"),
     "bsd": ("licensed under the bsd license", "released under the bsd 3 clause license", "redistribution and use in source and binary forms with or without modification are permitted", "distributed under the terms of the bsd 2 clause license"),
     "cc-by": ("licensed under cc by 4.0", "licensed under a creative commons attribution 4.0 international license", "this work is licensed under creative commons attribution 3.0"),
-    "cc-by-nc": ("licensed under cc by nc 4.0", "licensed under a creative commons attribution noncommercial 4.0 license", "creative commons attribution non commercial license"),
-    "cc-by-nd": ("licensed under cc by nd 4.0", "licensed under a creative commons attribution noderivatives 4.0 license"),
-    "cc-by-sa": ("licensed under cc by sa 4.0", "licensed under a creative commons attribution sharealike 4.0 license", "text is available under the creative commons attribution share alike license"),
+    "cc-by-nc": ("licensed under cc by nc 4.0", "licensed under a creative commons attribution noncommercial 4.0 license", "licensed under a creative commons attribution noncommercial 4.0 international license", "creative commons attribution non commercial license"),
+    "cc-by-nd": ("licensed under cc by nd 4.0", "licensed under a creative commons attribution noderivatives 4.0 license", "licensed under a creative commons attribution noderivatives 4.0 international license"),
+    "cc-by-sa": ("licensed under cc by sa 4.0", "licensed under a creative commons attribution sharealike 4.0 license", "licensed under a creative commons attribution sharealike 4.0 international license", "text is available under the creative commons attribution share alike license"),
     "cc0": ("released under cc0 1.0", "dedicated to the public domain under cc0", "creative commons zero public domain dedication", "this work is in the public domain"),
     "gpl-2.0": ("licensed under the gnu general public license version 2", "released under the gpl 2.0", "under the terms of the gnu general public license version 2"),
     "gpl-3.0": ("licensed under the gnu general public license version 3", "released under the gpl 3.0", "licensed under the gplv3", "under the terms of the gnu general public license version 3"),
@@ -162,51 +170,62 @@ def _constant(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
+def paragraphs(text: str) -> Column:
+    """Runs of lines up to a blank line or a line that ends with a stop."""
+    parted = F.regexp_replace(F.coalesce(text, F.lit("")), _STOP, "$1\n\n")
+    return F.filter(F.split(parted, _GAP), lambda x: x.rlike(_BLANK))
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds n_paragraphs, licence (of the likeliest licence paragraph, null without any), probability, n_confirmed,
-    n_unknown, and licences, all families that were confirmed, joined by commas."""
+    """Adds n_paragraphs, licence (of the likeliest statement, null without any), probability, n_confirmed, n_unknown (of
+    statements), and licences, all families that were confirmed, joined by commas."""
     m = model()
     names, n = m["names"], len(m["names"])
     none = n - 1
     vocab = _constant(list(m["weights"]), "array<string>")
     weights = _constant(m["weights"], "map<string,array<int>>")
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x != "")
-    word_lists = lambda x: F.filter(F.split(F.lower(x), "[^a-z0-9]+"), lambda w: w != "")
+    signs = _constant(m["signs"], "array<string>")
+    word_list = lambda x: F.filter(F.split(F.lower(x), "[^a-z0-9]+"), lambda w: w != "")
     pairs = lambda w, k: F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.concat_ws(" ", F.slice(w, i, k)))).otherwise(F.array().cast("array<string>"))
     total = lambda ws, c: F.aggregate(ws, F.lit(m["offset"][c]), lambda a, w: a + w[c])
     logits = lambda ws: F.array(*[total(ws, c) for c in range(n)])
 
-    # the steps of one paragraph, each bound to a name by a one-element array
-    def paragraph(line: Column) -> Column:
-        def step(value: Column, then) -> Column:
-            return F.transform(F.array(value), then)[0]
-
-        def judge(w: Column) -> Column:
-            triples = F.when(F.size(w) >= 3, pairs(w, 3)).otherwise(F.array(F.concat_ws(" ", w)))
-            hits = F.transform(F.array_intersect(vocab, F.concat(w, pairs(w, 2))), lambda g: weights[g])
-            return step(hits, lambda h: step(logits(h), lambda z: step(F.array_max(z), lambda top: step(F.array_position(z, top).cast("int") - 1, lambda best: step(triples, lambda t: F.struct(
-                best.alias("best"),
-                F.round(F.lit(1.0) / F.aggregate(z, F.lit(0.0), lambda a, v: a + F.exp((v - top) / F.lit(float(SCALE)))), 6).alias("p"),
-                F.element_at(F.array(*[F.greatest(*[F.size(F.array_intersect(_constant(x, "array<string>"), t)) / F.lit(float(len(x))) for g, x in template_triples() if g == f], F.lit(0.0)) for f in sorted(TEMPLATES)], F.lit(0.0), F.lit(0.0)), best + 1).alias("held"),
-            ))))))
+    # the steps of one window, each bound to a name by a one-element array
+    def step(value: Column, then) -> Column:
+        return F.transform(F.array(value), then)[0]
 
-        return step(word_lists(line), judge)
+    def judge(w: Column) -> Column:
+        triples = F.when(F.size(w) >= 3, pairs(w, 3)).otherwise(F.array(F.concat_ws(" ", w)))
+        hits = F.transform(F.array_intersect(vocab, F.concat(w, pairs(w, 2))), lambda g: weights[g])
+        return step(hits, lambda h: step(logits(h), lambda z: step(F.array_max(z), lambda top: step(F.array_position(z, top).cast("int") - 1, lambda best: step(triples, lambda t: F.struct(
+            best.alias("best"),
+            F.round(F.lit(1.0) / F.aggregate(z, F.lit(0.0), lambda a, v: a + F.exp((v - top) / F.lit(float(SCALE)))), 6).alias("p"),
+            F.element_at(F.array(*[F.greatest(*[F.size(F.array_intersect(_constant(x, "array<string>"), t)) / F.lit(float(len(x))) for g, x in template_triples() if g == f], F.lit(0.0)) for f in sorted(TEMPLATES)], F.lit(0.0), F.lit(0.0)), best + 1).alias("held"),
+        ))))))
 
-    found = F.filter(F.transform(F.filter(F.col("__lines"), lambda x: x.rlike(sign_pattern())), paragraph), lambda r: r["best"] != none)
     sure = lambda r: (r["best"] < n - 2) & (r["p"] >= SURE) & (r["held"] >= CONFIRM)
-    named = F.transform(F.col("__found"), lambda r: F.struct(F.when(sure(r), 0).otherwise(1).alias("rank"), (-r["p"]).alias("p"), F.when(sure(r), _constant(names, "array<string>")[r["best"]]).otherwise(F.lit(UNKNOWN)).alias("name")))
+    named = lambda r: F.when(r["best"] != none, F.struct(F.when(sure(r), 0).otherwise(1).alias("rank"), (-r["p"]).alias("p"), F.when(sure(r), _constant(names, "array<string>")[r["best"]]).otherwise(F.lit(UNKNOWN)).alias("name")))
+    windows = lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil((F.size(w) - WINDOW) / F.lit(STEP)).cast("int"), F.lit(0))), lambda k: F.slice(w, k * STEP + 1, WINDOW))
+    said = lambda w: F.transform(windows(w), lambda x: F.when(F.arrays_overlap(x, signs), step(judge(x), named)))
+
+    def best_of_neighbours(found: Column) -> Column:
+        before = lambda r, i: F.coalesce(r < F.get(found, i - 1), F.lit(True))
+        after = lambda r, i: F.coalesce(r <= F.get(found, i + 1), F.lit(True))
+        return F.filter(found, lambda r, i: r.isNotNull() & before(r, i) & after(r, i))
+
+    signed = F.filter(F.col("__paragraphs"), lambda x: x.rlike(sign_pattern()))
+    found = F.flatten(F.transform(signed, lambda x: step(step(word_list(x), said), best_of_neighbours)))
     top = F.array_min(F.col("__named"))
     return (
-        docs.withColumn("__lines", lines)
-        .withColumn("n_paragraphs", F.size("__lines"))
-        .withColumn("__found", found)
-        .withColumn("__named", named)
+        docs.withColumn("__paragraphs", paragraphs(text))
+        .withColumn("n_paragraphs", F.size("__paragraphs"))
+        .withColumn("__named", found)
         .withColumn("licence", top["name"])
         .withColumn("probability", -top["p"])
         .withColumn("n_confirmed", F.size(F.filter("__named", lambda r: r["rank"] == 0)))
         .withColumn("n_unknown", F.size(F.filter("__named", lambda r: r["rank"] == 1)))
         .withColumn("licences", F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter("__named", lambda r: r["rank"] == 0), lambda r: r["name"]))), ","))
-        .drop("__lines", "__found", "__named")
+        .drop("__paragraphs", "__named")
     )
 
 
@@ -225,22 +244,27 @@ def oracle() -> str:
     pattern = sign_pattern().replace("(?i)", "")
     return f"""
 WITH wt(g, w) AS (VALUES {weights}), tp(i, family, t, n) AS (VALUES {triples}),
-d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: x <> '') AS lines FROM documents),
-l AS (SELECT rid, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM d),
-c AS (SELECT rid, pos, list_filter(string_split_regex(lower(line), '[^a-z0-9]+'), lambda x: x <> '') AS ws FROM l WHERE regexp_matches(line, {q(pattern)}, 'i')),
-g AS (SELECT DISTINCT rid, pos, g FROM (
-   SELECT rid, pos, unnest(ws) AS g FROM c UNION ALL
-   SELECT rid, pos, array_to_string(ws[i : i + 1], ' ') FROM (SELECT rid, pos, ws, unnest(range(1, len(ws))) AS i FROM c))),
-z AS (SELECT c.rid, c.pos, [{z}] AS z FROM c LEFT JOIN g ON g.rid = c.rid AND g.pos = c.pos LEFT JOIN wt ON wt.g = g.g GROUP BY c.rid, c.pos),
-b AS (SELECT rid, pos, list_position(z, list_max(z)) - 1 AS best, round(1.0 / list_sum(list_transform(z, lambda v: exp((v - list_max(z)) / {float(SCALE)}::DOUBLE))), 6) AS p FROM z),
-t AS (SELECT DISTINCT rid, pos, CASE WHEN len(ws) >= 3 THEN array_to_string(ws[i : i + 2], ' ') ELSE array_to_string(ws, ' ') END AS t
-      FROM (SELECT rid, pos, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM c)),
-h AS (SELECT rid, pos, family, max(held) AS held FROM (SELECT rid, pos, i, family, count(*) / CAST(any_value(n) AS DOUBLE) AS held FROM t JOIN tp ON tp.t = t.t GROUP BY ALL) GROUP BY ALL),
-f AS (SELECT b.rid, b.p, CASE WHEN best < {n - 2} AND b.p >= {SURE} AND coalesce(h.held, 0) >= {CONFIRM} THEN 0 ELSE 1 END AS rk, [{", ".join(map(q, names))}][best + 1] AS nm
-      FROM b LEFT JOIN h ON h.rid = b.rid AND h.pos = b.pos AND h.family = [{", ".join(map(q, names))}][best + 1] WHERE best <> {n - 1}),
-a AS (SELECT rid, min({{'rk': rk, 'p': -p, 'nm': CASE WHEN rk = 0 THEN nm ELSE 'unknown' END}}) AS top, count(*) FILTER (WHERE rk = 0) AS ok, count(*) FILTER (WHERE rk = 1) AS un,
-      array_to_string(list_sort(list_distinct(list(nm) FILTER (WHERE rk = 0))), ',') AS fams FROM f GROUP BY rid)
-SELECT doc_id, CAST(len(lines) AS INTEGER) AS n_paragraphs, top.nm AS licence, -top.p AS probability, CAST(coalesce(ok, 0) AS INTEGER) AS n_confirmed,
+d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(regexp_replace(coalesce(text, ''), {q(_STOP)}, '\\1' || chr(10) || chr(10), 'g'), {q(_GAP)}), lambda x: regexp_matches(x, {q(_BLANK)})) AS blocks FROM documents),
+l AS (SELECT rid, unnest(range(1, len(blocks) + 1)) AS pos, unnest(blocks) AS block FROM d),
+e AS (SELECT rid, pos, list_filter(string_split_regex(lower(block), '[^a-z0-9]+'), lambda x: x <> '') AS ws FROM l WHERE regexp_matches(block, {q(pattern)}, 'i')),
+v AS (SELECT rid, pos, k, ws[k * {STEP} + 1 : k * {STEP} + {WINDOW}] AS ws FROM (SELECT rid, pos, ws, unnest(range(0, 1 + greatest(0, (len(ws) - {WINDOW} + {STEP - 1}) // {STEP}))) AS k FROM e)),
+c AS (SELECT * FROM v WHERE list_has_any(ws, {m["signs"]})),
+g AS (SELECT DISTINCT rid, pos, k, g FROM (
+   SELECT rid, pos, k, unnest(ws) AS g FROM c UNION ALL
+   SELECT rid, pos, k, array_to_string(ws[i : i + 1], ' ') FROM (SELECT rid, pos, k, ws, unnest(range(1, len(ws))) AS i FROM c))),
+z AS (SELECT c.rid, c.pos, c.k, [{z}] AS z FROM c LEFT JOIN g ON g.rid = c.rid AND g.pos = c.pos AND g.k = c.k LEFT JOIN wt ON wt.g = g.g GROUP BY c.rid, c.pos, c.k),
+b AS (SELECT rid, pos, k, list_position(z, list_max(z)) - 1 AS best, round(1.0 / list_sum(list_transform(z, lambda v: exp((v - list_max(z)) / {float(SCALE)}::DOUBLE))), 6) AS p FROM z),
+t AS (SELECT DISTINCT rid, pos, k, CASE WHEN len(ws) >= 3 THEN array_to_string(ws[i : i + 2], ' ') ELSE array_to_string(ws, ' ') END AS t
+      FROM (SELECT rid, pos, k, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM c)),
+h AS (SELECT rid, pos, k, family, max(held) AS held FROM (SELECT rid, pos, k, i, family, count(*) / CAST(any_value(n) AS DOUBLE) AS held FROM t JOIN tp ON tp.t = t.t GROUP BY ALL) GROUP BY ALL),
+f AS (SELECT b.rid, b.pos, b.k, b.p, CASE WHEN best < {n - 2} AND b.p >= {SURE} AND coalesce(h.held, 0) >= {CONFIRM} THEN 0 ELSE 1 END AS rk, [{", ".join(map(q, names))}][best + 1] AS nm
+      FROM b LEFT JOIN h ON h.rid = b.rid AND h.pos = b.pos AND h.k = b.k AND h.family = [{", ".join(map(q, names))}][best + 1] WHERE best <> {n - 1}),
+r AS (SELECT rid, pos, k, {{'rk': rk, 'p': -p, 'nm': CASE WHEN rk = 0 THEN nm ELSE 'unknown' END}} AS r FROM f),
+s AS (SELECT x.rid, x.r FROM r x LEFT JOIN r y ON y.rid = x.rid AND y.pos = x.pos AND y.k = x.k - 1 LEFT JOIN r w ON w.rid = x.rid AND w.pos = x.pos AND w.k = x.k + 1
+      WHERE (y.rid IS NULL OR x.r < y.r) AND (w.rid IS NULL OR x.r <= w.r)),
+a AS (SELECT rid, min(r) AS top, count(*) FILTER (WHERE r.rk = 0) AS ok, count(*) FILTER (WHERE r.rk = 1) AS un,
+      array_to_string(list_sort(list_distinct(list(r.nm) FILTER (WHERE r.rk = 0))), ',') AS fams FROM s GROUP BY rid)
+SELECT doc_id, CAST(len(blocks) AS INTEGER) AS n_paragraphs, top.nm AS licence, -top.p AS probability, CAST(coalesce(ok, 0) AS INTEGER) AS n_confirmed,
   CAST(coalesce(un, 0) AS INTEGER) AS n_unknown, coalesce(fams, '') AS licences
 FROM d LEFT JOIN a ON a.rid = d.rid
 """

@@ -192,6 +192,39 @@ def test_licences(spark):
     assert both.licences == "cc-by-nc,mit" and both.n_confirmed == 2
 
 
+WRAPPED = {
+    "cc-by-sa": "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.",
+    "cc-by-nc": "This work is licensed under the Creative Commons\r\nAttribution-NonCommercial 4.0 International License.",
+    "gpl-3.0": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.",
+    "gpl-2.0": "# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation; either version 2 of the License, or\n# (at your option) any later version.",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files, to deal in the Software\nwithout restriction",
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+}
+
+
+def test_wrapped_and_distant_licences(spark):
+    """A wrapped statement is one paragraph, a blank line ends it, and a statement inside very long prose is found whole."""
+    prose = "the river and the hills were seen from afar by the people of the town "
+    rows = [(name, kind, text) for name, t in WRAPPED.items() for kind, text in (("wrapped", t), ("prose", prose * 9 + t + " " + prose * 300))]
+    rows.append(("bsd,mit", "two", prose + WRAPPED["mit"] + " " + prose * 9 + WRAPPED["bsd"]))
+    got = licenses.scan(spark.createDataFrame(rows, "want string, kind string, text string")).collect()
+    for r in got:
+        assert (r.licences, r.n_paragraphs, r.n_unknown) == (r.want, 1, 0), r[:2]
+    torn = licenses.scan(spark.createDataFrame([("Released under\n \t\nthe MIT License",)], "text string")).first()
+    assert torn.n_paragraphs == 2
+
+
+def test_licences_of_odd_rows(spark):
+    text = WRAPPED["mit"]
+    rows = [(None, text, 7), (1, text, 7), (1, text, 7), (2, None, 7), (3, "", 7), (4, " \n\n \t\n", 7), (5, "a" * 300_000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_paragraphs int").withColumn("licences", F.lit("mine")).withColumn("paragraph", F.lit(1))
+    got = licenses.scan(docs).collect()
+    assert sorted((r.doc_id or 0, r.licences, r.n_paragraphs, r.paragraph) for r in got) == [
+        (0, "mit", 1, 1), (1, "mit", 1, 1), (1, "mit", 1, 1), (2, "", 0, 1), (3, "", 0, 1), (4, "", 0, 1), (5, "", 1, 1),
+    ]
+    assert licenses.scan(docs.limit(0)).count() == 0
+
+
 def test_licence_scan_is_native(spark, sf):
     plan = licenses.op10_license_classifier(spark, sf)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
