@@ -358,7 +358,7 @@ def file_stem(x: Column) -> Column:
 
 def safe_name(x: Column) -> Column:
     """A part of a file name."""
-    x = F.regexp_replace(strip(F.lower(x)), r"(?U)[^\w.-]+", "-")
+    x = F.regexp_replace(strip(F.lower(x)), r"[^\p{L}\p{N}_.-]+", "-")
     return or_else(strip_chars(F.regexp_replace(x, "-+", "-"), "\\-"), "kb-item")
 
 

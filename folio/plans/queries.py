@@ -350,13 +350,16 @@ def ref_cleaning(spark, sf):
     return rows.select("i", T.clean_relation(F.col("a")).alias("relation"), T.clean_taxonomy(F.col("a")).alias("taxonomy"), T.clean_relevance(F.col("b")).alias("relevance"), T.risk_level(F.col("c")).alias("risk"), j(T.as_list(F.col("l"))).alias("parts"))
 
 
-_NAMES = ("A b.C/d", "--x--", "", "kb_1.2", "手册 2025", "..", "A--B  c")
+_NAMES = (("A b.C/d", 12), ("--x--", 1234567), ("", 0), ("kb_1.2", -4), ("手册 2025", 1), ("..", 99), ("A--B  c", 100000), ("Ñandú x²", 7), ("e\u0301\u203fⒶ", 8))
 
 
-@named(f"SELECT s, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(trim(lower(s)), '[^a-z0-9_一-鿿.-]+', '-', 'g'), '-+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'kb-item') AS safe, printf('%06d', greatest(n, 0)) AS prefix FROM (VALUES {', '.join(f'({q(s)}, {n})' for s, n in zip(_NAMES, (12, 1234567, 0, -4, 1, 99, 100000)))}) v(s, n)")
+@named(f"""SELECT s, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(trim(lower(s)), '[^\\p{{L}}\\p{{N}}_.-]+', '-', 'g'), '-+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'kb-item') AS safe, printf('%06d', greatest(n, 0)) AS prefix
+  FROM (VALUES {', '.join(f'({q(s)}, CAST({n} AS BIGINT))' for s, n in _NAMES)} UNION ALL SELECT coalesce(text, ''), coalesce(doc_id, 0) FROM documents) v(s, n)""")
 def ref_names(spark, sf):
-    """Safe parts of file names and prefixes for the order."""
-    rows = spark.createDataFrame(list(zip(_NAMES, (12, 1234567, 0, -4, 1, 99, 100000))), "s string, n long")
+    """Safe parts of file names and prefixes for the order; whole texts stand for names, too. A word's signs are letters and
+    numbers of any script and the underscore."""
+    docs = corpus.documents(spark, sf).select(F.coalesce("text", F.lit("")).alias("s"), F.coalesce("doc_id", F.lit(0)).alias("n"))
+    rows = spark.createDataFrame(_NAMES, "s string, n long").union(docs)
     return rows.select("s", T.safe_name(F.col("s")).alias("safe"), T.order_prefix(F.col("n")).alias("prefix"))
 
 

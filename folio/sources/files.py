@@ -23,6 +23,7 @@ from folio.functions import text as T
 TEXT = ("md", "markdown", "txt")
 BINARY = ("pdf", "docx", "doc")
 _WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+_LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
 def suffix_of(path: str | F.Column) -> F.Column:
@@ -47,25 +48,97 @@ def numbered(files: DataFrame) -> DataFrame:
     return files.withColumn("source_doc", name).withColumn("stem", T.file_stem(F.col("source_doc"))).withColumn("file_index", F.row_number().over(order) - 1)
 
 
+def _attribute(node, path: str, name: str = "val") -> str | None:
+    found = node.find("/".join(f"{_WORD}{x}" for x in path.split("/"))) if node is not None else None
+    return None if found is None else found.get(f"{_WORD}{name}")
+
+
+def _list_formats(numbering: bytes | None) -> dict[tuple[str, str], str]:
+    """The kind of list ("bullet", "decimal", ...) for each (list, level)."""
+    if not numbering:
+        return {}
+    root = ElementTree.fromstring(numbering)
+    kinds = {x.get(f"{_WORD}abstractNumId"): {v.get(f"{_WORD}ilvl"): _attribute(v, "numFmt") for v in x.findall(f"{_WORD}lvl")} for x in root.findall(f"{_WORD}abstractNum")}
+    return {(x.get(f"{_WORD}numId"), level): kind or "bullet" for x in root.findall(f"{_WORD}num") for level, kind in kinds.get(_attribute(x, "abstractNumId"), {}).items()}
+
+
 def docx_text(content: bytes) -> str:
-    """Paragraphs, headings and tables of a Word file as Markdown."""
+    """Paragraphs, headings, lists, links and tables of a Word file as Markdown. Tables within a cell are read as the
+    cell's words; a cell over several columns is repeated in each; what was deleted under tracking is left out."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
+        names = set(z.namelist())
+        part = lambda name: z.read(name) if name in names else None
         body = ElementTree.fromstring(z.read("word/document.xml")).find(f"{_WORD}body")
+        formats = _list_formats(part("word/numbering.xml"))
+        relations = part("word/_rels/document.xml.rels")
+    targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(relations)} if relations else {}
+    counts: dict[tuple[str, int], int] = {}
 
     def said(node) -> str:
-        return "".join((t.text or "") if t.tag == f"{_WORD}t" else "\t" if t.tag == f"{_WORD}tab" else "\n" if t.tag == f"{_WORD}br" else "" for t in node.iter())
-
-    out = []
-    for node in body if body is not None else ():
+        if node.tag == f"{_WORD}t":
+            return node.text or ""
+        if node.tag in (f"{_WORD}tab", f"{_WORD}br"):
+            return "\t" if node.tag == f"{_WORD}tab" else "\n"
+        if node.tag == f"{_WORD}pPr":
+            return ""
+        text = "".join(map(said, node))
+        target = targets.get(node.get(f"{_LINK}id")) if node.tag == f"{_WORD}hyperlink" else None
+        return f"[{text}]({target})" if target and text.strip() else text
+
+    def parts(node) -> Iterator:
+        """Paragraphs and tables, those in content controls and tracked insertions too."""
+        for child in node if node is not None else ():
+            if child.tag in (f"{_WORD}p", f"{_WORD}tbl"):
+                yield child
+            elif child.tag in (f"{_WORD}sdt", f"{_WORD}sdtContent", f"{_WORD}ins", f"{_WORD}customXml"):
+                yield from parts(child)
+
+    def cell(node) -> str:
+        inner = (" ".join(cell(c) for c in x.iter(f"{_WORD}tc")) if x.tag == f"{_WORD}tbl" else said(x) for x in parts(node))
+        return " ".join(" ".join(inner).split())
+
+    def row(node) -> list[str]:
+        return [cell(c) for c in node.findall(f"{_WORD}tc") for _ in range(int(_attribute(c, "tcPr/gridSpan") or 1))]
+
+    def list_mark(node, style: str) -> str:
+        """The mark of a list's item, with its indent; empty for other paragraphs."""
+        number = _attribute(node, "pPr/numPr/numId")
+        if number is None:
+            kind = "decimal" if style.startswith("ListNumber") else "bullet" if style.startswith("ListBullet") else None
+            number = style
+        else:
+            kind = None if number == "0" else formats.get((number, _attribute(node, "pPr/numPr/ilvl") or "0"), "bullet")
+        if kind in (None, "none"):
+            return ""
+        level = int(_attribute(node, "pPr/numPr/ilvl") or 0)
+        counts[number, level] = counts.get((number, level), 0) + 1
+        for deeper in [k for k in counts if k[0] == number and k[1] > level]:
+            del counts[deeper]
+        return "    " * level + ("- " if kind == "bullet" else f"{counts[number, level]}. ")
+
+    out: list[str] = []
+    in_list = False
+    for node in parts(body):
+        mark = ""
         if node.tag == f"{_WORD}tbl":
-            rows = [[said(c).replace("\n", " ").strip() for c in r.findall(f"{_WORD}tc")] for r in node.findall(f"{_WORD}tr")]
-            if rows:
-                line = lambda r: "| " + " | ".join(r) + " |"
-                out.append("\n".join([line(rows[0]), line(["---"] * len(rows[0])), *map(line, rows[1:])]))
-        elif node.tag == f"{_WORD}p" and (text := said(node).strip()):
-            style = node.find(f"{_WORD}pPr/{_WORD}pStyle")
-            level = "".join(c for c in (style.get(f"{_WORD}val") or "") if c.isdigit()) if style is not None and "eading" in (style.get(f"{_WORD}val") or "") else ""
-            out.append(f"{'#' * min(int(level), 6)} {text}" if level else text)
+            rows = [row(r) for r in node.findall(f"{_WORD}tr")]
+            if not rows:
+                continue
+            line = lambda r: "| " + " | ".join(r) + " |"
+            text = "\n".join([line(rows[0]), line(["---"] * len(rows[0])), *map(line, rows[1:])])
+        else:
+            text = said(node).strip()
+            if not text:
+                continue
+            style = _attribute(node, "pPr/pStyle") or ""
+            level = "".join(c for c in style if c.isdigit()) if "eading" in style else ""
+            mark = "" if level else list_mark(node, style)
+            text = f"{'#' * min(int(level), 6)} {text}" if level else mark + text
+        if mark and in_list:
+            out[-1] += "\n" + text
+        else:
+            out.append(text)
+        in_list = bool(mark)
     return "\n\n".join(out)
 
 

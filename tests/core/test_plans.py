@@ -2,6 +2,7 @@
 
 import json
 import random
+import io
 import zipfile
 
 import pytest
@@ -342,6 +343,30 @@ def test_files(spark, tmp_path):
     assert files.read_documents(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_docx():
+    """Lists with their levels, links, a table in a cell, a cell over two columns, content controls, deleted text."""
+    space = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    said = lambda t: f"<w:r><w:t>{t}</w:t></w:r>"
+    para = lambda t, more="": f"<w:p><w:pPr>{more}</w:pPr>{t}</w:p>"
+    item = lambda t, number, level=0: para(said(t), f'<w:numPr><w:ilvl w:val="{level}"/><w:numId w:val="{number}"/></w:numPr>')
+    cell = lambda t, more="": f"<w:tc><w:tcPr>{more}</w:tcPr>{t}</w:tc>"
+    inner = f"<w:tbl><w:tr>{cell(para(said('x')))}{cell(para(said('y')))}</w:tr></w:tbl>"
+    body = [
+        para(said("Rules"), '<w:pStyle w:val="Heading1"/>'), item("one", 1), item("deep", 2, 1), item("two", 1), para(said("See ") + f'<w:hyperlink r:id="r1">{said("the page")}</w:hyperlink>' + "<w:del><w:r><w:delText>gone</w:delText></w:r></w:del>"),
+        f"<w:sdt><w:sdtContent>{para(said('kept'))}</w:sdtContent></w:sdt>", item("plain", 0), para(said("dot"), '<w:pStyle w:val="ListBullet"/>'),
+        f"<w:tbl><w:tr>{cell(para(said('wide')), '<w:gridSpan w:val=&quot;2&quot;/>'.replace('&quot;', chr(34)))}</w:tr><w:tr>{cell(para(said('a')) + para(said('b')))}{cell(inner + para(''))}</w:tr></w:tbl>",
+    ]
+    levels = lambda kind: "".join(f'<w:lvl w:ilvl="{i}"><w:numFmt w:val="{kind}"/></w:lvl>' for i in range(2))
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        z.writestr("word/document.xml", f"<w:document {space}><w:body>{''.join(body)}</w:body></w:document>")
+        z.writestr("word/numbering.xml", f'<w:numbering {space}><w:abstractNum w:abstractNumId="5">{levels("decimal")}</w:abstractNum><w:abstractNum w:abstractNumId="6">{levels("bullet")}</w:abstractNum><w:num w:numId="1"><w:abstractNumId w:val="5"/></w:num><w:num w:numId="2"><w:abstractNumId w:val="6"/></w:num></w:numbering>')
+        z.writestr("word/_rels/document.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Target="http://h/p"/></Relationships>')
+    assert files.docx_text(held.getvalue()).split("\n\n") == [
+        "# Rules", "1. one\n    - deep\n2. two", "See [the page](http://h/p)", "kept", "plain", "- dot", "| wide | wide |\n| --- | --- |\n| a b | x y |",
+    ]
+
+
 def test_settings(tmp_path):
     (tmp_path / "c.yaml").write_text("llm: {enabled: 'yes', max_tokens: x, temperature: '0.5'}\ndraft: {max_chars: '100'}")
     m = settings.model_settings(str(tmp_path / "c.yaml"))
