@@ -43,6 +43,22 @@ def test_several_segments_and_damage():
         tf.read_blocks(coder, [bytes(bad)])
 
 
+def test_encoder_hands_over_whole_texts(monkeypatch):
+    encoder, asked = tf.Encoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    library = encoder.library
+
+    class Watched:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            assert how == {"add_special_tokens": False}
+            return library.encode_batch_fast(texts, **how)
+
+    monkeypatch.setattr(encoder, "library", Watched())
+    texts = ["one two\n three", "", "one two\n three", "x" * 5_000 + " y"]
+    got = [np.frombuffer(x, encoder.kind).tolist() for x in encoder(texts)]
+    assert asked == texts and got == [BYTES.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_frequencies_keep_rare_ids():
     f = tf.frequencies(np.array([10**9, 1, 0, 1]))
     assert f.sum() == 1 << tf.PRECISION and f[1] == f[3] == 1 and f[2] == 0
