@@ -342,9 +342,9 @@ def risk_level(x: Column) -> Column:
     return bind(F.lower(strip(or_else(x, "low"))), lambda v: F.when(v.isin(*K.RISK_LEVELS), v).otherwise("low"))
 
 
-def as_list(x: Column) -> Column:
+def as_list(x: Column, trim=strip) -> Column:
     """The parts of a string that commas of any kind separate."""
-    return F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), "[,，、]"), strip), lambda v: v != "")
+    return F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), "[,，、]"), lambda v: trim(v)), lambda v: v != "")
 
 
 def guess_version(x: Column) -> Column:

@@ -154,3 +154,8 @@ def test_pieces(spark):
     got = of(spark, parsing.pieces, ["x\n# a\n##### b", "", "目录....3\n\n12\n", "a\n第 3 页\n## 第 4 页 标题"])
     assert [[(p.content, p.section) for p in ps] for ps in got] == [[("x", "文档片段 1"), ("# a\n##### b", "a")], [], [], [("a", "文档片段 1"), ("## 第 4 页 标题", "第 4 页 标题")]]
     assert of(spark, parsing.pages_of, ["第 4 页 标题 第５页", "x"]) == [[4, 5], []]
+
+
+def test_list_parts_keep_line_ends_where_spaces_only_are_cut(spark):
+    assert of(spark, lambda x: T.as_list(x, F.trim), ["a ,\nb, , c", ""], "string") == [["a", "\nb", "c"], []]
+    assert of(spark, T.as_list, ["a ,\nb, , c"]) == [["a", "b", "c"]]
