@@ -18,26 +18,33 @@ from folio.functions import fixed as K
 SPACE = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
 S = f"[{SPACE}]"
 HAN = r"一-鿿"
-#: Ends of lines where a text is cut into lines.
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+#: Ends of lines where a text is cut into lines, besides \r\n.
+LINE_END = r"[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 TOKEN = rf"[A-Za-z][A-Za-z0-9_]{{2,}}|[{HAN}][{HAN}A-Za-z0-9]{{1,18}}"
 
 
+#: The characters of SPACE, and those of a rule of dashes.
+BLANKS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+DASHES = "-—–_·•" + BLANKS
+
+
+# Ends are cut natively: a pattern that ends at \z is tried at each blank of a text, and texts are decoded for it.
+
+
 def strip_left(x: Column) -> Column:
-    return F.regexp_replace(x, f"\\A{S}+", "")
+    return F.ltrim(x, F.lit(BLANKS))
 
 
 def strip_right(x: Column) -> Column:
-    return F.regexp_replace(x, f"{S}+\\z", "")
+    return F.rtrim(x, F.lit(BLANKS))
 
 
 def strip(x: Column) -> Column:
-    return strip_left(strip_right(x))
+    return F.btrim(x, F.lit(BLANKS))
 
 
 def strip_chars(x: Column, chars: str) -> Column:
-    """chars: for use within a character class."""
-    return F.regexp_replace(x, f"\\A[{chars}]+|[{chars}]+\\z", "")
+    return F.btrim(x, F.lit(chars))
 
 
 def squeeze(x: Column) -> Column:
@@ -67,7 +74,7 @@ def or_else(x: Column, other) -> Column:
 
 def lines(x: Column) -> Column:
     """The lines of a text; a final line end starts no line."""
-    return bind(F.split(x, LINE_END), lambda cut: F.when(F.element_at(cut, -1) == "", F.slice(cut, F.lit(1), F.size(cut) - 1)).otherwise(cut))
+    return bind(F.split(F.replace(x, F.lit("\r\n"), F.lit("\n")), LINE_END), lambda cut: F.when(F.element_at(cut, -1) == "", F.slice(cut, F.lit(1), F.size(cut) - 1)).otherwise(cut))
 
 
 def matches(x: Column, pattern: str) -> Column:
@@ -95,10 +102,10 @@ def is_noise(x: Column) -> Column:
     """Rules of dashes, page numbers, entries of a table of contents, lines with control characters."""
     digits = r"\p{Nd}{1,4}"
     return any_of([
-        matches(x, rf"[-—–_·•{SPACE}]+"),
-        matches(x, digits),
-        matches(x, rf"第{S}*{digits}{S}*页(?:{S}*/{S}*共{S}*{digits}{S}*页)?"),
-        matches(x, rf"(?iu:Page){S}+{digits}(?:{S}+(?iu:of){S}+{digits})?"),
+        (x != "") & (F.ltrim(x, F.lit(DASHES)) == ""),
+        (F.length(x) <= 4) & matches(x, digits),
+        x.startswith("第") & matches(x, rf"第{S}*{digits}{S}*页(?:{S}*/{S}*共{S}*{digits}{S}*页)?"),
+        (x.startswith("P") | x.startswith("p")) & matches(x, rf"(?iu:Page){S}+{digits}(?:{S}+(?iu:of){S}+{digits})?"),
         x.contains("目 录") | (x.contains("目录") & x.contains("...")),
         F.length(x) - F.length(F.replace(x, F.lit("."))) >= 20,
         x.rlike(r"[\x00-\x08\x0b-\x1f\x7f]"),
@@ -183,7 +190,7 @@ def compact_lines(raw: Column) -> Column:
 def first_heading(x: Column) -> Column:
     """The title of the first heading of up to four marks, "" without one."""
     pattern = rf"\A#{{1,4}}{S}+([^\n]+)\z"
-    found = F.filter(F.transform(lines(x), strip), lambda y: y.rlike(pattern))
+    found = F.filter(F.transform(lines(x), strip), lambda y: y.startswith("#") & y.rlike(pattern))
     return F.coalesce(strip(first_group(F.get(found, F.lit(0)), pattern)), F.lit(""))
 
 
@@ -191,7 +198,7 @@ def first_heading(x: Column) -> Column:
 
 
 def clean_category(x: Column) -> Column:
-    x = strip_chars(squeeze(x), r" #\t\r\n")
+    x = strip_chars(squeeze(x), " #\t\r\n")
     return or_else(F.substring(strip(F.regexp_replace(x, rf"\A(文档片段|全文){S}*\p{{Nd}}*", "")), 1, 80), K.UNSORTED)
 
 
@@ -218,7 +225,7 @@ def distinct_clean(values: Column, clean=clean_category) -> Column:
 
 
 def _keyword(text: Column) -> Column:
-    return bind(strip_chars(F.regexp_replace(text, r"\A[A-Z]\.\p{Nd}+(?:\.\p{Nd}+)?", ""), " \\-_：:"), _kept_keyword)
+    return bind(strip_chars(F.regexp_replace(text, r"\A[A-Z]\.\p{Nd}+(?:\.\p{Nd}+)?", ""), " -_：:"), _kept_keyword)
 
 
 def _kept_keyword(text: Column) -> Column:
@@ -268,9 +275,13 @@ def item_tokens(x: Column) -> Column:
     return F.filter(F.regexp_extract_all(x, F.lit(f"({TOKEN})"), F.lit(1)), lambda t: token_keyword(t, clean_item_keyword) != "")
 
 
+def no_headings(x: Column) -> Column:
+    """A text with the lines emptied that are headings of up to six marks."""
+    return F.when(x.contains("#"), F.regexp_replace(x, rf"(?md)^#{{1,6}}{S}+[^\n]*$", "")).otherwise(x)
+
+
 def core_text(content: Column) -> Column:
-    x = F.regexp_replace(content, rf"(?md)^#{{1,6}}{S}+[^\n]*$", "")
-    return F.substring(F.regexp_replace(x, r"\|[^\n]*?\|", " "), 1, 1600)
+    return F.substring(F.regexp_replace(no_headings(content), r"\|[^\n]*?\|", " "), 1, 1600)
 
 
 def family_key(section: Column) -> Column:
@@ -313,7 +324,7 @@ def rank_tokens(values: Column, category_tokens: Column) -> Column:
 
 
 def clean_taxonomy(x: Column) -> Column:
-    return F.substring(strip_chars(squeeze(strip(F.coalesce(x, F.lit("")))), r" ：:，,。；;、\[\]"), 1, 80)
+    return F.substring(strip_chars(squeeze(strip(F.coalesce(x, F.lit("")))), " ：:，,。；;、[]"), 1, 80)
 
 
 def clean_description(x: Column) -> Column:
@@ -359,7 +370,7 @@ def file_stem(x: Column) -> Column:
 def safe_name(x: Column) -> Column:
     """A part of a file name."""
     x = F.regexp_replace(strip(F.lower(x)), r"[^\p{L}\p{N}_.-]+", "-")
-    return or_else(strip_chars(F.regexp_replace(x, "-+", "-"), "\\-"), "kb-item")
+    return or_else(strip_chars(F.regexp_replace(x, "-+", "-"), "-"), "kb-item")
 
 
 def order_prefix(n: Column) -> Column:
@@ -373,7 +384,7 @@ def compact(x: Column, limit: int) -> Column:
 
 
 def coverage_text(x: Column) -> Column:
-    x = F.regexp_replace(x, rf"(?md)^#{{1,6}}{S}+[^\n]*$", "")
+    x = no_headings(x)
     return F.lower(F.regexp_replace(x, rf"[{SPACE}`*_#|>：:，,。；;！？!?、（）()【】\[\]《》“”\"'‘’.\-—–]+", ""))
 
 

@@ -26,9 +26,10 @@ def merge_children(rows: DataFrame) -> DataFrame:
     marked = marked.withColumn("__run", F.min(child.cast("int")).over(s)).withColumn("__head", F.when(F.col("__run") == 1, F.first("block_index").over(s)).otherwise(F.col("block_index")))
     rest = [c for c in rows.columns if c not in (*DOC, "block_index", "content", "pages")]
     own = F.struct("block_index", "content", "pages")
-    merged = marked.groupBy(*DOC, "__head").agg(F.array_sort(F.collect_list(own)).alias("__parts"), F.min_by(F.struct(*rest), "block_index").alias("__first"))
+    # one aggregate for each column, so that those that nothing reads are not made
+    merged = marked.groupBy(*DOC, "__head").agg(F.array_sort(F.collect_list(own)).alias("__parts"), *[F.min_by(c, "block_index").alias(c) for c in rest])
     return merged.select(
-        *DOC, F.col("__head").alias("block_index"), *[F.col("__first")[c].alias(c) for c in rest],
+        *DOC, F.col("__head").alias("block_index"), *rest,
         F.array_join(F.transform("__parts", lambda p: p["content"]), "\n\n").alias("content"),
         F.when(F.size("__parts") > 1, F.array_sort(F.array_distinct(F.flatten(F.transform("__parts", lambda p: p["pages"]))))).otherwise(F.get("__parts", F.lit(0))["pages"]).alias("pages"),
     ).select(*rows.columns)

@@ -1,7 +1,7 @@
 """Documents to blocks, with the profile of each document and block.
 
-A document is a row: file_index, source_doc, stem, markdown. All that concerns one document alone is a projection
-over its row, so nothing is shuffled until related sections are looked for."""
+A document is a row: file_index, source_doc, stem, markdown. Documents are dealt out once; all that concerns one document
+alone is a projection over its row or a window over its blocks, so nothing else is shuffled."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import fixed as K
 from folio.functions import text as T
+from folio.operators.keywords import keyword_lists
 
 #: What identifies a document, and orders documents.
 DOC = ["file_index", "source_doc"]
@@ -36,6 +37,12 @@ def pages_of(section: Column) -> Column:
     return F.transform(digits, lambda d: F.translate(d, "０１２３４５６７８９", "0123456789").cast("int"))
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows by their document in so many partitions that all cores have several. A number that is given is kept: the work on a
+    byte of text is much, and partitions joined by their size would leave cores idle. Rows that lie so already stay."""
+    return rows.repartition(max(4 * rows.sparkSession.sparkContext.defaultParallelism, 16), *DOC)
+
+
 def document_profile(docs: DataFrame) -> DataFrame:
     """Adds pieces, category, category_description, doc_keywords and source_doc_description."""
     heading = rf"\A#{{1,4}}{T.S}+([^\n]+)\z"
@@ -67,36 +74,26 @@ def document_profile(docs: DataFrame) -> DataFrame:
     )
 
 
-def keyword_profile(category: Column, own: Column, more: Column | None = None) -> Column:
-    """The best keywords of `own`, the tokens of the title (three times) and of the text, and of the document's. They are
-    cleaned once more before they are counted; the category's tokens are not."""
-    bag = own if more is None else F.concat(own, F.filter(F.transform(more, lambda t: T.again(t)), lambda t: t != ""))
-    return T.rank_tokens(bag, T.tokens(category))
-
-
-def own_tokens(subcategory: Column, content: Column) -> Column:
-    bag = lambda title: F.concat(title, title, title, T.tokens(T.core_text(content)))
-    return F.filter(F.transform(T.bind(T.tokens(subcategory), bag), lambda t: T.again(t)), lambda t: t != "")
-
-
 def blocks(profiled: DataFrame) -> DataFrame:
     """One row for each block of document_profile()'s documents, without related sections."""
-    rows = profiled.select(*DOC, "category", "category_description", "source_doc_description", "doc_keywords", F.posexplode("pieces").alias("block_index", "piece")).select(
-        *DOC, "block_index", F.col("piece.section").alias("source_section"), F.col("piece.content").alias("content"), "category", "category_description", "source_doc_description", "doc_keywords"
+    piece = lambda p: F.struct(p["section"].alias("section"), p["content"].alias("content"), T.subcategory_of(p["section"], p["content"]).alias("subcategory"))
+    # an inner explode of a column would have the pieces made once more, to leave out documents without any
+    cut = profiled.select(*DOC, "category", "category_description", "source_doc_description", "doc_keywords", F.posexplode_outer(F.transform("pieces", piece)).alias("block_index", "piece"))
+    rows = cut.filter("block_index IS NOT NULL").select(
+        *DOC, "block_index", F.col("piece.section").alias("source_section"), F.col("piece.content").alias("content"), F.col("piece.subcategory").alias("subcategory"), "category", "category_description", "source_doc_description", "doc_keywords"
     )
     cat, sub, said = F.col("category"), F.col("subcategory"), F.col("category_description")
     q = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in xs])
-    return (
+    made = (
         rows.withColumn("order", F.col("block_index"))
         .withColumn("pages", pages_of(F.col("source_section")))
-        .withColumn("subcategory", T.subcategory_of(F.col("source_section"), F.col("content")))
-        .withColumn("own_tokens", own_tokens(sub, F.col("content")))
-        .withColumn("category_keywords", keyword_profile(cat, F.col("own_tokens"), T.tokens(F.array_join(F.slice("doc_keywords", 1, 3), " "))))
-        .withColumn("plain_keywords", keyword_profile(cat, F.col("own_tokens"))).drop("own_tokens")
+        .withColumn("__lists", keyword_lists(cat, sub, F.col("content"), F.array_join(F.slice("doc_keywords", 1, 3), " ")))
+        .withColumn("category_keywords", F.col("__lists.all")).withColumn("plain_keywords", F.col("__lists.own")).drop("__lists")
         .withColumn("category_description", F.when(F.instr(said, cat) == 0, q("本大类来源于文档结构中的“", cat, "”，用于承载该主题下的相关知识条目。")).otherwise(said))
         .withColumn("subcategory_description", F.when(sub == cat, q("用于说明“", cat, "”主题下的具体内容、边界和使用提示。")).otherwise(q("用于说明“", sub, "”在“", cat, "”大类下的具体内容、边界和关联提示。")))
         .withColumn("category_path", F.when(sub != cat, F.array(cat, sub)).otherwise(F.array(cat)))
     )
+    return dealt(made)  # Spark forgets where rows are after a Python function
 
 
 def siblings(rows: DataFrame) -> DataFrame:
@@ -110,49 +107,73 @@ def siblings(rows: DataFrame) -> DataFrame:
     )
 
 
-def related(rows: DataFrame, index: DataFrame) -> DataFrame:
-    """(block keys, related): the up to five best sections of the same document, best first."""
-    own = rows.select(*BLOCK, "source_section", "subcategory", "category_keywords", T.family_key(F.col("source_section")).alias("family"), T.tokens(F.col("subcategory")).alias("title"))
-    at = index.select(*DOC, "source_section", "subcategory", F.col("own_idx").alias("current")).distinct()
-    other = index.filter(T.useful_heading(F.col("subcategory"))).select(
-        *DOC, "idx", F.col("subcategory").alias("name"), F.col("keywords").alias("their"), T.family_key(F.col("source_section")).alias("their_family"), T.tokens(F.col("subcategory")).alias("their_title")
-    )
+def _best_related(told: Column, current: Column, words: Column, family: Column, titles: Column, own: Column) -> Column:
+    """Up to five of the sections `told`, whose place is their number, best first: array<struct<n, title, info, relevance, score>>."""
+    shared = lambda e: F.array_intersect(words, e["words"])
+    named = lambda e: F.array_intersect(titles, e["titles"])
+    same = lambda e: ((family != "") & (family == e["family"])).cast("int")
+    distance = lambda i: F.abs(i - current)
+
+    def scored(e: Column, i: Column) -> Column:
+        score = F.size(shared(e)) * 3.0 + F.size(named(e)) * 2.0 + same(e) * 2.0 - F.least(distance(i), F.lit(8)) * 0.25
+        return F.when(e["useful"] & (e["name"] != own), F.struct(score.alias("score"), distance(i).alias("distance"), e["name"].alias("name"), i.alias("i")))
+
     by_length = lambda xs: F.transform(F.array_sort(F.transform(xs, lambda x: F.struct((-F.length(x)).alias("n"), x.alias("x")))), lambda r: r["x"])
-    met = own.join(at, [*DOC, "source_section", "subcategory"]).join(other, DOC).filter("name <> subcategory")
-    scored = (
-        met.withColumn("distance", F.abs(F.col("idx") - F.col("current"))).withColumn("after", (F.col("idx") > F.col("current")).cast("int"))
-        .withColumn("same", ((F.col("family") != "") & (F.col("family") == F.col("their_family"))).cast("int"))
-        .withColumn("words", F.array_intersect("category_keywords", "their")).withColumn("titles", F.array_intersect("title", "their_title"))
-        .withColumn("score", F.size("words") * 3.0 + F.size("titles") * 2.0 + F.col("same") * 2.0 - F.least("distance", F.lit(8)) * 0.25)
+    reasons = lambda e: F.slice(T.distinct_clean(F.concat(by_length(shared(e)), by_length(named(e)))), 1, 3)
+
+    def said(r: Column) -> Column:
+        return T.bind(F.get(told, r["i"]), lambda e: F.struct(r["score"].alias("score"), r["distance"].alias("distance"), reasons(e).alias("reasons"), same(e).alias("same")))
+
+    def item(r: Column, name: Column, k: Column) -> Column:
+        info = F.concat(
+            T.or_else(F.concat_ws("；",
+                F.when(F.size(r["reasons"]) > 0, F.concat(F.lit("与当前小类共享核心语义："), F.array_join(r["reasons"], "、"))),
+                F.when(r["same"] == 1, F.lit("来源结构处于同一章节组")),
+                F.when(r["distance"] <= 2, F.lit("章节位置接近"))), "与当前小类存在可参考的相近主题"),
+            F.lit("。"),
+        )
+        relevance = F.when(r["score"] >= 5, "高").when((r["score"] >= 2) | (r["distance"] <= 2), "一般").otherwise("低")
+        return F.struct((k + 1).alias("n"), name.alias("title"), info.alias("info"), relevance.alias("relevance"), r["score"].alias("score"))
+
+    def top(ranked: Column) -> Column:
+        # of one name the best, the farther of equals. At one distance there are two sections at most, one before and one
+        # after; between those the reasons decide, which are only made for the few that are left
+        def of_name(name: Column, k: Column) -> Column:
+            equal = lambda rs: F.filter(rs, lambda r: (r["score"] == rs[0]["score"]) & (r["distance"] == rs[0]["distance"]))
+            tied = T.bind(F.filter(ranked, lambda r: r["name"] == name), equal)
+            return T.bind(F.array_max(F.transform(tied, said)), lambda r: item(r, name, k))
+
+        return F.transform(F.slice(F.array_distinct(F.transform(ranked, lambda r: r["name"])), 1, 5), of_name)
+
+    return T.bind(F.sort_array(F.filter(F.transform(told, scored), lambda r: r.isNotNull()), asc=False), top)
+
+
+def related(rows: DataFrame) -> DataFrame:
+    """Adds related: the up to five best sections of the same document, best first. Each row sees the different sections of
+    its document in an array, so sections don't meet in a join, and rows are worked on where they are."""
+    section, sub = F.col("source_section"), F.col("subcategory")
+    of_kind = Window.partitionBy(*DOC, "source_section", "subcategory")
+    first = F.row_number().over(Window.partitionBy(*DOC, "source_section", "subcategory", "plain_keywords").orderBy("block_index")) == 1
+    told = F.struct(
+        F.col("block_index").alias("at"), sub.alias("name"), F.col("plain_keywords").alias("words"), F.col("__family").alias("family"), F.col("__titles").alias("titles"), F.col("__useful").alias("useful")
     )
-    # of one name the best, the farther of equals. At one distance there are two sections at most, one before and one after;
-    # between those the reasons decide, which are only made for the few that are left
-    of_side = lambda side: F.max(F.struct("score", "distance", side.alias("side"), "words", "titles", "same"))
-    best = scored.groupBy(*BLOCK, "name").agg(of_side(F.col("after")).alias("a"), of_side(-F.col("after")).alias("b"))
-    top = best.withColumn("n", F.row_number().over(Window.partitionBy(*BLOCK).orderBy(F.col("a.score").desc(), F.col("a.distance").desc(), F.col("name").desc()))).filter("n <= 5")
-    reasons = lambda c: F.slice(T.distinct_clean(F.concat(by_length(c["words"]), by_length(c["titles"]))), 1, 3)
-    said = lambda c: F.struct(c["score"].alias("score"), c["distance"].alias("distance"), reasons(c).alias("reasons"), c["same"].alias("same"))
-    top = top.withColumn("rank", F.greatest(said(F.col("a")), said(F.col("b"))))
-    r = F.col("rank")
-    info = F.concat(
-        T.or_else(F.concat_ws("；",
-            F.when(F.size(r["reasons"]) > 0, F.concat(F.lit("与当前小类共享核心语义："), F.array_join(r["reasons"], "、"))),
-            F.when(r["same"] == 1, F.lit("来源结构处于同一章节组")),
-            F.when(r["distance"] <= 2, F.lit("章节位置接近"))), "与当前小类存在可参考的相近主题"),
-        F.lit("。"),
-    )
-    relevance = F.when(r["score"] >= 5, "高").when((r["score"] >= 2) | (r["distance"] <= 2), "一般").otherwise("低")
-    item = F.struct("n", F.col("name").alias("title"), info.alias("info"), relevance.alias("relevance"), r["score"].alias("score"))
-    return top.groupBy(*BLOCK).agg(F.array_sort(F.collect_list(item)).alias("related"))
-
-
-def with_related(rows: DataFrame, found: DataFrame) -> DataFrame:
+    whole = Window.partitionBy(*DOC).orderBy("block_index").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    current = lambda ts: F.array_position(F.transform(ts, lambda e: e["at"]), F.col("__own")).cast("int") - 1
+    best = T.bind(F.col("__told"), lambda ts: T.bind(current(ts), lambda c: _best_related(ts, c, F.col("category_keywords"), F.col("__family"), F.col("__titles"), sub)))
+    return (
+        rows.withColumns({"__family": T.family_key(section), "__titles": T.tokens(sub), "__useful": T.useful_heading(sub)})
+        .withColumns({"__first": first, "__own": F.min("block_index").over(of_kind)})
+        .withColumn("__told", F.collect_list(F.when(F.col("__first"), told)).over(whole)).withColumn("related", best)
+        .drop("__family", "__titles", "__useful", "__first", "__own", "__told")
+    )
+
+
+def with_related(rows: DataFrame) -> DataFrame:
     """Adds related_items (the four fixed keys), related_categories and relation_notes."""
     cat, sub = F.col("category"), F.col("subcategory")
-    none = F.array().cast("array<struct<n:int,title:string,info:string,relevance:string,score:double>>")
     keys = K.RELATED_KEYS
     return (
-        rows.join(found, BLOCK, "left").withColumn("related", F.coalesce("related", none))
+        related(rows)
         .withColumn("related_items", F.transform("related", lambda x: F.struct(cat.alias(keys[0]), x["title"].alias(keys[1]), x["info"].alias(keys[2]), x["relevance"].alias(keys[3]))))
         .withColumn("related_categories", F.transform("related", lambda x: x["title"]))
         .withColumn("relation_notes", F.transform(F.slice("related_categories", 1, 3), lambda n: F.concat(F.lit("“"), sub, F.lit("”与“"), n, F.lit("”同属“"), cat, F.lit("”大类，回答时应结合来源章节区分适用场景、交互对象和处理要求。"))))
@@ -162,5 +183,4 @@ def with_related(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def parse(docs: DataFrame) -> DataFrame:
     """Blocks of documents with their whole profile."""
-    rows = blocks(document_profile(docs))
-    return with_related(rows, related(rows, siblings(rows)))
+    return with_related(blocks(document_profile(docs)))

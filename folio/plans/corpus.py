@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.functions import text as T
+from folio.operators.parsing import dealt
 
 PER_FILE = 40
 
@@ -22,18 +23,16 @@ SAMPLES = (
 )
 
 
-#: Bytes of a table for each core under which its rows are dealt out anew: it may well be one row group.
-SMALL = 16 << 20
+#: Bytes of a table for each task: the work on a byte of text is much, and a file may be one row group.
+TASK = 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's table. A small one is often a single row group, which one task would read and work on alone; beyond
-    that the splits of the scan are enough and nothing is shuffled."""
+    """The driver's table, its rows dealt out evenly: the splits of the scan follow the row groups of the files, and a table
+    of any size may have few of them."""
     path = f"{sf_dir}/documents.parquet"
-    docs = spark.read.parquet(path)
     size = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).agg(F.sum("length")).first()[0] or 0
-    cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(4 * cores) if size < SMALL * cores else docs
+    return spark.read.parquet(path).repartition(max(4 * spark.sparkContext.defaultParallelism, size // TASK))
 
 
 def plain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +66,12 @@ def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     section = F.concat(parent, head, F.replace(text, F.lit("\n"), F.lit("\n\n")))
     other = F.lit(-1_000) - F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("long")
     file = F.coalesce(F.floor(F.col("doc_id") / PER_FILE), other)
-    made = docs.groupBy(file.alias("file_index")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", section.alias("s")))), lambda x: x["s"]), "\n\n").alias("markdown"))
     name = F.concat(F.lit("file-"), F.col("file_index").cast("string"))
-    return made.select("file_index", F.concat(name, F.lit(".md")).alias("source_doc"), name.alias("stem"), "markdown").unionByName(samples(spark))
+    parts = docs.select(file.alias("file_index"), "doc_id", section.alias("s")).withColumn("source_doc", F.concat(name, F.lit(".md"))).withColumn("stem", name)
+    whole = samples(spark).select("file_index", F.lit(None).cast("long").alias("doc_id"), F.col("markdown").alias("s"), "source_doc", "stem")
+    # samples are files of one part; so all is dealt out once, and stays where it is for what follows
+    made = dealt(parts.unionByName(whole)).groupBy("file_index", "source_doc", "stem")
+    return made.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "s"))), lambda x: x["s"]), "\n\n").alias("markdown"))
 
 
 SECTIONED_SQL = f"""

@@ -447,3 +447,32 @@ def test_entry(spark):
     names, sql = e.queries(), e.oracle_sql()
     assert set(sql) <= set(names) and len(names) > 25
     assert e.entry(spark).limit(1).count() == 1
+
+
+def test_texts_are_worked_on_once(docs):
+    plan = parsing.parse(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("LogicalRDD") == 1
+    assert chunking.chunks(parsing.parse(docs))._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_few_bytes_are_dealt_to_all_cores(docs):
+    rows = parsing.related(parsing.blocks(parsing.document_profile(docs)))
+    assert rows.rdd.getNumPartitions() >= 16  # a size by bytes gives one, whatever the work is
+
+
+def test_unread_columns_are_not_made(docs):
+    assert "keyword_lists" not in chunks_of(docs, context=False).select("content")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keyword_lists_follow_the_text_rules(spark):
+    from folio.operators import keywords
+
+    rng = random.Random(11)
+    words = ["abc", "def_1", "nuclear", "IPv4", "a_b__", "x" * 90, "中文ab12", "文档片段", "文档片段3", "全文检索", "来源文档", "接口", "接口说明", "|甲乙|", "## 节 题\n", "V2x", "全文v1", "abc", "接口"]
+    rows = [(i, " ".join(rng.choices(words, k=3)), " ".join(rng.choices(words, k=4)), rng.choice(["\n", " "]).join(rng.choices(words, k=60)), " ".join(rng.choices(words, k=5))) for i in range(40)]
+    df = spark.createDataFrame(rows, "i int, c string, s string, x string, m string")
+    bag = lambda *xs: F.filter(F.transform(F.concat(*xs), lambda t: T.again(t)), lambda t: t != "")
+    s, x, m, c = T.tokens(F.col("s")), T.tokens(T.core_text(F.col("x"))), T.tokens(F.col("m")), T.tokens(F.col("c"))
+    want = df.select("i", T.rank_tokens(bag(s, s, s, x, m), c).alias("all"), T.rank_tokens(bag(s, s, s, x), c).alias("own"), T.tokens(F.col("x")).alias("t"))
+    got = df.select("i", keywords.keyword_lists(F.col("c"), F.col("s"), F.col("x"), F.col("m")).alias("l"), keywords.tokens(F.col("x")).alias("t")).select("i", "l.all", "l.own", "t")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
