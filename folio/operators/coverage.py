@@ -19,7 +19,7 @@ def core_sections(body: Column) -> Column:
 def missing_facts(content: Column, bodies: Column) -> Column:
     """Facts of the content that none of the bodies (an array) has, in order."""
     covered = T.coverage_text(F.array_join(F.transform(bodies, core_sections), "\n"))
-    return T.bind(covered, lambda c: F.filter(T.fact_sentences(content), lambda f: F.instr(c, T.coverage_text(f)) == 0))
+    return T.bind(covered, lambda c: F.transform(F.filter(T.fact_pairs(content), lambda f: ~F.contains(c, f["k"])), lambda f: f["s"]))
 
 
 def of_blocks(items: DataFrame, keys: list[str]) -> DataFrame:
