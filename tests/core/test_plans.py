@@ -476,3 +476,10 @@ def test_keyword_lists_follow_the_text_rules(spark):
     want = df.select("i", T.rank_tokens(bag(s, s, s, x, m), c).alias("all"), T.rank_tokens(bag(s, s, s, x), c).alias("own"), T.tokens(F.col("x")).alias("t"))
     got = df.select("i", keywords.keyword_lists(F.col("c"), F.col("s"), F.col("x"), F.col("m")).alias("l"), keywords.tokens(F.col("x")).alias("t")).select("i", "l.all", "l.own", "t")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_outline_of_each_row_needs_no_second_pass(docs):
+    rows = chunks_of(docs, context=False)
+    told = chunking.with_outline(rows, 3).select("source_doc", "outline").distinct().collect()
+    assert sorted(map(tuple, told)) == sorted(map(tuple, chunking.outline(rows, 3).select("source_doc", "outline").collect()))
+    assert "Join" not in chunks_of(docs)._jdf.queryExecution().optimizedPlan().toString()
